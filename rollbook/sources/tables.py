@@ -76,8 +76,8 @@ def read_match_sheet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema=MATCH_SHEET, enforceSchema=False)
 
 
-def write_script(statements: DataFrame, path: str, prologue: str) -> None:
-    """Prologue first, then one statement per line in ``position`` order."""
-    first = statements.sparkSession.range(1).select(F.lit(-1).cast("long").alias("position"), F.lit(prologue).alias("statement"))
-    lines = first.unionByName(statements.select(F.col("position").cast("long").alias("position"), "statement"))
-    lines.orderBy("position").select("statement").write.mode("errorifexists").text(path)
+def write_script(statements: DataFrame, path: str, prologue: str, order: list[str]) -> None:
+    """The prologue, then the ``statement`` column in the order of ``order``, one per line."""
+    head = statements.sparkSession.range(1).select(F.lit(0).alias("_body"), F.lit(prologue).alias("statement"))
+    lines = head.unionByName(statements.withColumn("_body", F.lit(1)), allowMissingColumns=True)
+    lines.orderBy("_body", *order).select("statement").write.mode("errorifexists").text(path)
