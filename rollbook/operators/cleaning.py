@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rollbook.contracts import PAGE_CONTENT, cast_to_contract
 from rollbook.functions import fixed_rules as fixed
-from rollbook.functions.dates import longer_than_a_day
+from rollbook.functions.dates import longer_than_a_day, parse_date
 from rollbook.functions.rules import first_match
 from rollbook.functions.titles import normalise_titles
 
@@ -52,8 +52,10 @@ def keep_ministerial(rows: DataFrame) -> DataFrame:
 def page_content(rows: DataFrame) -> DataFrame:
     """The 18 columns of the contract, distinct; columns filled later are blank."""
     blank = ["post_name_clean", "post_rank", "leave_reason", "organisation_name_clean", "organisation_short_name_clean"]
+    dates = ["appointment_start_date", "appointment_end_date"]
     filled = rows.withColumns(
         {
+            **{c: parse_date(F.col(c).cast("string")) for c in dates},
             **{c: F.lit(None).cast("string") for c in blank},
             "is_on_leave": F.lit(False),
             "is_acting": F.lit(False),

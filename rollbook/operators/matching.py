@@ -11,6 +11,7 @@ from rollbook.contracts import WORKFLOW
 from rollbook.functions.dates import proximity
 from rollbook.functions.similarity import title_similarity, without_the
 from rollbook.operators.skew import PAIR_BUDGET, spread_join
+from rollbook.session import land
 
 # Weights and limits of the score
 ORGANISATION_WEIGHT, POST_WEIGHT, DATE_WEIGHT = 0.3, 0.5, 0.2
@@ -93,24 +94,24 @@ def score_candidates(
     as_of: datetime.date,
     suffixes: tuple[str, str] = ("_core", "_ext"),
     pair_budget: int = PAIR_BUDGET,
-    person_sizes: tuple[DataFrame | None, DataFrame | None] = (None, None),
 ) -> DataFrame:
     """Every pair of appointments of the same person, scored, with the 33 result columns.
 
     ``as_of`` stands in for a missing end while scoring only. All rows of a core
     appointment are marked reviewed when any of its candidates is accepted; that
     set is found before the pairs are formed, so the scored pairs need no further
-    shuffle. ``person_sizes``: rows per ``person_id`` of either side if known.
+    shuffle. Both sides are read three times (sure matches, rows per person,
+    pairs), so they are landed first.
     """
     own, other = suffixes
-    left = _side(core, own, as_of)
-    right = _side(ext, other, as_of)
+    left = land(_side(core, own, as_of), "match-core")
+    right = land(_side(ext, other, as_of), "match-ext")
     sure = appointments_with_sure_match(left, right, own, other).select(F.col("appointment_id").alias("_sure"))
     left = left.join(sure, F.col(f"appointment_id{own}") == F.col("_sure"), "left").withColumn(
         "reviewed", F.col("_sure").isNotNull()
     ).drop("_sure")
 
-    pairs = spread_join(left, right, ["person_id"], pair_budget, *person_sizes)
+    pairs = spread_join(left, right, ["person_id"], pair_budget)
 
     def both(name: str) -> tuple[Column, Column]:
         return F.col(f"{name}{own}"), F.col(f"{name}{other}")

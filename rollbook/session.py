@@ -61,3 +61,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder (survives lost executors)."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def land(df: DataFrame, name: str) -> DataFrame:
+    """Write a result that several later steps read, and go on from the written table.
+
+    The table lies in the shared folder, so it survives lost executors, and its
+    file sizes let Spark choose later joins by real size.
+    """
+    path = new_path(df.sparkSession, name)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
