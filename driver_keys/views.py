@@ -118,15 +118,19 @@ select c_custkey as df_left_id, c_custkey + 500000 as df_right_id, c_name as nam
  case when c_custkey % 5 = 0 then concat(c_name, ' X') end as replacement_name,
  case when c_custkey % 5 = 0 then concat('x-', c_custkey) end as replacement_slug from {customer}"""
 
-VIEWS["v_source_rows"] = """
+VIEWS["v_source_base"] = """
 select a.person_id, concat('p', a.person_id) as content_id, c.c_name as full_name, concat('g', a.id) as role_appointment_id,
- l.locale, case when a.id % 11 = 0 then 'board_member_role' else 'ministerial_role' end as document_type,
+ case when a.id % 11 = 0 then 'board_member_role' else 'ministerial_role' end as document_type,
  case when a.id % 29 = 0 then null when a.id % 23 = 0 then 'First Lord of the Treasury' else t.name end as title,
  o.n_name as org_title, case a.id % 4 when 0 then null when 1 then 'D12' when 2 then 'd34' else 'EA9' end as analytics_identifier,
  a.start_date as started_on, a.end_date as ended_on
 from {v_appt} a inner join {customer} c on a.person_id = c.c_custkey inner join {v_post} t on a.post_id = t.id
- left join {nation} o on t.organisation_id = o.n_nationkey and a.id % 31 <> 0
- cross join (select 'en' as locale union all select 'cy' union all select 'en') l"""
+ left join {nation} o on t.organisation_id = o.n_nationkey and a.id % 31 <> 0"""
+
+VIEWS["v_source_rows"] = """
+select *, 'en' as locale from {v_source_base}
+union all select *, 'cy' from {v_source_base}
+union all select *, 'en' from {v_source_base}"""
 
 VIEWS["v_titles"] = """
 select p_partkey as id, p_partkey % 18 as k, p_name as topic,

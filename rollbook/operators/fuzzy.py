@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from rollbook.functions.similarity import indel_ratio
 from rollbook.operators.skew import PAIR_BUDGET, key_sizes, spread_join
+from rollbook.session import land
 
 _START, _END = "\u0001", "\u0002"
 _SLACK = 1e-9
@@ -37,18 +38,24 @@ def _grams(names: DataFrame, name: str) -> DataFrame:
     split = names.select(name, F.length(name).alias("size"), chars.alias("chars"))
 
     def grams(q: int) -> Column:
-        if q == 1:
-            return F.transform("chars", lambda c: F.struct(F.lit(1).alias("q"), c.alias("gram")))
         padded = F.concat(
             F.array_repeat(F.lit(_START), q - 1), F.col("chars"), F.array_repeat(F.lit(_END), q - 1)
         )
-        return F.transform(
-            F.sequence(F.lit(1), F.col("size") + (q - 1)),
-            lambda i: F.struct(F.lit(q).alias("q"), F.array_join(F.slice(padded, i, q), "").alias("gram")),
+        # the outer transform is there to work out ``padded`` once per name
+        return F.flatten(
+            F.transform(
+                F.array(padded),
+                lambda p: F.transform(
+                    F.sequence(F.lit(1), F.size(p) - (q - 1)),
+                    lambda i: F.struct(F.lit(q).alias("q"), F.array_join(F.slice(p, i, q), "").alias("gram")),
+                ),
+            )
         )
 
+    singles = F.transform("chars", lambda c: F.struct(F.lit(1).alias("q"), c.alias("gram")))
+    longer = [grams(q) for q in GRAM_SIZES if q > 1]
     return (
-        split.select(name, "size", F.explode(F.concat(*[grams(q) for q in GRAM_SIZES])).alias("g"))
+        split.select(name, "size", F.explode(F.concat(singles, *longer)).alias("g"))
         .groupBy(name, "size", F.col("g.q").alias("q"), F.col("g.gram").alias("gram"))
         .agg(F.count(F.lit(1)).cast("int").alias("n"))
         .select(name, "size", "q", "gram", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("nth"))
@@ -93,7 +100,7 @@ def nearest_names(
     right_name: str,
     limit: int = 1,
     score_cutoff: float = 0.0,
-    probe_rows: int = 300,
+    probe_rows: int = 100,
     pair_budget: int = PAIR_BUDGET,
 ) -> DataFrame:
     """(left_name, right_name, score): the ``limit`` best distinct right names.
@@ -115,15 +122,16 @@ def nearest_names(
         open_names = lefts
 
     gram = ["q", "gram", "nth"]
-    right_grams = _grams(rights, "right_name").withColumnRenamed("size", "right_size")
+    right_grams = land(_grams(rights, "right_name").withColumnRenamed("size", "right_size"), "right-grams")
     frequency = key_sizes(right_grams, gram)
     rarest = Window.partitionBy("left_name", "q").orderBy("rows_per_key", "gram", "nth")
-    left_grams = (
+    left_grams = land(
         _grams(open_names, "left_name")
         .join(frequency, gram, "left")
         .withColumn("rows_per_key", F.coalesce("rows_per_key", F.lit(0)))
         .withColumn("place", F.row_number().over(rarest))
-        .withColumn("reach", F.sum("rows_per_key").over(rarest.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("reach", F.sum("rows_per_key").over(rarest.rowsBetween(Window.unboundedPreceding, 0))),
+        "left-grams",
     )
 
     probes = left_grams.filter(

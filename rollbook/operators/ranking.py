@@ -28,10 +28,11 @@ def rank_within(df: DataFrame, keys: list[str], order: list[Column], name: str)
         placed.groupBy(*keys, "_part")
         .agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n"))
         .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+        .select(*[F.col(k).alias(f"_run_{k}") for k in keys], F.col("_part").alias("_run_part"), "_first", "_before")
     )
-    on = [placed[k].eqNullSafe(runs[k]) for k in keys] + [placed["_part"] == runs["_part"]]
-    joined = placed.join(runs, on).select(
-        *[placed[c] for c in df.columns],
-        (runs["_before"] + placed["_place"] - runs["_first"] + 1).cast("int").alias(name),
+    on = F.col("_part") == F.col("_run_part")
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_run_{k}"))
+    return placed.join(runs, on).select(
+        *df.columns, (F.col("_before") + F.col("_place") - F.col("_first") + 1).cast("int").alias(name)
     )
-    return joined
