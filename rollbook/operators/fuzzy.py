@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollbook.functions.similarity import indel_ratio
-from rollbook.operators.skew import PAIR_BUDGET, key_sizes, spread_join
+from rollbook.operators.skew import PAIR_BUDGET, fan_out, key_sizes, spread_join
 from rollbook.session import land
 
 _START, _END = "\u0001", "\u0002"
@@ -100,7 +100,7 @@ def nearest_names(
     right_name: str,
     limit: int = 1,
     score_cutoff: float = 0.0,
-    probe_rows: int = 100,
+    probe_rows: int = 32,
     pair_budget: int = PAIR_BUDGET,
 ) -> DataFrame:
     """(left_name, right_name, score): the ``limit`` best distinct right names.
@@ -122,11 +122,11 @@ def nearest_names(
         open_names = lefts
 
     gram = ["q", "gram", "nth"]
-    right_grams = land(_grams(rights, "right_name").withColumnRenamed("size", "right_size"), "right-grams")
+    right_grams = land(_grams(fan_out(rights, "right_name"), "right_name").withColumnRenamed("size", "right_size"), "right-grams")
     frequency = key_sizes(right_grams, gram)
     rarest = Window.partitionBy("left_name", "q").orderBy("rows_per_key", "gram", "nth")
     left_grams = land(
-        _grams(open_names, "left_name")
+        _grams(fan_out(open_names, "left_name"), "left_name")
         .join(frequency, gram, "left")
         .withColumn("rows_per_key", F.coalesce("rows_per_key", F.lit(0)))
         .withColumn("place", F.row_number().over(rarest))
@@ -135,9 +135,9 @@ def nearest_names(
     )
 
     probes = left_grams.filter(
-        (F.col("q") > 1) & F.col("rows_per_key").between(1, probe_rows) & (F.col("reach") <= probe_rows)
+        (F.col("q") > 1) & (F.col("rows_per_key") > 0) & (F.col("reach") <= probe_rows)
     )
-    probed = _scored(probes.join(right_grams, gram).select("left_name", "right_name").distinct())
+    probed = _scored(fan_out(probes, *gram).join(right_grams, gram).select("left_name", "right_name").distinct())
     floor = F.lit(score_cutoff / 100.0)
     known = (
         _best(probed, limit)

@@ -11,6 +11,19 @@ PAIR_BUDGET = 25_000_000  # pairs one key may produce in one task
 HOT_ROWS = 1_000_000  # rows of one key before it is spread
 
 
+def fan_out(df: DataFrame, *columns: str) -> DataFrame:
+    """Hash rows over the shuffle partitions, ahead of a step far heavier than its input.
+
+    AQE sizes partitions by bytes and would fold a small input that multiplies
+    into a few tasks; a given partition count it leaves alone. The count is one
+    more than the session's, or Spark would drop the step as a repeat of an
+    equal shuffle before it. A join or grouping on the same columns uses the
+    partitioning as it is.
+    """
+    count = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) + 1
+    return df.repartition(count, *columns)
+
+
 def key_sizes(df: DataFrame, keys: list[str], name: str = "rows_per_key") -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
@@ -64,6 +77,7 @@ def spread_join(
             *columns, own_block, F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)).alias(other_block)
         )
 
-    left_cut = cut(left, "_rows", "_cols", "_row_block", "_col_block")
-    right_cut = cut(right, "_cols", "_rows", "_col_block", "_row_block")
-    return left_cut.join(right_cut, [*keys, "_row_block", "_col_block"]).drop("_row_block", "_col_block")
+    blocks = [*keys, "_row_block", "_col_block"]
+    left_cut = fan_out(cut(left, "_rows", "_cols", "_row_block", "_col_block"), *blocks)
+    right_cut = fan_out(cut(right, "_cols", "_rows", "_col_block", "_row_block"), *blocks)
+    return left_cut.join(right_cut, blocks).drop("_row_block", "_col_block")
