@@ -42,8 +42,11 @@ CASES = {
 }
 
 
-@pytest.mark.parametrize("case", CASES)
-@pytest.mark.parametrize("limit,cutoff", [(1, 0.0), (3, 0.0), (1, 72.0)])
+@pytest.mark.parametrize(
+    "case,limit,cutoff",
+    [(case, 1, 0.0) for case in CASES]
+    + [("hot grams", 3, 0.0), ("copies", 3, 0.0), ("disjoint", 3, 0.0), ("words", 1, 72.0), ("hot grams", 1, 60.0)],
+)
 def test_equals_brute_force(spark, case, limit, cutoff):
     lefts, rights = CASES[case](random.Random(5))
     left, right = frames(spark, lefts, rights)
