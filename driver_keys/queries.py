@@ -397,13 +397,14 @@ select 'part', count(*), count(distinct p_name), max(length(p_name)), count(*) f
 )
 def profile_lengths(f: Frames) -> DataFrame:
     def profile(source: str, df: DataFrame, column: str, prefix: str) -> DataFrame:
-        checked = (
-            quality.uniqueness(df, [column])
-            .select(F.lit(source).alias("source"), F.col("rows").alias("n"), "distinct_values")
-            .join(quality.length_profile(df, [column]).select(F.lit(source).alias("source"), F.col(f"max_{column}_length").alias("longest")), "source")
+        # three one-row findings side by side
+        found = (
+            quality.uniqueness(df, [column]).select(F.col("rows").alias("n"), "distinct_values")
+            .unionByName(quality.length_profile(df, [column]).select(F.col(f"max_{column}_length").alias("longest")), True)
+            .unionByName(quality.all_start_with(df, column, prefix).select(F.col("violations").alias("off_prefix")), True)
         )
-        off = quality.all_start_with(df, column, prefix).select(F.lit(source).alias("source"), F.col("violations").alias("off_prefix"))
-        return checked.join(off, "source")
+        columns = ["n", "distinct_values", "longest", "off_prefix"]
+        return found.agg(*[F.max(c).alias(c) for c in columns]).select(F.lit(source).alias("source"), *columns)
 
     return profile("pages", f.pages, "url", "http://").unionByName(profile("part", f.part, "p_name", "red"))
 

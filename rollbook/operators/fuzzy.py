@@ -192,10 +192,12 @@ def nearest_names(
         # names sharing no character with enough right names: similarity 0 to
         # the rest, so the smallest names fill up; at most 2 * limit of them
         # can be needed
-        filler = rights.orderBy("right_name").limit(2 * limit).withColumn("_all", F.lit(0))
+        filler = (
+            rights.orderBy("right_name").limit(2 * limit).agg(F.collect_list("right_name").alias("fill")).scalar()
+        )
         filled = found.groupBy("left_name").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= limit)
-        short = lefts.join(filled, "left_name", "left_anti").withColumn("_all", F.lit(0))
-        padding = short.join(F.broadcast(filler), "_all").select("left_name", "right_name")
+        short = lefts.join(filled, "left_name", "left_anti")
+        padding = short.withColumn("fill", filler).select("left_name", F.explode("fill").alias("right_name"))
         if limit > 1:
             padding = padding.join(found, ["left_name", "right_name"], "left_anti")
         found = found.unionByName(_scored(padding))
