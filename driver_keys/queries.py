@@ -138,8 +138,7 @@ where a.id = ac.appointment_id and a.person_id = p.id and a.post_id = t.id and t
  and ac.start_date >= date '1999-01-01'""",
 )
 def temporal_inner_join(f: Frames) -> DataFrame:
-    none = f.v_repr.limit(0)
-    return appointments.core_appointments(f.v_appt, f.v_spell, f.v_person, none, f.v_post, f.v_org, MIN_START).select(
+    return appointments.core_appointments(f.v_appt, f.v_spell, f.v_person, None, f.v_post, f.v_org, MIN_START).select(
         *CORE_COLUMNS
     )
 

@@ -115,8 +115,7 @@ def indel_ratios(left: pd.Series, right: pd.Series) -> np.ndarray:
 
 @F.pandas_udf(T.DoubleType())
 def _indel_ratio_batch(left: pd.Series, right: pd.Series) -> pd.Series:
-    scores = pd.Series(indel_ratios(left, right))
-    return scores.astype(object).where(scores.notna(), None)
+    return pd.Series(indel_ratios(left, right))  # NaN arrives as null
 
 
 def indel_ratio(left: Column, right: Column) -> Column:

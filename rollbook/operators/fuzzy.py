@@ -100,15 +100,15 @@ def nearest_names(
     right_name: str,
     limit: int = 1,
     score_cutoff: float = 0.0,
-    probe_rows: int = 32,
+    probe_rows: int = 64,
     pair_budget: int = PAIR_BUDGET,
 ) -> DataFrame:
     """(left_name, right_name, score): the ``limit`` best distinct right names.
 
     ``score_cutoff`` (0..100) drops weaker matches; at 0 every left name gets
     ``limit`` of them, as long as there are that many right names.
-    ``probe_rows`` (index rows looked at per gram length) steers only step 2,
-    never the result.
+    ``probe_rows`` (index rows looked at per name) steers only step 2, never the
+    result.
     """
     lefts = left.select(F.col(left_name).alias("left_name")).filter("left_name is not null").distinct()
     rights = right.select(F.col(right_name).alias("right_name")).filter("right_name is not null").distinct()
@@ -134,8 +134,11 @@ def nearest_names(
         "left-grams",
     )
 
-    probes = left_grams.filter(
-        (F.col("q") > 1) & (F.col("rows_per_key") > 0) & (F.col("reach") <= probe_rows)
+    # longest grams that are rare enough; up to ``probe_rows`` index rows per name
+    probes = (
+        left_grams.filter((F.col("q") > 1) & (F.col("rows_per_key") > 0) & (F.col("reach") <= probe_rows))
+        .withColumn("longest", F.max("q").over(Window.partitionBy("left_name")))
+        .filter(F.col("q") == F.col("longest"))
     )
     probed = _scored(fan_out(probes, *gram).join(right_grams, gram).select("left_name", "right_name").distinct())
     floor = F.lit(score_cutoff / 100.0)
@@ -160,23 +163,22 @@ def nearest_names(
     sized = left_grams.join(bounds, "left_name").withColumn("needed", needed)
     width = F.col("size") + F.col("q") - 1
     prefix = sized.filter((F.col("needed") >= 1) & (F.col("place") <= width - F.col("needed") + 1))
-    choice = (
-        prefix.groupBy("left_name", "q")
-        .agg(F.max("reach").alias("visits"))
-        .groupBy("left_name")
-        .agg(F.min(F.struct("visits", "q")).alias("c"))
-        .select("left_name", F.col("c.q").alias("q"))
-    )
-    lookups = prefix.join(choice, ["left_name", "q"]).select(
-        *gram, "left_name", F.col("size").alias("left_size"), "s", "needed"
+    # windows over the grams of one name: as many rows as it has characters
+    lookups = (
+        prefix.withColumn("visits", F.max("reach").over(Window.partitionBy("left_name", "q")))
+        .withColumn("least", F.min(F.struct("visits", "q")).over(Window.partitionBy("left_name")))
+        .filter(F.col("q") == F.col("least.q"))
+        .select(*gram, "left_name", F.col("size").alias("left_size"), "s", "needed")
     )
     met = spread_join(
         lookups, right_grams, gram, pair_budget, right_sizes=frequency
     ).filter(
         2 * F.least("left_size", "right_size") >= F.col("s") * (F.col("left_size") + F.col("right_size")) - _SLACK
     )
-    shared = met.groupBy("left_name", "right_name", "q", "left_size", "right_size", "s", "needed").agg(
-        F.count(F.lit(1)).alias("seen")
+    # the other columns follow from the two names
+    rest = ["q", "left_size", "right_size", "s", "needed"]
+    shared = met.groupBy("left_name", "right_name").agg(
+        F.count(F.lit(1)).alias("seen"), *[F.any_value(c).alias(c) for c in rest]
     )
     total = F.col("left_size") + F.col("right_size")
     possible = F.col("seen") + F.col("needed") - 1

@@ -16,7 +16,7 @@ def core_appointments(
     appointment: DataFrame,
     spell: DataFrame,
     person: DataFrame,
-    representation: DataFrame,
+    representation: DataFrame | None,
     post: DataFrame,
     organisation: DataFrame,
     min_start: datetime.date | None = None,
@@ -25,6 +25,7 @@ def core_appointments(
     """Spells of appointments with person, house, post and organisation as of the start.
 
     The floor on the spell's start goes first, so that it reaches the scan.
+    ``representation=None`` leaves the kind of member blank and saves its join.
     ``representation_spell`` adds no column; it repeats rows where several
     spells hold, and can be left out once ``overlaps`` finds none.
     """
@@ -44,20 +45,10 @@ def core_appointments(
         F.col("end_date").alias("p_until"),
     )
     rows = point_in_validity(rows, people, "a_person", "person_id", "a_start", "p_since", "p_until")
-    seats = representation.select(
-        F.col("id").alias("r_id"), F.col("person_id").alias("r_person"), "house", F.col("start_date").alias("r_since"),
-        F.col("end_date").alias("r_until"),
-    )
-    rows = point_in_validity(
-        rows, seats, "a_person", "r_person", "a_start", "r_since", "r_until", guard_start=False, how="left"
-    )
-    if representation_spell is not None:
-        seat_spells = representation_spell.select(
-            F.col("representation_id").alias("rc_id"), F.col("start_date").alias("rc_since"), F.col("end_date").alias("rc_until")
-        )
-        rows = point_in_validity(
-            rows, seat_spells, "r_id", "rc_id", "a_start", "rc_since", "rc_until", guard_start=False, how="left"
-        )
+    kind = F.lit(None).cast("string")
+    if representation is not None:
+        rows = _with_house(rows, representation, representation_spell)
+        kind = house_to_kind(F.col("house"))
     posts = post.select(
         F.col("id").alias("t_id"), "organisation_id", F.col("name").alias("post_name"),
         F.col("rank_equivalence").alias("post_rank"),
@@ -67,13 +58,31 @@ def core_appointments(
         rows.join(posts, F.col("a_post") == F.col("t_id"))
         .join(offices, F.col("organisation_id") == F.col("o_id"))
         .select(
-            "appointment_id", "person_id", "person_name", house_to_kind(F.col("house")).alias("mp_peer"), "post_name",
+            "appointment_id", "person_id", "person_name", kind.alias("mp_peer"), "post_name",
             "organisation_short_name", "post_rank", "cabinet_status", "is_on_leave", "is_acting", "leave_reason",
             "start_date", "end_date",
         )
     )
 
 
+def _with_house(rows: DataFrame, representation: DataFrame, representation_spell: DataFrame | None) -> DataFrame:
+    seats = representation.select(
+        F.col("id").alias("r_id"), F.col("person_id").alias("r_person"), "house", F.col("start_date").alias("r_since"),
+        F.col("end_date").alias("r_until"),
+    )
+    rows = point_in_validity(
+        rows, seats, "a_person", "r_person", "a_start", "r_since", "r_until", guard_start=False, how="left"
+    )
+    if representation_spell is None:
+        return rows
+    seat_spells = representation_spell.select(
+        F.col("representation_id").alias("rc_id"), F.col("start_date").alias("rc_since"), F.col("end_date").alias("rc_until")
+    )
+    return point_in_validity(
+        rows, seat_spells, "r_id", "rc_id", "a_start", "rc_since", "rc_until", guard_start=False, how="left"
+    )
+
+
 def listed_appointments(page_content: DataFrame) -> DataFrame:
     """The cleaned page content as the other side of the match."""
     return page_content.select(

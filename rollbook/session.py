@@ -42,7 +42,7 @@ def shared_folder(spark: SparkSession) -> str:
     if configured:
         return configured.rstrip("/")
     context = spark.sparkContext
-    current = context.getCheckpointDir() if hasattr(context, "getCheckpointDir") else None
+    current = context.getCheckpointDir()
     if current:
         return current.rstrip("/")
     if not context.master.startswith("local"):
@@ -59,7 +59,10 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder (survives lost executors)."""
-    shared_folder(df.sparkSession)
+    context = df.sparkSession.sparkContext
+    folder = shared_folder(df.sparkSession)
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
 
 

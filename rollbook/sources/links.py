@@ -59,7 +59,7 @@ def _jvm_links(pages: DataFrame, keep: list[str], html: str, list_class: str | N
     listing = F.regexp_extract(html, rf"(?is){_tag('ul', token)}(.*?)</ul\s*>", 1)
     items = F.regexp_extract_all(listing, F.lit(r"(?is)<li(?=[\s>])[^>]*>(.*?)(?=<li[\s>]|</li\s*>|\z)"), F.lit(1))
     anchor = r"(?is)(<a\s[^>]*>)(.*?)</a\s*>"
-    rows = pages.select(*keep, F.posexplode(items).alias("position", "item")).filter(F.col("item").rlike(anchor))
+    rows = pages.select(*keep, F.explode(items).alias("item")).filter(F.col("item").rlike(anchor))
     tag = F.regexp_extract("item", anchor, 1)
     text = F.regexp_replace(F.regexp_extract("item", anchor, 2), r"(?s)<[^>]*>", "")
     return rows.select(
