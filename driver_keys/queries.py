@@ -1,6 +1,7 @@
 """One query per operator group: the library on one side, plain SQL on the other.
 
-Doubles are rounded to 6 places on both sides, dates are dates.
+Doubles are rounded to 6 places on both sides, dates are dates, and numbers
+that may be missing are compared as text.
 """
 
 from __future__ import annotations
@@ -172,7 +173,7 @@ def temporal_left_join(f: Frames) -> DataFrame:
     "interval_containment_join",
     """
 select w.appointment_id, w.organisation_short_name, cast(w.start_date as date) as start_date, cast(w.end_date as date) as end_date,
- o.id as organisation_id
+ cast(o.id as varchar) as organisation_id
 from {v_appt_full} w left join {v_org} o on w.organisation_short_name = o.short_name
  and (o.start_date is null or w.start_date >= o.start_date)
  and (o.end_date is null or (w.end_date is not null and w.end_date <= o.end_date))""",
@@ -184,7 +185,9 @@ def interval_containment_join(f: Frames) -> DataFrame:
     spells = f.v_appt_full.select("appointment_id", "organisation_short_name", "start_date", "end_date")
     return validity.interval_contained(
         spells, offices, [("organisation_short_name", "short_name")], "start_date", "end_date", "since", "until"
-    ).select("appointment_id", "organisation_short_name", "start_date", "end_date", "organisation_id")
+    ).select(
+        "appointment_id", "organisation_short_name", "start_date", "end_date", F.col("organisation_id").cast("string").alias("organisation_id")
+    )
 
 
 @key(
@@ -615,7 +618,7 @@ NESTED_PATHS = [
 @key(
     "flatten_json",
     """
-select o_orderkey as id, o_orderpriority as full_name, loc as locale, l_linenumber as line, l_partkey as part
+select o_orderkey as id, o_orderpriority as full_name, loc as locale, cast(l_linenumber as varchar) as line, cast(l_partkey as varchar) as part
 from orders cross join (select 'en' as loc union all select 'cy') t left join lineitem on o_orderkey = l_orderkey and o_orderkey % 10 > 1""",
 )
 def flatten_json(f: Frames) -> DataFrame:
@@ -624,7 +627,7 @@ def flatten_json(f: Frames) -> DataFrame:
     flat = strip_all(payloads.flatten(payloads.parse_payload(owned, T.StructType.fromDDL(NESTED), paths=NESTED_PATHS)))
     return flat.select(
         "id", F.col("`details.full_name`").alias("full_name"), F.col("`links.available_translations.locale`").alias("locale"),
-        F.col("`links.role_appointments.content_id`").alias("line"), F.col("`links.role_appointments.part`").alias("part"),
+        F.col("`links.role_appointments.content_id`").cast("string").alias("line"), F.col("`links.role_appointments.part`").cast("string").alias("part"),
     )
 
 
@@ -762,14 +765,15 @@ with wanted as ({POSTS_SQL}),
 counted as (select w.*, (select count(*) from {{v_org}} o where o.short_name is not distinct from w.organisation_short_name
   and o.start_date is not distinct from w.organisation_start_date and o.end_date is not distinct from w.organisation_end_date) as n_targets
  from wanted w)
-select post_name, post_rank, n_targets, case when n_targets = 1 then (select min(o.id) from {{v_org}} o
+select post_name, post_rank, n_targets, case when n_targets = 1 then (select cast(min(o.id) as varchar) from {{v_org}} o
   where o.short_name = c.organisation_short_name and o.start_date is not distinct from c.organisation_start_date
    and o.end_date is not distinct from c.organisation_end_date) end as organisation_id from counted c""",
 )
 def insert_posts(f: Frames) -> DataFrame:
     rows, aside = changes.resolve_new_posts(posts_to_add(f), f.v_org)
     done = rows.select(
-        F.col("name").alias("post_name"), F.col("rank_equivalence").alias("post_rank"), F.lit(1).cast("long").alias("n_targets"), "organisation_id"
+        F.col("name").alias("post_name"), F.col("rank_equivalence").alias("post_rank"), F.lit(1).cast("long").alias("n_targets"),
+        F.col("organisation_id").cast("string").alias("organisation_id"),
     )
     return done.unionByName(aside.select("post_name", "post_rank", "n_targets"), allowMissingColumns=True)
 
@@ -846,11 +850,12 @@ def _resolved_edits(f: Frames) -> tuple[DataFrame, DataFrame, DataFrame]:
     + """
 select appointment_id, person_name, post_name_old, post_name_new, post_rank_old, post_rank_new, organisation_short_name,
  cast(start_date as date) as start_date, cast(end_date as date) as end_date, n_targets,
- case when n_targets = 1 then a_id end as target_appointment_id from counted""",
+ case when n_targets = 1 then cast(a_id as varchar) end as target_appointment_id from counted""",
 )
 def edit_targets(f: Frames) -> DataFrame:
     good, aside, _ = _resolved_edits(f)
-    return good.drop("new_post_id").unionByName(aside, allowMissingColumns=True)
+    done = good.drop("new_post_id").withColumn("target_appointment_id", F.col("target_appointment_id").cast("string"))
+    return done.unionByName(aside, allowMissingColumns=True)
 
 
 @key(

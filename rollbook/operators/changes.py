@@ -204,6 +204,9 @@ def edit_targets(
         F.col("id").alias("p_id"), F.col("name").alias("p_name"),
         F.col("start_date").alias("p_since"), F.col("end_date").alias("p_until"),
     )
+    # only people that some edit names
+    named = wanted.select(F.col("e_person_name").alias("n_name")).distinct()
+    people = people.join(named, F.col("p_name").eqNullSafe(F.col("n_name")), "left_semi")
     held = point_in_validity(held, people, "a_person", "p_id", "a_start", "p_since", "p_until")
     held = interval_contained(
         held, posts, [("a_post", "post_key")], "a_start", "a_end", "office_since", "office_until", how="inner"

@@ -7,7 +7,7 @@ from math import isqrt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-PAIR_BUDGET = 25_000_000  # pairs one key may produce in one task
+PAIR_BUDGET = 4_000_000  # pairs one key may produce in one task
 HOT_ROWS = 1_000_000  # rows of one key before it is spread
 
 
