@@ -57,14 +57,13 @@ def point_in_validity(
     points = left.join(hot, F.col(left_key) == F.col("_hot_key"), "left").select(
         *left.columns, F.when(is_hot, _bucket(F.col(at))).otherwise(0).alias("_at_bucket")
     )
-    first, last = _bucket(since), _bucket(until)
-    spans = (
-        right.filter(since <= until)
-        .join(hot, F.col(right_key) == F.col("_hot_key"), "left")
-        .select(
-            *right.columns,
-            F.explode(F.when(is_hot, F.sequence(first, last)).otherwise(F.array(F.lit(0)))).alias("_in_bucket"),
-        )
+    years = (
+        F.when(is_hot & (since <= until), F.sequence(_bucket(since), _bucket(until)))
+        .when(is_hot, F.array().cast("array<int>"))
+        .otherwise(F.array(F.lit(0)))
+    )
+    spans = right.join(hot, F.col(right_key) == F.col("_hot_key"), "left").select(
+        *right.columns, F.explode(years).alias("_in_bucket")
     )
     on = (
         (F.col(left_key) == F.col(right_key))
