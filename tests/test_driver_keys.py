@@ -3,6 +3,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check import TABLES, _plain
+from driver_keys.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -15,12 +16,12 @@ def db():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_sql(spark, db, name):
-    df = entry.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-    ours, theirs = df.toPandas(), db.sql(entry.oracle_sql()[name]).df()
+    ours, theirs = df.toPandas(), db.sql(ORACLES[name]).df()
     assert sorted(ours.columns) == sorted(theirs.columns)
     assert len(ours) > 0
     assert _plain(ours) == _plain(theirs)
