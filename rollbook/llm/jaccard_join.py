@@ -18,8 +18,10 @@ sets need not look for partners at all, and frequent passages, which have the
 dearest keys, are left out first. No partner is lost by it.
 
 Groups. Equal sets are one node. Nodes that share a key are first compared with
-one of them, then only pairs that these links leave in different components, so
-a group of near copies costs a number of comparisons in proportion to its size.
+the one of them that shares most, then only pairs that these links leave in
+different components; of two that differ from the same node, sizes of what each has
+added and lacks tell most often that they cannot be similar, unless they have added
+the same. So a group of near copies costs comparisons in proportion to its size.
 Every candidate is verified on the sets themselves. Sets and elements are known
 by 64-bit hashes: of n different sets two fall together with probability n^2/2^65.
 """
@@ -171,13 +173,16 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([as_long(_node_ids(offsets, hashes)), values], names=["node", "elements"])
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose sets are as similar as that, by intersection."""
+def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs ``(a, b)`` with the sizes of both sets and of their intersection."""
     left = sets.select(F.col("node").alias("a"), F.col("elements").alias("left"))
     right = sets.select(F.col("node").alias("b"), F.col("elements").alias("right"))
-    both = pairs.join(left, "a").join(right, "b").withColumn("common", F.size(F.array_intersect("left", "right")))
-    union = F.size("left") + F.size("right") - F.col("common")
-    return both.where(F.lit(100) * F.col("common") >= F.lit(percent) * union).select("a", "b")
+    both = pairs.join(left, "a").join(right, "b")
+    return both.select("a", "b", F.size("left").alias("n_a"), F.size("right").alias("n_b"), F.size(F.array_intersect("left", "right")).alias("common"))
+
+
+def _linked(percent: int):
+    return F.lit(100) * F.col("common") >= F.lit(percent) * (F.col("n_a") + F.col("n_b") - F.col("common"))
 
 
 def shingle_classes(docs: DataFrame, percent: int = 80, spare: float = 2.0) -> DataFrame:
@@ -237,7 +242,7 @@ def shingle_classes(docs: DataFrame, percent: int = 80, spare: float = 2.0) -> D
         .withColumn("rank", F.row_number().over(by_node.orderBy("freq", "key")))
         .withColumn("looks", F.col("own") & F.coalesce(F.col("rank") <= least - (units - F.count("*").over(by_node)), F.lit(True)))
     )
-    live = land(ranked.withColumn("any", F.max("looks").over(by_key)).where("any").select("key", "node", "n", "looks"), "live")
+    live = land(ranked.withColumn("any", F.max("looks").over(by_key)).where("any").select("key", "node", "n", "looks", "freq"), "live")
 
     wanted = land(live.select("node").distinct().join(nodes.select("node", "first_doc"), "node"), "wanted")
     ids = wanted.select(F.col("first_doc").alias("doc_id")).distinct()
@@ -245,20 +250,39 @@ def shingle_classes(docs: DataFrame, percent: int = 80, spare: float = 2.0) -> D
         ids = F.broadcast(ids)
     elements = land(texts.join(ids, "doc_id", "left_semi").mapInArrow(_sets, "node long, elements array<long>").dropDuplicates(["node"]), "elements")
 
+    # first against the node of the key that shares most with others: the text that the rest of a group was copied from
     close = F.lit(100) * F.least("n", "m") >= F.lit(percent) * F.greatest("n", "m")
     pair = (F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
-    centre = live.groupBy("key").agg(F.min(F.struct("node", "n")).alias("c")).select("key", F.col("c.node").alias("other"), F.col("c.n").alias("m"))
-    first = land(_verified(live.join(centre, "key").where((F.col("node") != F.col("other")) & close).select(*pair).distinct(), elements, percent), "first")
-
+    weights = live.groupBy("node").agg(F.sum("freq").alias("weight"))
+    weighted = land(live.join(weights, "node"), "weighted")
+    centre = weighted.groupBy("key").agg(F.max(F.struct("weight", "node", "n")).alias("c")).select("key", F.col("c.node").alias("other"), F.col("c.n").alias("m"))
+    star = live.join(centre, "key").where((F.col("node") != F.col("other")) & close).select("node", "other").distinct()
+    met = land(_measured(star.select(F.col("node").alias("a"), F.col("other").alias("b")), elements), "met")
+    first = met.where(_linked(percent)).select("a", "b")
+    best = met.groupBy("a").agg(F.max(F.struct("common", F.col("b").alias("anchor"), (F.col("n_a") - F.col("common")).alias("added"), (F.col("n_b") - F.col("common")).alias("lacking"))).alias("best"))
+    anchors = best.select(F.col("a").alias("node"), "best.anchor", "best.added", "best.lacking")
+
+    # then pairs in different components. Two sets that differ from the same anchor by other added elements differ at
+    # least by all that they have added and by the difference of what they lack, so most need no look at each other
     roots = components(first)
     placed = live.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = placed.withColumn("low", F.min("root").over(by_key)).withColumn("high", F.max("root").over(by_key)).where("low <> high")
     counts = mixed.withColumn("here", F.count("*").over(W.partitionBy("key", "root")))
-    counts = land(counts.withColumn("main", F.max(F.struct("here", "root")).over(by_key)).select("key", "node", "n", "looks", "root", F.col("main.root").alias("main")), "mixed")
-    outer = counts.where("root <> main").drop("main")
-    every = counts.select("key", F.col("node").alias("other"), F.col("n").alias("m"), F.col("looks").alias("sought"), F.col("root").alias("base"))
-    rest = outer.join(every, "key").where((F.col("root") != F.col("base")) & (F.col("looks") | F.col("sought")) & close).select(*pair).distinct()
-    links = land(first.unionByName(_verified(rest, elements, percent)), "all-links")
+    main = counts.withColumn("main", F.max(F.struct("here", "root")).over(by_key)).withColumn("outer", F.col("root") != F.col("main.root"))
+    mixed = land(main.join(anchors, "node", "left").select("key", "node", "n", "looks", "root", "outer", F.coalesce("anchor", "node").alias("anchor"), F.coalesce("added", F.lit(0)).alias("added"), F.coalesce("lacking", F.lit(0)).alias("lacking")), "mixed")
+    every = mixed.select("key", *(F.col(c).alias(f"{c}2") for c in ("looks", "root", "anchor", "added", "lacking")), F.col("node").alias("other"), F.col("n").alias("m"))
+    least_apart = F.col("added") + F.col("added2") + F.abs(F.col("lacking") - F.col("lacking2"))
+    may = (F.col("anchor") != F.col("anchor2")) | (least_apart * (100 + percent) <= (F.col("n") + F.col("m")) * (100 - percent))
+    apart = F.col("root") != F.col("root2")
+    by_keys = mixed.where("outer").join(every, "key").where(apart & (F.col("looks") | F.col("looks2")) & close & may).select(*pair)
+
+    nodes_left = mixed.groupBy("node", "n", "root", "anchor").agg(F.max("outer").alias("outer"))
+    own, base = elements.select("node", "elements"), elements.select(F.col("node").alias("anchor"), F.col("elements").alias("base"))
+    added = land(nodes_left.where("node <> anchor").join(own, "node").join(base, "anchor").select("anchor", "node", "n", "root", "outer", F.explode(F.array_except("elements", "base")).alias("element")), "added")
+    others = added.select("anchor", "element", F.col("root").alias("root2"), F.col("node").alias("other"), F.col("n").alias("m"))
+    by_added = added.where("outer").join(others, ["anchor", "element"]).where(apart & close).select(*pair)
+    rest = _measured(by_keys.unionByName(by_added).distinct(), elements).where(_linked(percent)).select("a", "b")
+    links = land(first.unionByName(rest), "all-links")
 
     classes = components(links)
     placed = nodes.join(classes, "node", "left").select("node", "first_doc", "copies", F.coalesce("root", "node").alias("root"))
