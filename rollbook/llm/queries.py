@@ -9,8 +9,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rollbook.llm import jaccard_join
+from rollbook.llm import jaccard_join, language, line_dedup, packing, pii, quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -21,6 +22,17 @@ def query(run: Callable[[SparkSession, str], DataFrame]):
     return run
 
 
+def tokenizer_path() -> str:
+    """The vocabulary file of the packing query, as installed on driver and executors."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def _number(spans, kind: str):
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
@@ -28,3 +40,35 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 @query
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.shingle_classes(read(spark, sf_dir, "documents"))
+
+
+@query
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(read(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
+
+
+@query
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = F.col("found")
+    base = F.filter(found, lambda s: s["kind"].isin(*pii.BASE_KINDS))
+    order = F.array(*(F.lit(k) for k in pii.BASE_KINDS))
+    ordered = F.array_sort(F.transform(base, lambda s: F.struct(F.array_position(order, s["kind"]).alias("rank"), s["start"], s["end"], s["kind"])))
+    count = [_number(found, k) for k in pii.BASE_KINDS]
+    return pii.personal_spans(read(spark, sf_dir, "documents")).select("doc_id", *count, F.sha2(pii.span_text(ordered), 256).alias("base_sha256"), pii.span_text(found).alias("spans"))
+
+
+@query
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return language.identify(docs, language.field_of(docs)).select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judged(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.array_join("failed_rules", ",").alias("failed_rules"))
