@@ -32,6 +32,8 @@ TEXTS, PASSAGE, SEQUENCES, PIECES = 300, 60, 1500, 3
 #: Hashed features, words of each language's lexicon, passes and step of the training.
 FEATURES, LEXICON, PASSES, STEP = 1 << 16, 1000, 4, 0.3
 UNKNOWN = "und"
+#: Share of its words that the language of a text must have for the text to be accepted.
+LEAST = 0.4
 
 
 class Field(NamedTuple):
@@ -236,28 +238,42 @@ def training_sample(labelled: DataFrame, texts: int = TEXTS, passage: int = PASS
     return sorted((r["lang"], r["passage"]) for r in picked.collect())
 
 
+def _labels(field: Field, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Per text: number of its language (that of unknown: one past the last) and expected share of its words in it."""
+    words = split_words(texts_of(batch))
+    n, k = batch.num_rows, len(field.languages)
+    best, share = np.full(n, k), np.zeros(n)
+    if k and len(words.codes):
+        scores, letters = _scores(field, words.vocabulary)
+        owner = spread(words.offsets)
+        starts = np.zeros(len(words.codes), bool)
+        starts[words.offsets[:-1][np.diff(words.offsets) > 0]] = True
+        belief = marginals(scores[words.codes], starts, field.transitions, field.first) if k > 1 else np.ones((len(owner), 1))
+        speaks = letters[words.codes]
+        sums = np.stack([np.bincount(owner, weights=belief[:, j] * speaks, minlength=n) for j in range(k)], axis=1)
+        total = np.bincount(owner, weights=speaks, minlength=n)
+        some = total > 0
+        best[some] = sums[some].argmax(axis=1)
+        share[some] = np.clip(sums[some].max(axis=1) / total[some], 0, 1)
+    return best, share
+
+
 def _predict(field: Field):
     names = np.array([*field.languages, UNKNOWN], dtype=object)
-    k = len(field.languages)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, most=4 << 20):
-            words = split_words(texts_of(batch))
-            n = batch.num_rows
-            best, share = np.full(n, k), np.zeros(n)
-            if k and len(words.codes):
-                scores, letters = _scores(field, words.vocabulary)
-                owner = spread(words.offsets)
-                starts = np.zeros(len(words.codes), bool)
-                starts[words.offsets[:-1][np.diff(words.offsets) > 0]] = True
-                belief = marginals(scores[words.codes], starts, field.transitions, field.first) if k > 1 else np.ones((len(owner), 1))
-                speaks = letters[words.codes]
-                sums = np.stack([np.bincount(owner, weights=belief[:, j] * speaks, minlength=n) for j in range(k)], axis=1)
-                total = np.bincount(owner, weights=speaks, minlength=n)
-                some = total > 0
-                best[some] = sums[some].argmax(axis=1)
-                share[some] = np.clip(sums[some].max(axis=1) / total[some], 0, 1)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in batch.schema.names if c != "text"), pa.array(names[best], pa.string()), pa.array(share)], names=[*(c for c in batch.schema.names if c != "text"), "lang_pred", "score"])
+            best, share = _labels(field, batch)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(names[best], pa.string()), pa.array(share)], names=["doc_id", "lang_pred", "score"])
+
+    return run
+
+
+def _accept(field: Field, least: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, most=4 << 20):
+            best, share = _labels(field, batch)
+            yield batch.filter(pa.array((best < len(field.languages)) & (share >= least)))
 
     return run
 
@@ -266,11 +282,17 @@ def identify(docs: DataFrame, field: Field) -> DataFrame:
     """``doc_id``, ``lang_pred`` and ``score`` (expected share of its words in that language) of every row.
 
     A null text, one without a letter, and any text if the field knows no language
-    have ``und`` and 0. Only the text is looked at. One pass, no shuffle.
+    have ``und`` and 0. Only the text is looked at; repeated rows stay. One pass, no
+    shuffle.
     """
     return docs.select("doc_id", "text").mapInArrow(_predict(field), "doc_id long, lang_pred string, score double")
 
 
+def accepted(docs: DataFrame, field: Field, least: float = LEAST) -> DataFrame:
+    """The rows of which one language has at least that share of the words; all columns stay as they are."""
+    return docs.mapInArrow(_accept(field, least), docs.schema)
+
+
 def held_out(doc_id: Column) -> Column:
     """Documents that no training may see: a third, by a checksum of the id."""
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(3)) == 1, F.lit(False))

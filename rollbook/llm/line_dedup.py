@@ -218,3 +218,11 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             "n_removed": F.when(F.col("__spans").isNull(), F.lit(0)).otherwise(F.size(lines) - F.size(kept)),
         }
     ).withColumn("text", left).drop("__id", "__print", "__spans")
+
+
+def remaining(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """The documents with their own lines only, without those of which no word was left; columns stay, ``n_chars`` is brought up to date."""
+    cut = dedup_lines(docs, min_words)
+    left = cut.where((F.col("n_removed") == 0) | F.rlike("text", F.lit(r"[^ \t\n\x0B\f\r]")))
+    changed = F.when(F.col("n_removed") == 0, F.col("n_chars")).otherwise(F.length("text").cast("long"))
+    return left.withColumn("n_chars", changed).select(*docs.columns)
