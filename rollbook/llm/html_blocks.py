@@ -181,6 +181,9 @@ LABELLED = (
     (4, 1.0, 3, 0.0, 2, 1.0, 0, 0, 0), (3, 0.0, 5, 0.0, 4, 0.5, 0, 0, 0), (6, 0.0, 8, 0.0, 50, 0.0, 0, 0, 1), (50, 0.0, 4, 0.0, 65, 0.0, 0, 0, 1),
     (65, 0.0, 9, 0.0, 0, 0.0, 0, 0, 0), (60, 0.0, 80, 0.0, 70, 0.0, 0, 1, 0), (0, 0.0, 500, 0.0, 0, 0.0, 1, 0, 1), (0, 0.0, 1, 0.0, 0, 0.0, 1, 0, 1),
     (0, 0.0, 35, 0.0, 0, 0.0, 0, 0, 1), (1, 1.0, 4, 0.5, 1, 0.0, 1, 0, 1), (0, 0.0, 2, 0.5, 0, 0.0, 0, 0, 0), (20, 0.0, 300, 0.3, 10, 0.0, 0, 1, 0),
+    (60, 0.0, 2, 0.0, 0, 0.0, 1, 0, 1), (0, 0.0, 2, 0.0, 0, 0.0, 1, 0, 1), (30, 0.0, 12, 0.0, 0, 0.0, 1, 0, 1), (5, 1.0, 6, 0.3, 3, 1.0, 1, 0, 1),
+    (4, 1.0, 2, 1.0, 5, 1.0, 1, 0, 1), (12, 0.0, 15, 0.0, 0, 0.0, 1, 0, 1), (3, 0.0, 5, 0.0, 2, 0.0, 1, 0, 1), (2, 0.0, 5, 0.0, 0, 0.0, 0, 0, 0),
+    (25, 0.0, 12, 0.0, 0, 0.0, 0, 0, 0), (3, 0.0, 3, 0.0, 30, 0.6, 1, 0, 1), (0, 0.0, 18, 0.0, 0, 0.0, 1, 0, 1), (8, 0.5, 9, 0.0, 2, 0.5, 1, 0, 1),
 )
 
 
