@@ -253,13 +253,16 @@ def shingle_classes(docs: DataFrame, percent: int = 80, spare: float = 2.0) -> D
     # first against the node of the key that shares most with others: the text that the rest of a group was copied from
     close = F.lit(100) * F.least("n", "m") >= F.lit(percent) * F.greatest("n", "m")
     pair = (F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
-    weights = live.groupBy("node").agg(F.sum("freq").alias("weight"))
+    weights = land(live.groupBy("node").agg(F.sum("freq").alias("weight")), "weights")
     weighted = land(live.join(weights, "node"), "weighted")
     centre = weighted.groupBy("key").agg(F.max(F.struct("weight", "node", "n")).alias("c")).select("key", F.col("c.node").alias("other"), F.col("c.n").alias("m"))
     star = live.join(centre, "key").where((F.col("node") != F.col("other")) & close).select("node", "other").distinct()
     met = land(_measured(star.select(F.col("node").alias("a"), F.col("other").alias("b")), elements), "met")
     first = met.where(_linked(percent)).select("a", "b")
-    best = met.groupBy("a").agg(F.max(F.struct("common", F.col("b").alias("anchor"), (F.col("n_a") - F.col("common")).alias("added"), (F.col("n_b") - F.col("common")).alias("lacking"))).alias("best"))
+    # a set's anchor: of the nodes that have half of it, the one that shares most with all; so a group has one anchor
+    half = 2 * F.col("common") >= F.col("n_a")
+    order = F.struct(F.when(half, F.col("weight")).alias("weight"), "common", F.col("b").alias("anchor"), (F.col("n_a") - F.col("common")).alias("added"), (F.col("n_b") - F.col("common")).alias("lacking"))
+    best = met.join(weights.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.max(order).alias("best"))
     anchors = best.select(F.col("a").alias("node"), "best.anchor", "best.added", "best.lacking")
 
     # then pairs in different components. Two sets that differ from the same anchor by other added elements differ at
