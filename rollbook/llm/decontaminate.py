@@ -19,14 +19,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rollbook.llm.sides import broadcast_if_few
 from rollbook.session import land
 
 SHINGLE = 5
 PERCENT = 80
 #: Bits in which fingerprints may differ, and the widths of the blocks (radius // blocks bits may differ in the nearest).
 RADIUS, BLOCKS = 19, (13, 13, 13, 13, 12)
-#: The item shingles are broadcast up to so many rows (about 40 bytes each), and joined by a shuffle beyond.
-BROADCAST_SHINGLES = 500_000
 
 _SPACE = " \\t\\n\\x0B\\f\\r"
 
@@ -76,15 +75,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, radius:
     Repeated rows give no further rows. The function starts jobs.
     """
     items = land(benchmark.where("item_id is not null").select("item_id", shingles("text").alias("item")).where("size(item) > 0").distinct(), "items")
-    index = items.select(F.posexplode("item").alias("place", "shingle"), F.size("item").alias("n")).distinct()
-    if index.count() <= BROADCAST_SHINGLES:
-        index = F.broadcast(index)
+    index = broadcast_if_few(land(items.select(F.posexplode("item").alias("place", "shingle"), F.size("item").alias("n")).distinct(), "item-shingles"))
     texts = docs.where("doc_id is not null").select("doc_id", "text")
     windows = land(
         texts.select("doc_id", F.posexplode(shingles("text")).alias("at", "shingle")).join(index, "shingle").select("doc_id", (F.col("at") - F.col("place")).alias("start"), "n").distinct(),
         "windows",
     )
-    hit = texts.join(windows.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", shingles("text").alias("all"))
+    met = broadcast_if_few(land(windows.select("doc_id").distinct(), "hit-docs"))
+    hit = texts.join(met, "doc_id", "left_semi").select("doc_id", shingles("text").alias("all"))
     first = F.greatest("start", F.lit(0))
     window = F.slice("all", first + 1, F.greatest(F.col("start") + F.col("n") - first, F.lit(0)))
     cut = windows.join(hit, "doc_id").select("doc_id", "start", "n", window.alias("window")).where("size(window) > 0").withColumn("print", simhash("window"))
@@ -111,4 +109,5 @@ def leaks(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, radius:
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The documents that hold no item; all columns and all other rows stay, those without id too."""
-    return docs.join(leaks(docs, benchmark, percent).select("doc_id").distinct(), "doc_id", "left_anti")
+    leaky = land(leaks(docs, benchmark, percent).select("doc_id").distinct(), "leaky")
+    return docs.join(broadcast_if_few(leaky), "doc_id", "left_anti")

@@ -39,13 +39,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollbook.llm.components import components
+from rollbook.llm.sides import broadcast_if_few
 from rollbook.llm.words import as_long, mix, shingles, slices, split_words, spread, texts_of
 from rollbook.session import land
 
 TOKENS, SEGMENTS, DELETIONS = 0, 1, 2
 _BANDS = np.uint64(63)
-#: A side of at most so many nodes (16 bytes each) may be broadcast.
-BROADCAST_NODES = 500_000
 
 
 @dataclass(frozen=True)
@@ -245,9 +244,7 @@ def shingle_classes(docs: DataFrame, percent: int = 80, spare: float = 2.0) -> D
     live = land(ranked.withColumn("any", F.max("looks").over(by_key)).where("any").select("key", "node", "n", "looks", "freq"), "live")
 
     wanted = land(live.select("node").distinct().join(nodes.select("node", "first_doc"), "node"), "wanted")
-    ids = wanted.select(F.col("first_doc").alias("doc_id")).distinct()
-    if wanted.count() <= BROADCAST_NODES:
-        ids = F.broadcast(ids)
+    ids = broadcast_if_few(land(wanted.select(F.col("first_doc").alias("doc_id")).distinct(), "wanted-docs"))
     elements = land(texts.join(ids, "doc_id", "left_semi").mapInArrow(_sets, "node long, elements array<long>").dropDuplicates(["node"]), "elements")
 
     # first against the node of the key that shares most with others: the text that the rest of a group was copied from
@@ -299,5 +296,5 @@ def keep_first(docs: DataFrame, percent: int = 80) -> DataFrame:
 
     Columns and rows are returned as they come. A null id is never linked.
     """
-    classes = shingle_classes(docs, percent).where("component_id < doc_id").select("doc_id").distinct()
-    return docs.join(classes, "doc_id", "left_anti")
+    copies = land(shingle_classes(docs, percent).where("component_id < doc_id").select("doc_id").distinct(), "copies")
+    return docs.join(broadcast_if_few(copies), "doc_id", "left_anti")

@@ -28,6 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rollbook.llm.sides import broadcast_if_few
 from rollbook.llm.words import as_long, hash_strings, mix, slices, spread, texts_of
 from rollbook.session import land
 
@@ -189,8 +190,8 @@ def deleted_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     keys = land(texts.select("doc_id", "text").mapInArrow(_keys_of(min_words), "doc_id long, key long"), "line-keys")
     firsts = keys.groupBy("key").agg(F.min("doc_id").alias("keeper"), F.max("doc_id").alias("last")).where("keeper < last").select("key", "keeper")
     pairs = land(keys.join(firsts, "key").where("doc_id > keeper").select("doc_id", "keeper").distinct(), "line-pairs")
-    met = pairs.select("doc_id").unionByName(pairs.select(F.col("keeper").alias("doc_id"))).distinct()
-    lines = land(texts.join(met, "doc_id", "left_semi").mapInArrow(_line_arrays, "doc_id long, print long, number array<int>, hash array<long>, words array<int>"), "lines")
+    met = land(pairs.select("doc_id").unionByName(pairs.select(F.col("keeper").alias("doc_id"))).distinct(), "line-docs")
+    lines = land(texts.join(broadcast_if_few(met), "doc_id", "left_semi").mapInArrow(_line_arrays, "doc_id long, print long, number array<int>, hash array<long>, words array<int>"), "lines")
     kept = lines.select(F.col("doc_id").alias("keeper"), F.col("hash").alias("kept_hash"), F.col("words").alias("kept_words"))
     both = pairs.join(lines, "doc_id").join(kept, "keeper").select("doc_id", "print", "number", "hash", "words", "kept_hash", "kept_words")
     found = both.mapInArrow(_align(min_words), "doc_id long, print long, first int, last int").distinct()
@@ -207,8 +208,8 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     and not compared with each other; a row without id is not compared. The
     function starts jobs.
     """
-    spans = deleted_lines(docs, min_words).withColumnsRenamed({"doc_id": "__id", "print": "__print", "spans": "__spans"})
-    joined = docs.join(spans, (F.col("doc_id") == F.col("__id")) & (F.xxhash64("text") == F.col("__print")), "left")
+    spans = land(deleted_lines(docs, min_words), "line-spans").withColumnsRenamed({"doc_id": "__id", "print": "__print", "spans": "__spans"})
+    joined = docs.join(broadcast_if_few(spans, weight="size(__spans)"), (F.col("doc_id") == F.col("__id")) & (F.xxhash64("text") == F.col("__print")), "left")
     lines = F.split("text", "\n", -1)
     kept = F.filter(lines, lambda _, i: ~F.exists("__spans", lambda s: (i >= s["first"]) & (i <= s["last"])))
     left = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
