@@ -74,14 +74,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, radius:
     item of fewer than five words matches only a document of the same words.
     Repeated rows give no further rows. The function starts jobs.
     """
-    items = land(benchmark.where("item_id is not null").select("item_id", shingles("text").alias("item")).where("size(item) > 0").distinct(), "items")
-    index = broadcast_if_few(land(items.select(F.posexplode("item").alias("place", "shingle"), F.size("item").alias("n")).distinct(), "item-shingles"))
+    items = benchmark.where("item_id is not null").select("item_id", shingles("text").alias("item")).where("size(item) > 0")
+    index = broadcast_if_few(items.select(F.posexplode("item").alias("place", "shingle"), F.size("item").alias("n")))
     texts = docs.where("doc_id is not null").select("doc_id", "text")
     windows = land(
         texts.select("doc_id", F.posexplode(shingles("text")).alias("at", "shingle")).join(index, "shingle").select("doc_id", (F.col("at") - F.col("place")).alias("start"), "n").distinct(),
         "windows",
     )
-    met = broadcast_if_few(land(windows.select("doc_id").distinct(), "hit-docs"))
+    met = broadcast_if_few(windows.select("doc_id").distinct())
     hit = texts.join(met, "doc_id", "left_semi").select("doc_id", shingles("text").alias("all"))
     first = F.greatest("start", F.lit(0))
     window = F.slice("all", first + 1, F.greatest(F.col("start") + F.col("n") - first, F.lit(0)))
