@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from driver_keys.views import Frames, with_views
 from rollbook.functions import titles
+from rollbook.functions.fixed_rules import MANY_NAMED_TITLES
 from rollbook.functions.names import strip_name_affixes
 from rollbook.functions.similarity import indel_ratio
 from rollbook.functions.text import strip_all
@@ -147,21 +148,19 @@ def temporal_inner_join(f: Frames) -> DataFrame:
 @key(
     "temporal_left_join",
     """
-select a.id as appointment_id, p.id as person_id, p.name as person_name,
- case r.house when 'Commons' then 'MP' when 'Lords' then 'Peer' end as mp_peer, t.name as post_name,
- o.short_name as organisation_short_name, t.rank_equivalence as post_rank, ac.cabinet_status, ac.is_on_leave, ac.is_acting,
- ac.leave_reason, cast(ac.start_date as date) as start_date, cast(ac.end_date as date) as end_date
-from {v_appt} a
- inner join {v_spell} ac on a.id = ac.appointment_id
- inner join {v_person} p on a.person_id = p.id and (p.start_date is null or a.start_date >= p.start_date)
-  and (p.end_date is null or a.start_date < p.end_date)
- left join {v_repr} r on a.person_id = r.person_id and a.start_date >= r.start_date
-  and (r.end_date is null or a.start_date < r.end_date)
- left join {v_repr_spell} rc on r.id = rc.representation_id and a.start_date >= rc.start_date
-  and (rc.end_date is null or a.start_date < rc.end_date)
- inner join {v_post} t on a.post_id = t.id
- inner join {v_org} o on t.organisation_id = o.id
-where ac.start_date >= date '1999-01-01'""",
+with spells as (select representation_id, start_date as since, coalesce(end_date, date 'infinity') as till from {v_repr_spell}),
+seats as (
+ select appointment_id, mp_peer from {v_seat_that_day} seat
+  join (select id as appointment_id, start_date as day from {v_appt}) using (appointment_id)
+  left join spells on spells.representation_id = seat.representation_id and day >= since and day < till)
+select d.appointment_id, d.person_id, d.person_name, seats.mp_peer, f.post_name, f.organisation_short_name, f.post_rank,
+ s.cabinet_status, s.is_on_leave, s.is_acting, s.leave_reason, cast(s.start_date as date) as start_date, cast(s.end_date as date) as end_date
+from {v_name_that_day} d
+ join {v_spell} s using (appointment_id)
+ join (select id as appointment_id, post_id from {v_appt}) held using (appointment_id)
+ join {v_office} f using (post_id)
+ left join seats using (appointment_id)
+where s.start_date > date '1998-12-31'""",
 )
 def temporal_left_join(f: Frames) -> DataFrame:
     return appointments.core_appointments(
@@ -426,12 +425,12 @@ def row_count_check(f: Frames) -> DataFrame:
 
 
 def _source_content(f: Frames) -> DataFrame:
-    return f.v_source_rows.select(
+    return f.v_dated_rows.select(
         "person_id", F.col("content_id").alias("person_id_ext"), F.col("full_name").alias("person_name"),
         F.col("role_appointment_id").alias("appointment_id_ext"), F.lit(None).cast("string").alias("post_id_ext"),
         F.col("title").alias("post_name"), F.lit(None).cast("string").alias("organisation_id_ext"),
         F.col("org_title").alias("organisation_name"), F.lit(None).cast("string").alias("organisation_short_name"),
-        F.col("started_on").alias("appointment_start_date"), F.col("ended_on").alias("appointment_end_date"),
+        F.col("started_text").alias("appointment_start_date"), F.col("ended_text").alias("appointment_end_date"),
         "locale", "document_type", "analytics_identifier",
     )
 
@@ -444,14 +443,14 @@ select distinct cast(person_id as varchar) as person_id, content_id as person_id
  cast(null as varchar) as post_name_clean, cast(null as varchar) as post_rank, false as is_on_leave, false as is_acting,
  cast(null as varchar) as leave_reason, cast(null as varchar) as organisation_id_ext, org_title as organisation_name,
  cast(null as varchar) as organisation_name_clean, cast(null as varchar) as organisation_short_name,
- cast(null as varchar) as organisation_short_name_clean, cast(started_on as date) as appointment_start_date,
- cast(ended_on as date) as appointment_end_date
-from {v_source_rows}
+ cast(null as varchar) as organisation_short_name_clean, try_cast(left(started_text, 10) as date) as appointment_start_date,
+ try_cast(left(ended_text, 10) as date) as appointment_end_date
+from {v_dated_rows}
 where locale = 'en' and document_type = 'ministerial_role' and title not in ('First Lord of the Treasury', 'President of the Board of Trade')
  and (analytics_identifier is null or analytics_identifier like 'd%'
   or org_title in ('Deputy Prime Minister''s Office', 'Government Equalities Office', 'Prime Minister''s Office, 10 Downing Street'))
  and (org_title is null or org_title not in ('UK Export Finance', 'UK Trade & Investment'))
- and (ended_on is null or date_diff('day', started_on, ended_on) > 1)""",
+ and coalesce(date_diff('day', try_cast(left(started_text, 10) as date), try_cast(left(ended_text, 10) as date)) > 1, true)""",
 )
 def analysis_table(f: Frames) -> DataFrame:
     return cleaning.drop_short_spells(cleaning.page_content(cleaning.keep_ministerial(_source_content(f))))
@@ -631,19 +630,24 @@ def flatten_json(f: Frames) -> DataFrame:
     )
 
 
+# what a page of the crawl holds: its own entries, or after each of them the nested one as well
 LINKS_SQL = """
-with found as (select page_id, unnest(regexp_extract_all(regexp_extract(html, '<ul>(.*?)</ul>', 1, 's'), '<li><a href="[^"]*">[^<]*</a></li>')) as item from pages)
-select page_id, regexp_extract(item, 'href="([^"]*)"', 1) as href, regexp_extract(item, '">([^<]*)</a>', 1) as name,
- concat('https://lists.example.org', regexp_extract(item, 'href="([^"]*)"', 1)) as address,
- case when starts_with(regexp_extract(item, 'href="([^"]*)"', 1), '/') then substring(regexp_extract(item, 'href="([^"]*)"', 1), 2) end as slug,
- cast(null as varchar) as content_id, cast(null as varchar) as next_url
-from found"""
+with found as (
+ select page_id, next_href, unnest(regexp_extract_all(regexp_extract(html, '<ul>(.*?)</ul>', 1, 's'), '<li><a href="[^"]*">[^<]*</a></li>')) as item
+ from (select p.page_id, p.html, c.next_href from pages p join {v_crawled} c using (page_id))),
+own as (select page_id, next_href, regexp_extract(item, 'href="([^"]*)"', 1) as href, regexp_extract(item, '">([^<]*)</a>', 1) as name from found),
+every as (select * from own union all select page_id, next_href, '/in/side', 'café & bar' from own where page_id % 4 = 1)
+select page_id, href, name, concat('https://lists.example.org', href) as address,
+ case when starts_with(href, '/') then substring(href, 2) end as slug, cast(null as varchar) as content_id,
+ concat('https://lists.example.org', next_href) as next_url
+from every"""
 
 
 def _links(f: Frames, reader: str) -> DataFrame:
-    found = links.page_links(f.pages, ["page_id"], list_class=None, reader=reader)
-    following = f.pages.select("page_id", links.next_page(F.col("html"), BASE_URL).alias("next_url"))
-    return found.join(following, "page_id").select(
+    paging = F.concat(F.lit('<div class="x pagination__next"><a href="'), F.col("next_href"), F.lit('">more</a></div>'))
+    crawled = f.v_crawled.withColumn("html", F.concat("html", paging))
+    pages = crawled.withColumn("next_url", links.next_page(F.col("html"), BASE_URL))
+    return links.page_links(pages, ["page_id", "next_url"], list_class=None, reader=reader).select(
         "page_id", "href", "name", links.resolve_url(F.col("href"), BASE_URL).alias("address"),
         links.person_slug(F.col("href"), "/").alias("slug"), "content_id", "next_url",
     )
@@ -651,7 +655,7 @@ def _links(f: Frames, reader: str) -> DataFrame:
 
 @key("page_links", LINKS_SQL)
 def page_links(f: Frames) -> DataFrame:
-    return _links(f, "jvm")
+    return _links(f, "auto")
 
 
 @key("page_links_parser", LINKS_SQL)
@@ -666,81 +670,83 @@ LISTED_SQL = """reviewed, match_accepted, replace_post_name, notes, appointment_
  organisation_short_name_core, cast(start_date_core as date) as start_date_core, cast(end_date_core as date) as end_date_core,
  post_name_ext, organisation_short_name_ext, cast(start_date_ext as date) as start_date_ext, cast(end_date_ext as date) as end_date_ext"""
 
-AMBIGUOUS_SQL = """(select w2.appointment_id_core, count(distinct w2.post_name_ext) from {v_workflow} w2
- where w1.appointment_id_core = w2.appointment_id_core and w2.match_accepted
-  and w2.post_name_core not in ('Minister for Women', 'Minister for Equalities', 'Minister for Women and Equalities',
-   'Minister of State for Women and Equalities', 'Parliamentary Under Secretary of State for Women and Equalities')
- group by w2.appointment_id_core having count(distinct w2.post_name_ext) > 1)"""
-RENAME_SQL = f"w1.reviewed and w1.match_accepted and w1.replace_post_name and not exists {AMBIGUOUS_SQL}"
-
-
-@key(
-    "no_accepted_candidate",
-    f"""
-select {LISTED_SQL} from {{v_workflow}} w1 where w1.reviewed
- and not exists (select * from {{v_workflow}} w2 where w2.match_accepted and w1.appointment_id_core = w2.appointment_id_core)""",
-)
+_MANY_NAMED = ", ".join(f"'{t}'" for t in MANY_NAMED_TITLES)
+# every candidate with what is known of its appointment: whether any candidate is accepted, and the first and the last
+# of the listed names accepted for it
+JUDGED = f"""judged as (
+ select c.*, coalesce(post_rank_ext, post_rank_core) as new_rank,
+  max(case when match_accepted then 1 else 0 end) over appointment as accepted_somewhere,
+  min(accepted_name) over appointment as first_name, max(accepted_name) over appointment as last_name
+ from (select *, case when match_accepted and post_name_core not in ({_MANY_NAMED}) then post_name_ext end as accepted_name from {{v_workflow}}) c
+ window appointment as (partition by appointment_id_core))"""
+# rows to rename: decided, and under one name only
+PLANNED = f"""{JUDGED},
+planned as (
+ select * from judged where reviewed and match_accepted and replace_post_name and first_name is not distinct from last_name)"""
+
+
+@key("no_accepted_candidate", f"with {JUDGED} select {LISTED_SQL} from judged where reviewed and accepted_somewhere = 0")
 def no_accepted_candidate(f: Frames) -> DataFrame:
-    return review.without_accepted(f.v_workflow)
+    return review.without_accepted(f.landed("v_workflow"))
 
 
-@key(
-    "ambiguous_appointments",
-    f"select {LISTED_SQL} from {{v_workflow}} w1 where w1.reviewed and w1.match_accepted and exists {AMBIGUOUS_SQL}",
-)
+@key("ambiguous_appointments", f"with {JUDGED} select {LISTED_SQL} from judged where reviewed and match_accepted and first_name < last_name")
 def ambiguous_appointments(f: Frames) -> DataFrame:
-    return review.ambiguous_rows(f.v_workflow)
+    return review.ambiguous_rows(f.landed("v_workflow"))
 
 
-@key("review_notes", f"select {LISTED_SQL} from {{v_workflow}} w1 where w1.reviewed and notes is not null")
+@key("review_notes", f"select {LISTED_SQL} from {{v_workflow}} where notes > '' and reviewed")
 def review_notes(f: Frames) -> DataFrame:
     return review.with_notes(f.v_workflow)
 
 
 @key(
     "review_rank_diff",
-    f"""
-select distinct post_rank_core, post_rank_ext, {LISTED_SQL} from {{v_workflow}} w1
-where {RENAME_SQL} and w1.post_rank_core <> w1.post_rank_ext""",
+    f"""with {PLANNED}
+select post_rank_core, post_rank_ext, {LISTED_SQL} from planned where nullif(post_rank_ext, post_rank_core) is not null and post_rank_core is not null
+group by all""",
 )
 def review_rank_diff(f: Frames) -> DataFrame:
-    return review.rank_differences(f.v_workflow)
+    return review.rank_differences(f.landed("v_workflow"))
 
 
 @key(
     "review_renames",
-    f"""
-select distinct post_name_core, post_name_ext, organisation_short_name_core, organisation_short_name_ext, post_rank_core, post_rank_ext
-from {{v_workflow}} w1 where {RENAME_SQL}""",
+    f"""with {PLANNED}
+select post_name_core, post_name_ext, organisation_short_name_core, organisation_short_name_ext, post_rank_core, post_rank_ext
+from planned group by all""",
 )
 def review_renames(f: Frames) -> DataFrame:
-    return review.planned_renames(f.v_workflow)
-
-
-OFFICE_SQL = """left join {v_org} o on w1.organisation_short_name_core = o.short_name
- and w1.start_date_core >= coalesce(o.start_date, date '1900-01-01')
- and coalesce(w1.end_date_core, date '9999-12-31') <= coalesce(o.end_date, date '9999-12-31')"""
-SAME_POST_SQL = """w1.post_name_ext = t.name and w1.organisation_short_name_core = o2.short_name
- and ((w1.post_rank_ext is null and w1.post_rank_core = t.rank_equivalence) or w1.post_rank_ext = t.rank_equivalence)"""
-POSTS_SQL = f"""select distinct w1.post_name_ext as post_name,
- case when w1.post_rank_ext is null then w1.post_rank_core else w1.post_rank_ext end as post_rank,
- w1.organisation_short_name_core as organisation_short_name, cast(o.start_date as date) as organisation_start_date,
- cast(o.end_date as date) as organisation_end_date
-from {{v_workflow}} w1 {OFFICE_SQL}
-where {RENAME_SQL} and not exists (select * from {{v_post}} t inner join {{v_org}} o2 on t.organisation_id = o2.id where {SAME_POST_SQL})"""
-RELATIONS_SQL = f"""select distinct w1.post_name_ext as post_name,
- case when w1.post_rank_ext is null then w1.post_rank_core else w1.post_rank_ext end as post_rank,
- w1.organisation_short_name_core as organisation_short_name, cast(o.start_date as date) as organisation_start_date,
- cast(o.end_date as date) as organisation_end_date, substring(w1.post_name_ext, 14) as group_name
-from {{v_workflow}} w1 {OFFICE_SQL}
-where {RENAME_SQL} and not exists (select * from {{v_post_rel}} pr inner join {{v_post}} t on pr.post_id = t.id
- inner join {{v_org}} o2 on t.organisation_id = o2.id where {SAME_POST_SQL})"""
-EDITS_SQL = f"""select distinct w1.appointment_id_core as appointment_id, w1.person_name_core as person_name,
- w1.post_name_core as post_name_old, w1.post_name_ext as post_name_new, w1.post_rank_core as post_rank_old,
- case when w1.post_rank_ext is null then w1.post_rank_core else w1.post_rank_ext end as post_rank_new,
- w1.organisation_short_name_core as organisation_short_name, cast(w1.start_date_core as date) as start_date,
- cast(w1.end_date_core as date) as end_date
-from {{v_workflow}} w1 where {RENAME_SQL}"""
+    return review.planned_renames(f.landed("v_workflow"))
+
+
+# what is wanted, and the organisation as it stood for the whole of the spell
+WANTED = f"""{PLANNED},
+terms as (
+ select short_name as organisation_short_name_core, start_date as term_start, end_date as term_end,
+  coalesce(start_date, date '-infinity') as opened, coalesce(end_date, date 'infinity') as closed from {{v_org}}),
+wanted as (
+ select post_name_ext as post_name, new_rank as post_rank, p.organisation_short_name_core as organisation_short_name,
+  cast(term_start as date) as organisation_start_date, cast(term_end as date) as organisation_end_date
+ from planned p left join terms on terms.organisation_short_name_core = p.organisation_short_name_core
+  and start_date_core >= opened and coalesce(end_date_core, date 'infinity') <= closed
+ group by all)"""
+LACKING_POST = f"""{WANTED},
+lacking as (select wanted.* from wanted anti join {{v_office}} using (post_name, post_rank, organisation_short_name))"""
+POSTS_SQL = f"with {LACKING_POST} select * from lacking"
+LACKING_LINK = f"""{WANTED},
+grouped as (select office.* from {{v_office}} office semi join {{v_post_rel}} using (post_id)),
+unlinked as (
+ select wanted.*, post_name[14:] as group_name
+ from wanted anti join grouped using (post_name, post_rank, organisation_short_name))"""
+RELATIONS_SQL = f"with {LACKING_LINK} select * from unlinked"
+RENAMED = f"""{PLANNED},
+renamed as (
+ select appointment_id_core as appointment_id, person_name_core as person_name, post_name_core as post_name_old, post_name_ext as post_name_new,
+  post_rank_core as post_rank_old, new_rank as post_rank_new, organisation_short_name_core as organisation_short_name,
+  cast(start_date_core as date) as start_date, cast(end_date_core as date) as end_date
+ from planned group by all)"""
+EDITS_SQL = f"with {RENAMED} select * from renamed"
 
 
 @key("posts_to_add", POSTS_SQL)
@@ -761,13 +767,13 @@ def appointments_to_edit(f: Frames) -> DataFrame:
 @key(
     "insert_posts",
     f"""
-with wanted as ({POSTS_SQL}),
-counted as (select w.*, (select count(*) from {{v_org}} o where o.short_name is not distinct from w.organisation_short_name
-  and o.start_date is not distinct from w.organisation_start_date and o.end_date is not distinct from w.organisation_end_date) as n_targets
- from wanted w)
-select post_name, post_rank, n_targets, case when n_targets = 1 then (select cast(min(o.id) as varchar) from {{v_org}} o
-  where o.short_name = c.organisation_short_name and o.start_date is not distinct from c.organisation_start_date
-   and o.end_date is not distinct from c.organisation_end_date) end as organisation_id from counted c""",
+with {LACKING_POST},
+same_term as (
+ select short_name as organisation_short_name, start_date as s, end_date as e, count(*) as n, cast(any_value(id) as varchar) as only_id
+ from {{v_org}} group by all)
+select post_name, post_rank, coalesce(n, 0) as n_targets, case when n = 1 then only_id end as organisation_id
+from lacking left join same_term on same_term.organisation_short_name = lacking.organisation_short_name
+ and s is not distinct from organisation_start_date and e is not distinct from organisation_end_date""",
 )
 def insert_posts(f: Frames) -> DataFrame:
     rows, aside = changes.resolve_new_posts(posts_to_add(f), f.v_org)
@@ -781,17 +787,19 @@ def insert_posts(f: Frames) -> DataFrame:
 @key(
     "insert_relationships",
     f"""
-with wanted as ({RELATIONS_SQL}), added as ({POSTS_SQL}),
-posts as (select t.name, t.rank_equivalence, o.short_name, o.start_date, o.end_date from {{v_post}} t inner join {{v_org}} o on t.organisation_id = o.id
- union all select a.post_name, a.post_rank, o.short_name, o.start_date, o.end_date from added a inner join {{v_org}} o
-  on o.short_name = a.organisation_short_name and o.start_date is not distinct from a.organisation_start_date
-   and o.end_date is not distinct from a.organisation_end_date)
-select w.post_name, group_name, case when post_rank in ('MoS', 'PUSS') then 'MoS/PUSS' else post_rank end as group_seniority,
- count(p.name) as n_targets
-from wanted w left join posts p on p.name = w.post_name and p.rank_equivalence is not distinct from w.post_rank
- and p.short_name = w.organisation_short_name and p.start_date is not distinct from w.organisation_start_date
- and p.end_date is not distinct from w.organisation_end_date
-group by w.post_name, group_name, post_rank, organisation_short_name, organisation_start_date, organisation_end_date""",
+with {LACKING_LINK},
+lacking as (select wanted.* from wanted anti join {{v_office}} using (post_name, post_rank, organisation_short_name)),
+all_posts as (
+ select x.name, x.rank_equivalence as rank, y.short_name as place, y.start_date as s, y.end_date as e from {{v_post}} x, {{v_org}} y where y.id = x.organisation_id
+ union all
+ select post_name, post_rank, organisation_short_name, organisation_start_date, organisation_end_date from lacking
+  semi join (select short_name as organisation_short_name, start_date as s, end_date as e from {{v_org}}) term
+   on term.organisation_short_name = lacking.organisation_short_name and s is not distinct from organisation_start_date and e is not distinct from organisation_end_date),
+held as (select *, count(*) as n from all_posts group by all)
+select post_name, group_name, case post_rank when 'MoS' then 'MoS/PUSS' when 'PUSS' then 'MoS/PUSS' else post_rank end as group_seniority,
+ cast(coalesce(n, 0) as bigint) as n_targets
+from unlinked left join held on name = post_name and place = organisation_short_name and rank is not distinct from post_rank
+ and s is not distinct from organisation_start_date and e is not distinct from organisation_end_date""",
 )
 def insert_relationships(f: Frames) -> DataFrame:
     new_posts, _ = changes.resolve_new_posts(posts_to_add(f), f.v_org)
@@ -805,34 +813,37 @@ def insert_relationships(f: Frames) -> DataFrame:
     return done.unionByName(left_over)
 
 
-EDIT_HITS_SQL = f"""
-with edits as ({EDITS_SQL}), added as ({POSTS_SQL}),
-posts as (select cast(id as varchar) as id, organisation_id, name, rank_equivalence from {{v_post}}
- union all select 'new', o.id, a.post_name, a.post_rank from added a inner join {{v_org}} o
-  on o.short_name = a.organisation_short_name and o.start_date is not distinct from a.organisation_start_date
-   and o.end_date is not distinct from a.organisation_end_date),
-hits as (select e.*, a.id as a_id, t2.id as new_id
- from edits e
- inner join {{v_person}} p on p.name = e.person_name
- inner join {{v_appt}} a on a.person_id = p.id and a.start_date >= coalesce(p.start_date, date '1900-01-01')
-  and a.start_date < coalesce(p.end_date, date '9999-12-31')
- inner join {{v_spell}} ac on a.id = ac.appointment_id and ac.start_date is not distinct from e.start_date
-  and ac.end_date is not distinct from e.end_date
- inner join {{v_post}} t1 on a.post_id = t1.id and t1.name = e.post_name_old and t1.rank_equivalence is not distinct from e.post_rank_old
- inner join posts t2 on t2.name = e.post_name_new and t2.rank_equivalence is not distinct from e.post_rank_new
- inner join {{v_org}} o1 on t1.organisation_id = o1.id and o1.short_name = e.organisation_short_name
-  and a.start_date >= coalesce(o1.start_date, date '1900-01-01')
-  and coalesce(a.end_date, date '9999-12-31') <= coalesce(o1.end_date, date '9999-12-31')
- inner join {{v_org}} o2 on t2.organisation_id = o2.id and o2.short_name = e.organisation_short_name
-  and ac.start_date >= coalesce(o2.start_date, date '1900-01-01')
-  and coalesce(ac.end_date, date '9999-12-31') <= coalesce(o2.end_date, date '9999-12-31')),
-counted as (select e.appointment_id, e.person_name, e.post_name_old, e.post_name_new, e.post_rank_old, e.post_rank_new,
-  e.organisation_short_name, e.start_date, e.end_date, count(h.a_id) as n_targets, min(h.a_id) as a_id, min(h.new_id) as new_id
- from edits e left join hits h on e.appointment_id = h.appointment_id and e.person_name = h.person_name
-  and e.post_name_new = h.post_name_new and e.post_rank_new is not distinct from h.post_rank_new
-  and e.start_date = h.start_date and e.end_date is not distinct from h.end_date
- group by e.appointment_id, e.person_name, e.post_name_old, e.post_name_new, e.post_rank_old, e.post_rank_new,
-  e.organisation_short_name, e.start_date, e.end_date)"""
+# the spells that an edit may mean, with the post as it was, and the posts of the new name, both of a term that covers them
+FOUND = f"""{RENAMED},
+lacking as (select wanted.* from (
+  select post_name_ext as post_name, new_rank as post_rank, organisation_short_name_core as organisation_short_name, cast(y.start_date as date) as s, cast(y.end_date as date) as e
+  from planned left join {{v_org}} y on y.short_name = organisation_short_name_core and start_date_core >= coalesce(y.start_date, date '-infinity')
+   and coalesce(end_date_core, date 'infinity') <= coalesce(y.end_date, date 'infinity') group by all) wanted
+  anti join {{v_office}} using (post_name, post_rank, organisation_short_name)),
+terms as (
+ select id as term, short_name as organisation_short_name, coalesce(start_date, date '-infinity') as opened, coalesce(end_date, date 'infinity') as closed,
+  start_date as s, end_date as e from {{v_org}}),
+targets as (
+ select cast(post_id as varchar) as new_id, post_name as post_name_new, post_rank as post_rank_new, term, opened, closed, office.organisation_short_name
+ from {{v_office}} office join terms on term = organisation_id
+ union all
+ select 'new', post_name, post_rank, term, opened, closed, terms.organisation_short_name from lacking join terms
+  on terms.organisation_short_name = lacking.organisation_short_name and terms.s is not distinct from lacking.s and terms.e is not distinct from lacking.e),
+held as (
+ select v.id as a_id, d.person_name, post_name as post_name_old, coalesce(post_rank, '') as rank_old, office.organisation_short_name,
+  sp.start_date as start_date, sp.end_date as end_date
+ from {{v_name_that_day}} d join {{v_appt}} v on v.id = d.appointment_id join {{v_spell}} sp using (appointment_id)
+  join {{v_office}} office using (post_id) join terms on term = organisation_id
+ where v.start_date >= opened and coalesce(v.end_date, date 'infinity') <= closed),
+numbered as (select *, row_number() over () as edit from renamed),
+hits as (
+ select edit, a_id, new_id from numbered n
+  join held h on h.person_name = n.person_name and h.post_name_old = n.post_name_old and h.rank_old = coalesce(n.post_rank_old, '')
+   and h.organisation_short_name = n.organisation_short_name and h.start_date is not distinct from n.start_date and h.end_date is not distinct from n.end_date
+  join targets t on t.post_name_new = n.post_name_new and t.post_rank_new is not distinct from n.post_rank_new
+   and t.organisation_short_name = n.organisation_short_name and n.start_date >= opened and coalesce(n.end_date, date 'infinity') <= closed),
+totals as (select edit, count(*) as n_hits, min(a_id) as a_id, min(new_id) as new_id from hits group by edit),
+counted as (select numbered.*, coalesce(n_hits, 0) as n_targets, a_id, new_id from numbered left join totals using (edit))"""
 
 
 def _resolved_edits(f: Frames) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -846,7 +857,7 @@ def _resolved_edits(f: Frames) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 @key(
     "edit_targets",
-    EDIT_HITS_SQL
+    f"with {FOUND}"
     + """
 select appointment_id, person_name, post_name_old, post_name_new, post_rank_old, post_rank_new, organisation_short_name,
  cast(start_date as date) as start_date, cast(end_date as date) as end_date, n_targets,
@@ -860,7 +871,7 @@ def edit_targets(f: Frames) -> DataFrame:
 
 @key(
     "apply_post_update",
-    EDIT_HITS_SQL
+    f"with {FOUND}"
     + """,
 moves as (select a_id, min(new_id) as new_id, count(distinct concat(new_id, post_name_new, post_rank_new)) as n from counted where n_targets = 1 group by a_id)
 select a.id, a.person_id, case when m.n = 1 and m.new_id = 'new' then 'new' when m.n = 1 then m.new_id else cast(a.post_id as varchar) end as post_id,
@@ -890,7 +901,7 @@ def apply_review(f: Frames) -> DataFrame:
 @key(
     "render_statements",
     f"""
-with wanted as ({POSTS_SQL}), quoted as (select *, concat(post_name, '''s') as q_name from wanted)
+with {LACKING_POST}, quoted as (select *, concat(post_name, '''s') as q_name from lacking)
 select concat('insert into core.post (id, organisation_id, name, rank_equivalence) select newid(), o.id, ''',
   replace(q_name, '''', ''''''), ''', ', case when post_rank is null then 'NULL' else concat('''', post_rank, '''') end,
   ' from core.organisation o where o.short_name = ''', organisation_short_name, ''' and ',

@@ -25,8 +25,9 @@ def or_latest(date: Column) -> Column:
 
 
 def parse_date(text: Column) -> Column:
-    """Date of a string; null if it is none."""
-    return F.try_to_timestamp(text).cast("date")
+    """The day written in a string, whatever time and offset follow; null if it is no date."""
+    day = F.try_to_date(F.regexp_extract(text, r"^\s*([0-9]{4}(?:-[0-9]{1,2}){0,2})(?:[T\s]|$)", 1))
+    return F.when(F.try_to_timestamp(text).isNotNull(), day)
 
 
 def proximity(a: Column, b: Column) -> Column:

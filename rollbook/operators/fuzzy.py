@@ -217,22 +217,25 @@ def fuzzy_merge(
     score_cutoff: float = 0.0,
     carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Best matches of every left row, one right row per matched name.
+    """The ``limit`` best right rows of every left row.
 
-    A right name held by several rows is represented by its smallest id.
-    Columns: df_left_id, df_right_id, name_df_left, name_df_right, match_score,
-    then the ``carry`` columns of the right row.
+    Every right row of a name counts: of equally good ones the smaller name goes
+    first, then the smaller id. Columns: df_left_id, df_right_id, name_df_left,
+    name_df_right, match_score, then the ``carry`` columns of the right row.
     """
     names = nearest_names(left, right, left_name, right_name, limit, score_cutoff)
-    first = F.min(F.struct(F.col(right_id).alias("id"), *carry)).alias("r")
-    holders = right.groupBy(F.col(right_name).alias("right_name")).agg(first)
-    matched = names.join(holders, "right_name")
+    # a name is held by any number of rows, but no left row takes more than ``limit`` of them
+    holders = right.select(F.col(right_name).alias("right_name"), F.col(right_id).alias("_right_id"), *carry)
+    first = Window.partitionBy("right_name").orderBy("_right_id")
+    holders = holders.withColumn("_holder", F.row_number().over(first)).filter(F.col("_holder") <= limit).drop("_holder")
+    order = Window.partitionBy("left_name").orderBy(F.desc("score"), "right_name", "_right_id")
+    matched = names.join(holders, "right_name").withColumn("_pos", F.row_number().over(order)).filter(F.col("_pos") <= limit)
     rows = left.select(F.col(left_id).alias("df_left_id"), F.col(left_name).alias("left_name"))
     return rows.join(matched, "left_name").select(
         "df_left_id",
-        F.col("r.id").alias("df_right_id"),
+        F.col("_right_id").alias("df_right_id"),
         F.col("left_name").alias("name_df_left"),
         F.col("right_name").alias("name_df_right"),
         F.col("score").alias("match_score"),
-        *[F.col(f"r.{c}").alias(c) for c in carry],
+        *carry,
     )

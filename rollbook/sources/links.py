@@ -2,7 +2,9 @@
 
 ``jvm`` reads the markup with regular expressions inside codegen and suits
 regular pages; ``parser`` runs the standard library's HTML parser over Arrow
-batches and also copes with nested lists and any entity. Both see whole pages.
+batches and also copes with nested lists and any entity. The default, ``auto``,
+looks at each page: what the expressions cannot read exactly goes to the parser.
+All see whole pages.
 """
 
 from __future__ import annotations
@@ -36,6 +38,24 @@ def _attribute(tag: Column, name: str) -> Column:
     return F.when(tag.rlike(rf"""(?is)\s{re.escape(name)}\s*=\s*["']"""), unescape(value))
 
 
+def _readable(html: str, list_class: str | None) -> Column:
+    """Whether the expressions read a page exactly.
+
+    Its first list is closed before another one opens, has no comment, unquoted
+    link or entity but those known here, and no list is named in a comment,
+    script or style before it.
+    """
+    token = None if list_class is None else re.escape(list_class)
+    opened = F.regexp_extract(html, rf"(?is){_tag('ul', token)}.*", 0)
+    listing = F.regexp_extract(opened, r"(?is)^<ul[^>]*>(.*?)</ul\s*>", 1)
+    odd = r"""(?is)<ul[\s>]|<!|href\s*=\s*[^\s"']|&(?!(?:lt|gt|quot|amp|#39|#x27);)[#a-z]"""
+    raw = r"(?is)<(script|style|textarea|title)[\s>]"
+    shown = F.regexp_replace(F.regexp_replace(html, r"(?s)<!--.*?-->", ""), raw + r".*?</\1\s*>", "")
+    lists = F.lit(r"(?i)<ul[\s>]")
+    nothing_hidden = (F.regexp_count(html, lists) == F.regexp_count(shown, lists)) & ~shown.contains("<!--") & ~shown.rlike(raw)
+    return F.coalesce((opened == "") | (nothing_hidden & (listing != "") & ~listing.rlike(odd)), F.lit(True))
+
+
 def unescape(text: Column) -> Column:
     for entity, char in _ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(char))
@@ -133,14 +153,18 @@ def page_links(
     html: str = "html",
     list_class: str | None = LIST_CLASS,
     content_id: str = CONTENT_ID,
-    reader: str = "jvm",
+    reader: str = "auto",
 ) -> DataFrame:
     """One row per entry of the page's listing: ``keep``, content_id, name, href.
 
     ``list_class=None`` takes the first list of the page.
     """
-    if reader not in {"jvm", "parser"}:
-        raise ValueError("reader must be 'jvm' or 'parser'")
+    if reader not in {"auto", "jvm", "parser"}:
+        raise ValueError("reader must be 'auto', 'jvm' or 'parser'")
+    if reader == "auto":
+        plain = _readable(html, list_class)
+        by_expression = _jvm_links(pages.filter(plain), keep, html, list_class, content_id)
+        return by_expression.unionByName(_parsed_links(pages.filter(~plain), keep, html, list_class, content_id))
     read = _jvm_links if reader == "jvm" else _parsed_links
     return read(pages, keep, html, list_class, content_id)
 
