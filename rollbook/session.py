@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,9 +54,31 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_owned: list[list[str]] = []
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no earlier run has used."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    if _owned:
+        _owned[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Owns the tables landed inside the block and deletes them at its end.
+
+    Results that read them have to be written or counted before.
+    """
+    _owned.append([])
+    try:
+        yield
+    finally:
+        jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _owned.pop():
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

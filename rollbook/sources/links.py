@@ -140,9 +140,9 @@ def _parsed_links(pages: DataFrame, keep: list[str], html: str, list_class: str
                 )
             yield batch[keep].assign(links=found)
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.select(*keep).schema.fields)
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in pages.select(*keep).schema.fields]
     parsed = pages.select(*keep, html).mapInPandas(
-        read, f"{fields}, links array<struct<content_id: string, name: string, href: string>>"
+        read, ", ".join([*fields, "links array<struct<content_id: string, name: string, href: string>>"])
     )
     return parsed.select(*keep, F.explode("links").alias("l")).select(*keep, "l.content_id", "l.name", "l.href")
 

@@ -68,6 +68,14 @@ def test_every_left_row_gets_a_match_and_ranks_within_the_person(spark):
     assert rows[2, "Bob"].df_right_id == 9 and rows[2, "Bob"].slug == "rob-2"
 
 
+def test_fuzzy_merge_lists_all_namesakes(spark):
+    left = spark.createDataFrame([(1, "John Smith"), (2, "John Smith")], "id int, name string")
+    right = spark.createDataFrame([(10, "John Smith"), (11, "John Smith"), (12, "Jane Doe"), (13, "John Smith")], "id int, name string")
+    for limit, expected in ((1, [10]), (2, [10, 11]), (3, [10, 11, 13]), (4, [10, 11, 12, 13])):
+        rows = fuzzy_merge(left, right, "id", "id", limit=limit).collect()
+        assert sorted((r.df_left_id, r.df_right_id) for r in rows) == [(i, j) for i in (1, 2) for j in expected]
+
+
 def test_fuzzy_merge_keeps_copies_of_left_rows(spark):
     left = spark.createDataFrame([(i, "same") for i in range(20)], "id int, name string")
     right = spark.createDataFrame([(1, "sane"), (2, "other")], "id int, name string")

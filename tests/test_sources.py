@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from rollbook.operators import quality
 from rollbook.plans.appointments import listed_appointments
 from rollbook.plans.pages import clean_pages, flat_pages
 from rollbook.plans.people import listed_people
-from rollbook.session import land, new_path
+from rollbook.session import land, new_path, scratch
 from rollbook.sources import links, payloads, tables
 
 LISTING = """<html><ul class="nav"><li><a href="/x">no</a></li></ul>
@@ -27,7 +28,18 @@ def listing(spark):
     return spark.createDataFrame(rows, "page int, url string, html string")
 
 
-@pytest.mark.parametrize("reader", ["jvm", "parser"])
+NESTED = """<p><!-- <ul class="gem-c-document-list"><li><a href="/no">no</a></li></ul> --></p><ul class="gem-c-document-list">
+<li><a href="/a">A &eacute;</a><ul><li><a href="/a/1">A1</a></li></ul></li><li><a href=/b>B</a></li></ul>"""
+
+
+def test_every_entry_of_odd_pages_is_read(spark):
+    pages = spark.createDataFrame([(1, LISTING), (2, NESTED), (3, None), (4, NESTED.replace("</ul></li><li>", "</ul><li>"))], "page int, html string")
+    auto, parser = (sorted(map(tuple, links.page_links(pages, ["page"], **o).collect())) for o in ({}, {"reader": "parser"}))
+    assert auto == parser
+    assert [(r[2], r[3]) for r in auto if r[0] == 2] == [("A é", "/a"), ("A1", "/a/1"), ("B", "/b")]
+
+
+@pytest.mark.parametrize("reader", ["auto", "jvm", "parser"])
 def test_links_of_a_listing(spark, reader):
     got = sorted(map(tuple, links.page_links(listing(spark), ["page"], reader=reader).collect()))
     assert got == [(1, "c1", " Ann & Lee", "/government/people/ann-lee"), (1, "c2", "Bob", "/government/people/bob")]
@@ -177,3 +189,11 @@ def test_quality_checks(spark):
     )
     good, aside = quality.split_by_cardinality(counted)
     assert [r.c for r in good.collect()] == ["a"] and [r.c for r in aside.collect()] == ["b"]
+
+
+def test_scratch_is_deleted_by_its_owner(spark):
+    with scratch(spark):
+        inner = land(spark.range(3), "scratch")
+        place = inner.inputFiles()[0]
+        assert inner.count() == 3 and os.path.exists(place.removeprefix("file://"))
+    assert not os.path.exists(place.removeprefix("file://"))

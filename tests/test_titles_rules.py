@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from rollbook.functions.dates import parse_date
 from rollbook.functions import fixed_rules, titles
 from rollbook.functions.names import post_topic, strip_name_affixes
 from rollbook.functions.rules import Rule, first_match, house_to_kind, seniority_group
@@ -146,3 +147,12 @@ def test_topics_and_blanks(spark):
     assert got == ["Safe and Legal Migration", "Trade", "Attorney General", "Yorkshire and the Humber"]
     odd = spark.createDataFrame([("   a b\x1c\n ",)], "t string")
     assert odd.select(strip(F.col("t"))).first()[0] == "   a b\x1c\n ".strip()
+
+
+def test_dates_keep_the_written_day(spark):
+    texts = {
+        "2015-05-11": "2015-05-11", "2015-05-11T00:00:00+01:00": "2015-05-11", " 2015-05-11 23:59:59-08:00": "2015-05-11",
+        "2015-05-11T23:30:00.5Z": "2015-05-11", "not known": None, "": None, " ": None, "2015-13-01": None, "2015-05-11x": None, None: None,
+    }
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", parse_date(F.col("t")).cast("string")).collect()
+    assert {r[0]: r[1] for r in rows} == texts
