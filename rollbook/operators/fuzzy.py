@@ -8,7 +8,8 @@ few rarest grams (prefix filtering, as in set-similarity joins: Chaudhuri et
 al. 2006, Xiao et al. 2008).
 
 1. Equal names are settled by an equi-join.
-2. A probe on rare grams gives the other left names some good match, hence s.
+2. A probe on a bounded number of index rows of its rarest grams gives every
+   other left name that shares a gram some match, hence s.
 3. The prefix of grams that s calls for is joined to an index of the right
    names. All right names with similarity >= s are among the candidates, so
    the best of them is the answer: exact, ties included.
@@ -134,13 +135,19 @@ def nearest_names(
         "left-grams",
     )
 
-    # longest grams that are rare enough; up to ``probe_rows`` index rows per name
+    # the longest grams that any right name shares, rarest first: up to ``probe_rows`` index rows per name, and at
+    # least the rarest gram, of which at most ``probe_rows`` index rows are looked at. Any of them gives a lower bound
     probes = (
-        left_grams.filter((F.col("q") > 1) & (F.col("rows_per_key") > 0) & (F.col("reach") <= probe_rows))
+        left_grams.filter((F.col("q") > 1) & (F.col("rows_per_key") > 0))
+        .filter((F.col("reach") <= probe_rows) | (F.col("reach") == F.col("rows_per_key")))
         .withColumn("longest", F.max("q").over(Window.partitionBy("left_name")))
         .filter(F.col("q") == F.col("longest"))
     )
-    probed = _scored(fan_out(probes, *gram).join(right_grams, gram).select("left_name", "right_name").distinct())
+    some = Window.partitionBy(*gram).orderBy("right_name")
+    probed_rows = (
+        right_grams.filter(F.col("q") > 1).withColumn("_nth_row", F.row_number().over(some)).filter(F.col("_nth_row") <= probe_rows)
+    )
+    probed = _scored(fan_out(probes, *gram).join(probed_rows, gram).select("left_name", "right_name").distinct())
     floor = F.lit(score_cutoff / 100.0)
     known = (
         _best(probed, limit)
