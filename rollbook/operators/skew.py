@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PAIR_BUDGET = 4_000_000  # pairs one key may produce in one task
-HOT_ROWS = 1_000_000  # rows of one key before it is spread
 
 
 def fan_out(df: DataFrame, *columns: str) -> DataFrame:

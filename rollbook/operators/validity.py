@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollbook.functions.dates import or_earliest, or_latest
-from rollbook.operators.skew import HOT_ROWS
+from rollbook.operators.skew import PAIR_BUDGET
 
 BUCKET_DAYS = 366
 # the calendar that hot keys are cut along; dates outside fall into the end buckets
@@ -34,31 +34,35 @@ def point_in_validity(
     end: str,
     guard_start: bool = True,
     how: str = "inner",
-    hot_rows: int = HOT_ROWS,
+    pair_budget: int = PAIR_BUDGET,
 ) -> DataFrame:
     """Rows of ``left`` with the rows of ``right`` that were valid on ``at``.
 
     The two sides must not share column names. A key with more than
-    ``hot_rows`` intervals is cut along the calendar: its intervals go to every
-    year they touch and each left row looks only into its own year. Other keys
-    have the single bucket 0, so nothing is copied for them. There are at most
-    rows(right) / hot_rows hot keys.
+    ``pair_budget`` pairs of a date and an interval is cut along the calendar: its
+    intervals go to every year they touch between its first and its last date,
+    and each left row looks only into its own year. Other keys have the single
+    bucket 0, so nothing is copied for them.
     """
     if how not in {"inner", "left"}:
         raise ValueError("how must be 'inner' or 'left'")
+    dates = left.groupBy(F.col(left_key).alias("_hot_key")).agg(
+        F.count(F.lit(1)).alias("_n_left"), _bucket(F.min(at)).alias("_first"), _bucket(F.max(at)).alias("_last")
+    )
+    intervals = right.groupBy(F.col(right_key).alias("_hot_key")).agg(F.count(F.lit(1)).alias("_n_right"))
     hot = (
-        right.groupBy(F.col(right_key).alias("_hot_key"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > hot_rows)
-        .select("_hot_key")
+        dates.join(intervals, "_hot_key")
+        .filter(F.col("_n_left").cast("double") * F.col("_n_right") > F.lit(float(pair_budget)))
+        .select("_hot_key", "_first", "_last")
     )
     is_hot = F.col("_hot_key").isNotNull()
     since, until = or_earliest(F.col(start)) if guard_start else F.col(start), or_latest(F.col(end))
     points = left.join(hot, F.col(left_key) == F.col("_hot_key"), "left").select(
         *left.columns, F.when(is_hot, _bucket(F.col(at))).otherwise(0).alias("_at_bucket")
     )
+    first, last = F.greatest(_bucket(since), F.col("_first")), F.least(_bucket(until), F.col("_last"))
     years = (
-        F.when(is_hot & (since <= until), F.sequence(_bucket(since), _bucket(until)))
+        F.when(is_hot & (since <= until) & (first <= last), F.sequence(first, last))
         .when(is_hot, F.array().cast("array<int>"))
         .otherwise(F.array(F.lit(0)))
     )

@@ -47,7 +47,7 @@ def test_hot_keys_change_nothing(spark, guard, how):
     on = (F.col("lk") == F.col("rk")) & (F.col("at") >= since) & (F.col("at") < F.coalesce("until", F.lit(dt.date(9999, 12, 31))))
     plain = rows_of(left.join(right, on, how))
     for hot in (0, 20, 10**6):
-        got = point_in_validity(left, right, "lk", "rk", "at", "since", "until", guard, how, hot_rows=hot)
+        got = point_in_validity(left, right, "lk", "rk", "at", "since", "until", guard, how, pair_budget=hot)
         assert rows_of(got) == plain
 
 
