@@ -2,25 +2,26 @@
 
 from __future__ import annotations
 
-from math import isqrt
+from math import ceil, isqrt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PAIR_BUDGET = 4_000_000  # pairs one key may produce in one task
+MOST_PARTITIONS = 100_000  # tasks a driver can keep track of in one stage
 
 
-def fan_out(df: DataFrame, *columns: str) -> DataFrame:
+def fan_out(df: DataFrame, *columns: str, least: int = 0) -> DataFrame:
     """Hash rows over the shuffle partitions, ahead of a step far heavier than its input.
 
     AQE sizes partitions by bytes and would fold a small input that multiplies
     into a few tasks; a given partition count it leaves alone. The count is one
     more than the session's, or Spark would drop the step as a repeat of an
-    equal shuffle before it. A join or grouping on the same columns uses the
-    partitioning as it is.
+    equal shuffle before it, and at least ``least``. A join or grouping on the same
+    columns uses the partitioning as it is.
     """
     count = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) + 1
-    return df.repartition(count, *columns)
+    return df.repartition(max(count, least), *columns)
 
 
 def key_sizes(df: DataFrame, keys: list[str], name: str = "rows_per_key") -> DataFrame:
@@ -46,7 +47,7 @@ def spread_join(
 
     ``left_sizes``/``right_sizes``: rows per key, named ``rows_per_key``; pass
     them where a cheaper count (or an upper bound) than scanning the input is
-    known.
+    known. Counting the work is a job of its own.
     """
     block = max(1, isqrt(pair_budget))
     n_left = (left_sizes if left_sizes is not None else key_sizes(left, keys)).withColumnRenamed(
@@ -55,9 +56,12 @@ def spread_join(
     n_right = (right_sizes if right_sizes is not None else key_sizes(right, keys)).withColumnRenamed(
         "rows_per_key", "_n_right"
     )
+    met = n_left.join(n_right, keys)
+    # partitions by the work to be done: about a budget of pairs each, however many rows there are
+    work = met.agg(F.sum(F.col("_n_left").cast("double") * F.col("_n_right"))).first()[0] or 0.0
+    partitions = min(ceil(work / pair_budget), MOST_PARTITIONS)
     grids = (
-        n_left.join(n_right, keys)
-        .filter(F.col("_n_left").cast("double") * F.col("_n_right") > F.lit(float(pair_budget)))
+        met.filter(F.col("_n_left").cast("double") * F.col("_n_right") > F.lit(float(pair_budget)))
         .select(
             *keys,
             F.ceil(F.col("_n_left") / F.lit(block)).cast("int").alias("_rows"),
@@ -77,6 +81,6 @@ def spread_join(
         )
 
     blocks = [*keys, "_row_block", "_col_block"]
-    left_cut = fan_out(cut(left, "_rows", "_cols", "_row_block", "_col_block"), *blocks)
-    right_cut = fan_out(cut(right, "_cols", "_rows", "_col_block", "_row_block"), *blocks)
+    left_cut = fan_out(cut(left, "_rows", "_cols", "_row_block", "_col_block"), *blocks, least=partitions)
+    right_cut = fan_out(cut(right, "_cols", "_rows", "_col_block", "_row_block"), *blocks, least=partitions)
     return left_cut.join(right_cut, blocks).drop("_row_block", "_col_block")

@@ -21,6 +21,14 @@ def test_spread_join_gives_all_pairs_once(spark, budget):
     assert rows_of(spread_join(left, right, ["k"], budget)) == rows_of(left.join(right, "k").select("k", "a", "b"))
 
 
+def test_partitions_follow_the_pairs(spark):
+    left = spark.createDataFrame([(1, i) for i in range(100)], "k int, a int")
+    right = spark.createDataFrame([(1, i) for i in range(100)], "k int, b int")
+    joined = spread_join(left, right, ["k"], pair_budget=500)
+    assert joined.rdd.getNumPartitions() == 20 and joined.count() == 10_000
+    assert max(joined.rdd.glom().map(len).collect()) < 4_000
+
+
 def day(n):
     return None if n is None else dt.date(1990, 1, 1) + dt.timedelta(days=n)
 
