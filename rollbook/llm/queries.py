@@ -129,3 +129,20 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_blocks.extract_main_text(read(spark, sf_dir, "pages"))
+
+
+ORACLES["op7_ngram_jaccard"] = """
+with recursive spoken as (
+ select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ \\t\\n\\x0B\\f\\r]+') as w
+ from documents),
+elements as (
+ select doc_id, unnest(list_distinct(case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+  when len(w) > 0 then [array_to_string(w, ' ')] else [] end)) as e from spoken),
+sizes as (select doc_id, count(e) as n from spoken left join elements using (doc_id) group by doc_id),
+common as (select x.doc_id as a, y.doc_id as b, count(*) as c from elements x join elements y on x.e = y.e and x.doc_id < y.doc_id group by all),
+links as (select a, b from common join sizes s on s.doc_id = a join sizes t on t.doc_id = b where 100 * c >= 80 * (s.n + t.n - c)),
+steps as (select a, b from links union all select b, a from links),
+reach as (select a, b from steps union select reach.a, steps.b from reach join steps on steps.a = reach.b)
+select sizes.doc_id, n as n_shingles, least(sizes.doc_id, coalesce(min(b), sizes.doc_id)) as component_id
+from sizes left join reach on reach.a = sizes.doc_id group by sizes.doc_id, n
+"""
