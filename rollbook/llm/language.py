@@ -25,7 +25,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from rollbook.llm.sides import broadcast_if_few
 from rollbook.llm.words import hash_strings, mix, slices, split_words, spread, texts_of
+from rollbook.session import land
 
 #: Labelled texts per language in the training sample, words of a passage, and sequences made of them.
 TEXTS, PASSAGE, SEQUENCES, PIECES = 300, 60, 1500, 3
@@ -231,10 +233,13 @@ def train(sample: list[tuple[str, str]], seed: int = 7) -> Field:
 def training_sample(labelled: DataFrame, texts: int = TEXTS, passage: int = PASSAGE) -> list[tuple[str, str]]:
     """At most ``texts`` passages of ``passage`` words per language, chosen by hashes of the texts, from anywhere in them."""
     rows = labelled.where("lang is not null and lang <> '' and rlike(text, '\\\\p{L}')").select("lang", "text", F.xxhash64("text").alias("h"))
-    best = rows.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy("h", "text"))).where(F.col("rank") <= texts)
+    # the choice is made on hashes alone; texts are fetched for what was chosen
+    best = rows.select("lang", "h").distinct().withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy("h"))).where(F.col("rank") <= texts)
+    best = broadcast_if_few(land(best.select("lang", "h"), "sample-keys"))
     words = F.split(F.trim("text"), r"[ \t\n\x0B\f\r]+")
     start = F.pmod("h", F.greatest(F.size(words) - passage, F.lit(0)).cast("long") + 1).cast("int") + 1
-    picked = best.select("lang", F.array_join(F.slice(words, start, F.lit(passage)), " ").alias("passage"))
+    picked = rows.join(best, ["lang", "h"]).select("lang", "h", F.array_join(F.slice(words, start, F.lit(passage)), " ").alias("passage"))
+    picked = picked.groupBy("lang", "h").agg(F.min("passage").alias("passage"))
     return sorted((r["lang"], r["passage"]) for r in picked.collect())
 
 
