@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollbook.session import cut_lineage
+from rollbook.session import cut_lineage, land
 
 _INDEX_BITS = 33  # low bits of monotonically_increasing_id: row within partition
 
@@ -13,13 +13,13 @@ _INDEX_BITS = 33  # low bits of monotonically_increasing_id: row within partitio
 def rank_within(df: DataFrame, keys: list[str], order: list[Column], name: str) -> DataFrame:
     """Add the 1-based position of each row within its key, in ``order``.
 
-    The rows are range-partitioned and sorted by (key, order), so a hot key
+    The rows are landed, as the sort samples them first, then range-partitioned and sorted by (key, order), so a hot key
     runs over as many partitions as it needs. The sorted rows are checkpointed,
     which fixes their places; a row's position is then its place in its
     partition plus the rows of the key in earlier partitions (one row per key
     and partition). ``order`` must end in a tie-breaker that makes it total.
     """
-    placed = cut_lineage(df.orderBy(*[F.asc_nulls_last(k) for k in keys], *order)).withColumn(
+    placed = cut_lineage(land(df, "unranked").orderBy(*[F.asc_nulls_last(k) for k in keys], *order)).withColumn(
         "_place", F.monotonically_increasing_id()
     )
     placed = placed.withColumn("_part", F.shiftright("_place", _INDEX_BITS))
