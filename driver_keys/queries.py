@@ -22,7 +22,7 @@ from rollbook.functions.text import strip_all
 from rollbook.operators import changes, cleaning, quality, review, statements, validity
 from rollbook.operators.fuzzy import fuzzy_merge, nearest_names
 from rollbook.operators.matching import for_export, score_candidates
-from rollbook.plans import appointments, people
+from rollbook.plans import appointments, pages, people
 from rollbook.session import new_path
 from rollbook.sources import links, payloads, tables
 
@@ -131,19 +131,43 @@ CORE_COLUMNS = [
 @key(
     "temporal_inner_join",
     """
-select a.id as appointment_id, p.id as person_id, p.name as person_name, t.name as post_name,
- o.short_name as organisation_short_name, t.rank_equivalence as post_rank, ac.cabinet_status, ac.is_on_leave, ac.is_acting,
- ac.leave_reason, cast(ac.start_date as date) as start_date, cast(ac.end_date as date) as end_date
-from {v_appt} a, {v_spell} ac, {v_person} p, {v_post} t, {v_org} o
-where a.id = ac.appointment_id and a.person_id = p.id and a.post_id = t.id and t.organisation_id = o.id
- and (p.start_date is null or a.start_date >= p.start_date) and (p.end_date is null or a.start_date < p.end_date)
- and ac.start_date >= date '1999-01-01'""",
+select d.appointment_id, d.person_id, d.person_name, f.post_name, f.organisation_short_name, f.post_rank, s.cabinet_status,
+ s.is_on_leave, s.is_acting, s.leave_reason, cast(s.start_date as date) as start_date, cast(s.end_date as date) as end_date
+from {v_name_that_day} d join {v_spell} s using (appointment_id)
+ join (select id as appointment_id, post_id from {v_appt}) held using (appointment_id) join {v_office} f using (post_id)
+where year(s.start_date) > 1998""",
 )
 def temporal_inner_join(f: Frames) -> DataFrame:
     return appointments.core_appointments(f.v_appt, f.v_spell, f.v_person, None, f.v_post, f.v_org, MIN_START).select(
         *CORE_COLUMNS
     )
 
+def _named_ids(df: DataFrame, prefix: str, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.concat(F.lit(prefix), F.col(c).cast("string")) for c in columns})
+
+
+@key(
+    "temporal_mixed_case_ids",
+    """
+select concat('x-', d.appointment_id) as appointment_id, concat('x-', d.person_id) as person_id, d.person_name, f.post_name,
+ f.organisation_short_name, cast(s.start_date as date) as start_date, cast(s.end_date as date) as end_date
+from {v_name_that_day} d join {v_spell} s using (appointment_id)
+ join (select id as appointment_id, post_id from {v_appt}) held using (appointment_id) join {v_office} f using (post_id)
+where s.start_date >= date '1999-01-01'""",
+)
+def temporal_mixed_case_ids(f: Frames) -> DataFrame:
+    """Identifiers written in capitals on one side of every join and in small letters on the other."""
+    return appointments.core_appointments(
+        _named_ids(f.v_appt, "X-", "id", "person_id", "post_id"), _named_ids(f.v_spell, "x-", "appointment_id"), _named_ids(f.v_person, "x-", "id"),
+        None, _named_ids(_named_ids(f.v_post, "x-", "id"), "X-", "organisation_id"), _named_ids(f.v_org, "x-", "id"), MIN_START,
+    ).select("appointment_id", "person_id", "person_name", "post_name", "organisation_short_name", "start_date", "end_date")
+
+
+@key("unlanded_pages", "select p_partkey as id, cast(p_partkey as varchar) as slug from part where p_partkey not in (select page_id from pages)")
+def unlanded_pages(f: Frames) -> DataFrame:
+    lookup = f.part.select(F.col("p_partkey").alias("id"), F.col("p_partkey").cast("string").alias("slug"))
+    return pages.unlanded(lookup, f.pages.select(F.col("page_id").cast("string").alias("slug")))
+
 
 @key(
     "temporal_left_join",
@@ -621,7 +645,7 @@ select o_orderkey as id, o_orderpriority as full_name, loc as locale, cast(l_lin
 from orders cross join (select 'en' as loc union all select 'cy') t left join lineitem on o_orderkey = l_orderkey and o_orderkey % 10 > 1""",
 )
 def flatten_json(f: Frames) -> DataFrame:
-    raw = _nested_pages(f)
+    raw = payloads.land_payloads(_nested_pages(f), new_path(f.spark, "raw-pages"))
     owned = payloads.attach_owner(f.orders.select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("owner")), raw, "id", "owner", "owner_id")
     flat = strip_all(payloads.flatten(payloads.parse_payload(owned, T.StructType.fromDDL(NESTED), paths=NESTED_PATHS)))
     return flat.select(

@@ -57,3 +57,8 @@ def cast_to_contract(df: DataFrame, contract: T.StructType) -> DataFrame:
 def lower_ids(df: DataFrame, *columns: str) -> DataFrame:
     """Identifiers compare by value, not by letter case: lower them once, on the way in."""
     return df.withColumns({c: F.lower(F.col(c).cast("string")) for c in columns})
+
+
+def by_value(df: DataFrame, *columns: str) -> DataFrame:
+    """``lower_ids`` for those of the columns that are strings; numbers stay numbers."""
+    return lower_ids(df, *(c for c in columns if isinstance(df.schema[c].dataType, T.StringType)))

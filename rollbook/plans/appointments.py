@@ -7,6 +7,7 @@ import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rollbook.contracts import by_value
 from rollbook.functions.rules import house_to_kind
 from rollbook.operators.matching import score_candidates
 from rollbook.operators.validity import point_in_validity
@@ -27,8 +28,15 @@ def core_appointments(
     The floor on the spell's start goes first, so that it reaches the scan.
     ``representation=None`` leaves the kind of member blank and saves its join.
     ``representation_spell`` adds no column; it repeats rows where several
-    spells hold, and can be left out once ``overlaps`` finds none.
+    spells hold, and can be left out once ``overlaps`` finds none. Identifiers
+    that are strings compare without regard to case, and come out in lower case.
     """
+    appointment, spell = by_value(appointment, "id", "person_id", "post_id"), by_value(spell, "appointment_id")
+    person, post, organisation = by_value(person, "id"), by_value(post, "id", "organisation_id"), by_value(organisation, "id")
+    if representation is not None:
+        representation = by_value(representation, "id", "person_id")
+    if representation_spell is not None:
+        representation_spell = by_value(representation_spell, "representation_id")
     if min_start is not None:
         spell = spell.filter(F.col("start_date") >= F.lit(min_start))
     base = appointment.select(
@@ -85,7 +93,7 @@ def _with_house(rows: DataFrame, representation: DataFrame, representation_spell
 
 def listed_appointments(page_content: DataFrame) -> DataFrame:
     """The cleaned page content as the other side of the match."""
-    return page_content.select(
+    return by_value(page_content, "person_id").select(
         F.col("appointment_id_ext").alias("appointment_id"), "person_id", "person_name",
         F.col("post_name_clean").alias("post_name"), "post_rank", "is_on_leave", "is_acting", "leave_reason",
         F.col("organisation_short_name_clean").alias("organisation_short_name"),

@@ -43,5 +43,10 @@ def flat_pages(lookup: DataFrame, raw: DataFrame, random_ids: bool = False) -> D
     return flat.select(row_id.alias("row_id"), *[F.col(f"`{c}`") for c in flat.columns])
 
 
+def unlanded(lookup: DataFrame, raw: DataFrame) -> DataFrame:
+    """Rows of the lookup whose page was never landed, and which ``flat_pages`` therefore lacks."""
+    return lookup.join(raw.select("slug").distinct(), "slug", "left_anti")
+
+
 def clean_pages(lookup: DataFrame, raw: DataFrame, **options) -> DataFrame:
     return clean_content(flat_pages(lookup, raw), **options)

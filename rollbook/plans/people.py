@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rollbook.contracts import by_value
 from rollbook.functions.dates import or_latest
 from rollbook.functions.names import strip_name_affixes
 from rollbook.operators.changes import stable_id
@@ -28,7 +29,8 @@ def listed_people(pages: DataFrame, **options) -> DataFrame:
 def unmatched_people(
     person: DataFrame, appointment: DataFrame, known: DataFrame, served_after: datetime.date = SERVED_AFTER
 ) -> DataFrame:
-    """People with a late enough appointment whose id is in no earlier match."""
+    """People with a late enough appointment whose id, in whatever case, is in no earlier match."""
+    person, appointment, known = by_value(person, "id"), by_value(appointment, "person_id"), by_value(known, "id")
     recent = (
         appointment.filter(or_latest(F.col("end_date")) > F.lit(served_after))
         .select(F.col("person_id").alias("id"))
