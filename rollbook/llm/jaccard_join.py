@@ -33,10 +33,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rollbook.llm.components import components
 from rollbook.llm.sides import broadcast_if_few
@@ -90,8 +90,6 @@ def _keys(sums: np.ndarray, segment: np.ndarray, band: int) -> np.ndarray:
 
 
 def _node_ids(offsets: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    import xxhash
-
     digest = xxhash.xxh3_64_intdigest
     return np.fromiter((digest(hashes[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:])), np.uint64, len(offsets) - 1)
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.llm.sides import broadcast_if_few
-from rollbook.llm.words import as_long, hash_strings, mix, slices, spread, texts_of
+from rollbook.llm.words import as_long, hash_strings, mix, slices, texts_of
 from rollbook.session import land
 
 MIN_WORDS = 50
