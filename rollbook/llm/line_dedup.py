@@ -1,4 +1,4 @@
-"""Line dedup between documents: shared rare lines, patience diff, deletion from the later document.
+"""Line dedup between documents: shared rare lines, patience diff, deletion from the later document; then passages that do not keep to lines.
 
 A line is evidence only if it is rare. A short line repeats by itself, so its hash
 is taken over the line and as many of the following ones as make ``min_words``
@@ -14,26 +14,37 @@ aligned in the same way. Aligned runs of at least ``min_words`` words are delete
 from the later document; passages that the alignment leaves out, because they were
 moved or repeat, are then found by their keys. What is deleted is in a document of
 a smaller id, and the smallest id that has a passage keeps it.
+
+Passages that start or end inside a line, or whose line breaks moved, are found by
+their words: every window of ``min_words`` words that a document of a smaller id has
+is cut out. Windows are not all sent around. Each is known by the least hash of the
+shorter grams in it, which equal windows share; only those whose least gram is in
+several documents are compared as wholes. This loses no window.
 """
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.llm.sides import broadcast_if_few
-from rollbook.llm.words import as_long, hash_strings, mix, slices, texts_of
+from rollbook.llm.words import as_long, hash_strings, mix, slices, split_words, texts_of
 from rollbook.session import land
 
 MIN_WORDS = 50
+#: Where a cut by words starts or ends inside a line, fewer words of that line than this go on by chance and stay.
+STRAY = 3
 
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
 
@@ -198,32 +209,176 @@ def deleted_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return found.groupBy("doc_id", "print").agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("spans"))
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """The documents, passages that a document of a smaller id has cut out of ``text``; with ``n_lines`` and ``n_removed``.
+def _least(values: np.ndarray, size: int) -> np.ndarray:
+    """The least of every ``size`` neighbours."""
+    done = 1
+    while done < size:
+        step = min(done, size - done)
+        values = np.minimum(values[:-step], values[step:])
+        done += step
+    return values
+
+
+def word_windows(texts: pa.Array, min_words: int) -> tuple[list[tuple[int, int]], np.ndarray, np.ndarray]:
+    """Windows of ``min_words`` words: (their range per text, key of their least gram, key of all their words)."""
+    words = split_words(texts)
+    n = len(words.codes)
+    ranges = [(int(a), max(int(a), int(b) - min_words + 1)) for a, b in zip(words.offsets[:-1], words.offsets[1:])]
+    if n < min_words:
+        return ranges, np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    hashes = mix(hash_strings(words.vocabulary))[words.codes]
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(hashes * _powers(_BASE, n)[:n], dtype=np.uint64)))
+    back = _powers(_INVERSE, n)
+
+    def grams(size: int) -> np.ndarray:
+        return mix((sums[size:] - sums[:-size]) * back[: n - size + 1])
+
+    size = (min_words + 1) // 2
+    return ranges, _least(grams(size), min_words - size + 1), grams(min_words)
+
+
+def _least_grams_of(min_words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            texts = texts_of(batch)
+            ranges, least, _ = word_windows(texts, min_words)
+            found = []
+            for i, ((a, b), spans) in enumerate(zip(ranges, batch.column("spans"))):
+                asked = np.ones(b - a, bool)
+                if b > a and spans.is_valid:
+                    before = np.cumsum([0, *(len(_WORD.findall(x)) for x in texts[i].as_py().split("\n"))])
+                    for s in spans.as_py():
+                        # all of it is in one earlier document already
+                        asked[before[s["first"]] : max(0, before[s["last"] + 1] - min_words + 1)] = False
+                found.append(np.unique(least[a:b][asked]))
+            rows = np.repeat(np.arange(len(found)), [len(k) for k in found])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(rows)), as_long(np.concatenate(found))], names=["doc_id", "gram"])
+
+    return run
+
+
+def _windows_of(min_words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            ranges, least, keys = word_windows(texts_of(batch), min_words)
+            at, shared = [], batch.column("grams")
+            for i, (a, b) in enumerate(ranges):
+                at.append(a + np.flatnonzero(np.isin(least[a:b], shared[i].values.to_numpy().view(np.uint64))))
+            rows = np.repeat(np.arange(len(at)), [len(k) for k in at])
+            at = np.concatenate(at)
+            start = at - np.array([a for a, _ in ranges])[rows]
+            taken = pa.array(rows)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(taken), batch.column("print").take(taken), pa.array(start.astype(np.int32)), as_long(keys[at])], names=["doc_id", "print", "start", "key"])
 
-    A passage is a run of lines with ``min_words`` words or more in all; lines are
-    compared without white space at their ends, lines without a word are passed
-    over. All other columns and all rows stay; a text of which nothing is left is
-    empty. A null text stays null (no lines). Rows of the same id are one document
-    and not compared with each other; a row without id is not compared. The
+    return run
+
+
+def repeated_windows(docs: DataFrame, spans: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """``doc_id``, ``print`` and ``starts`` (words, from 0) of the windows of ``min_words`` words that a document of a smaller id has.
+
+    Windows inside one of ``spans`` (of ``deleted_lines``) may be missing.
+    """
+    texts = docs.where("doc_id is not null").select("doc_id", F.xxhash64("text").alias("print"), "text")
+    marked = texts.join(broadcast_if_few(spans, weight="size(spans)"), ["doc_id", "print"], "left")
+    grams = land(marked.select("doc_id", "text", "spans").mapInArrow(_least_grams_of(min_words), "doc_id long, gram long"), "word-grams")
+    shared = land(grams.groupBy("gram").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("gram"), "word-shared")
+    asked = land(grams.join(broadcast_if_few(shared), "gram").groupBy("doc_id").agg(F.collect_set("gram").alias("grams")), "word-asked")
+    windows = texts.join(broadcast_if_few(asked, weight="size(grams)"), "doc_id").select("doc_id", "print", "text", "grams")
+    windows = land(windows.mapInArrow(_windows_of(min_words), "doc_id long, print long, start int, key long"), "word-windows")
+    firsts = land(windows.groupBy("key").agg(F.min("doc_id").alias("keeper"), F.max("doc_id").alias("last")).where("keeper < last").select("key", "keeper"), "word-firsts")
+    found = windows.join(broadcast_if_few(firsts), "key").where("doc_id > keeper")
+    return found.groupBy("doc_id", "print").agg(F.array_sort(F.collect_set("start")).alias("starts"))
+
+
+def cut_words(text: str, spans: list[tuple[int, int]], starts: list[int], min_words: int) -> tuple[str, int, int]:
+    """The text without the lines of ``spans`` and the windows at ``starts``; the lines removed and those cut in part."""
+    lines = text.split("\n")
+    words = [(i, *m.span()) for i, x in enumerate(lines) for m in _WORD.finditer(x)]
+    runs: list[list[int]] = []
+    for s in sorted(starts):
+        if runs and s <= runs[-1][1]:
+            runs[-1][1] = s + min_words
+        else:
+            runs.append([s, s + min_words])
+    gone = {i for a, b in spans for i in range(a, b + 1)}
+    cut: dict[int, list[tuple[int, int]]] = {}
+    for a, b in runs:
+        head = next((k for k in range(a, b) if words[k][0] != words[a][0]), b) - a
+        if a and words[a - 1][0] == words[a][0] and head < STRAY:
+            a += head
+        tail = b - 1 - next((k for k in range(b - 1, a - 1, -1) if words[k][0] != words[b - 1][0]), a - 1)
+        if b < len(words) and words[b][0] == words[b - 1][0] and tail < STRAY:
+            b -= tail
+        # lines between the first and the last one of the run go, blank ones too
+        gone.update(range(words[a][0] + 1, words[b - 1][0]))
+        while a < b:
+            line, end = words[a][0], a + 1
+            while end < b and words[end][0] == line:
+                end += 1
+            if end < len(words) and words[end][0] == line:
+                cut.setdefault(line, []).append((words[a][1], words[end][1]))
+            else:
+                before = words[a - 1][2] if a and words[a - 1][0] == line else 0
+                cut.setdefault(line, []).append((before, len(lines[line])))
+            a = end
+    for line, parts in cut.items():
+        left = lines[line]
+        for a, b in sorted(parts, reverse=True):
+            left = left[:a] + left[b:]
+        if _WORD.search(left):
+            lines[line] = left
+        else:
+            gone.add(line)
+    return "\n".join(x for i, x in enumerate(lines) if i not in gone), len(gone), len(cut.keys() - gone)
+
+
+def _cut(min_words: int):
+    @F.pandas_udf("text string, n_removed int, n_cut int")
+    def run(texts: pd.Series, spans: pd.Series, starts: pd.Series) -> pd.DataFrame:
+        rows = []
+        for text, lines, at in zip(texts, spans, starts):
+            whole = [] if lines is None else [(s["first"], s["last"]) for s in lines]
+            rows.append((None, 0, 0) if text is None else cut_words(text, whole, list(at), min_words))
+        return pd.DataFrame(rows, columns=["text", "n_removed", "n_cut"])
+
+    return run
+
+
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """The documents, passages that a document of a smaller id has cut out of ``text``; with ``n_lines``, ``n_removed`` and ``n_cut``.
+
+    A passage is a run of ``min_words`` words or more, however it is broken into
+    lines and wherever in a line it starts or ends. Lines are compared without white
+    space at their ends, lines without a word are passed over. Where a passage
+    takes fewer than ``STRAY`` words of a line at one of its ends, but not the whole
+    line, these stay. ``n_removed`` counts lines that are gone, ``n_cut`` those that
+    lost some words. All other columns and all rows stay; a text of which nothing is
+    left is empty. A null text stays null (no lines). Rows of the same id are one
+    document and not compared with each other; a row without id is not compared. The
     function starts jobs.
     """
-    spans = land(deleted_lines(docs, min_words), "line-spans").withColumnsRenamed({"doc_id": "__id", "print": "__print", "spans": "__spans"})
-    joined = docs.join(broadcast_if_few(spans, weight="size(__spans)"), (F.col("doc_id") == F.col("__id")) & (F.xxhash64("text") == F.col("__print")), "left")
+    spans = land(deleted_lines(docs, min_words), "line-spans")
+    starts = repeated_windows(docs, spans, min_words)
+    cuts = land(spans.join(starts, ["doc_id", "print"], "full"), "line-cuts").withColumnsRenamed({"doc_id": "__id", "print": "__print", "spans": "__spans", "starts": "__starts"})
+    joined = docs.join(broadcast_if_few(cuts, weight="coalesce(size(__spans), 0) + coalesce(size(__starts), 0)"), (F.col("doc_id") == F.col("__id")) & (F.xxhash64("text") == F.col("__print")), "left")
+    by_words = F.col("__starts").isNotNull()
+    joined = joined.withColumn("__cut", _cut(min_words)(F.when(by_words, F.col("text")), F.when(by_words, F.col("__spans")), "__starts"))
     lines = F.split("text", "\n", -1)
     kept = F.filter(lines, lambda _, i: ~F.exists("__spans", lambda s: (i >= s["first"]) & (i <= s["last"])))
-    left = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    left = F.when(by_words, F.col("__cut.text")).when(F.col("__spans").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
     return joined.withColumns(
         {
             "n_lines": F.coalesce(F.size(lines), F.lit(0)),
-            "n_removed": F.when(F.col("__spans").isNull(), F.lit(0)).otherwise(F.size(lines) - F.size(kept)),
+            "n_removed": F.when(by_words, F.col("__cut.n_removed")).when(F.col("__spans").isNull(), F.lit(0)).otherwise(F.size(lines) - F.size(kept)),
+            "n_cut": F.when(by_words, F.col("__cut.n_cut")).otherwise(F.lit(0)),
         }
-    ).withColumn("text", left).drop("__id", "__print", "__spans")
+    ).withColumn("text", left).drop("__id", "__print", "__spans", "__starts", "__cut")
 
 
 def remaining(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """The documents with their own lines only, without those of which no word was left; columns stay, ``n_chars`` is brought up to date."""
+    """The documents with their own passages only, without those of which no word was left; columns stay, ``n_chars`` is brought up to date."""
     cut = dedup_lines(docs, min_words)
-    left = cut.where((F.col("n_removed") == 0) | F.rlike("text", F.lit(r"[^ \t\n\x0B\f\r]")))
-    changed = F.when(F.col("n_removed") == 0, F.col("n_chars")).otherwise(F.length("text").cast("long"))
+    whole = (F.col("n_removed") == 0) & (F.col("n_cut") == 0)
+    left = cut.where(whole | F.rlike("text", F.lit(r"[^ \t\n\x0B\f\r]")))
+    changed = F.when(whole, F.col("n_chars")).otherwise(F.length("text").cast("long"))
     return left.withColumn("n_chars", changed).select(*docs.columns)

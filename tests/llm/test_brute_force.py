@@ -131,6 +131,41 @@ def test_line_dedup_of_moved_and_repeated_passages(spark):
     assert kept == {1: docs[1], 2: [own[3]], 3: docs[3], 4: [*part["a"][1:], own[5], own[5]], 5: docs[5]}
 
 
+def shared_windows(texts, least=50):
+    """(document, number of the word) in a window of `least` words that an earlier document has, wherever lines break."""
+    first, must = {}, set()
+    for d in sorted(texts):
+        words = WORD.findall(texts[d])
+        for i in range(len(words) - least + 1):
+            if first.setdefault(hash(tuple(words[i : i + least])), d) < d:
+                must |= {(d, k) for k in range(i, i + least)}
+    return must
+
+
+def test_passages_that_do_not_keep_to_lines(spark):
+    p, q = ([f"{k}{i}" for i in range(90)] for k in "pq")
+    docs = {
+        1: "\n".join(" ".join(p[i : i + 15]) for i in range(0, 90, 15)), 2: "own start " + " ".join(p[10:75]) + " own end", 3: "\n\n".join(" ".join(p[i : i + 7]) for i in range(0, 90, 7)),
+        4: " ".join(q[:49]), 5: "x\n" + " ".join(q), 6: "y " + "\n".join(q[40:]) + " z\nlast", 7: " ".join(q[:49]),
+    }
+    frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    found = {r["doc_id"]: (r["text"], r["n_removed"], r["n_cut"]) for r in line_dedup.dedup_lines(frame).collect()}
+    assert found[1] == (docs[1], 0, 0) and found[2] == ("own start own end", 0, 1) and found[3] == ("", 25, 0)
+    assert found[4] == (docs[4], 0, 0) and found[5] == (docs[5], 0, 0) and found[6] == ("y q40\nq89 z\nlast", 48, 0) and found[7] == (docs[7], 0, 0)
+
+
+def test_no_shared_window_stays(spark, texts):
+    """All words of shared windows go but the few at the ends of a passage that share a line with other words; no other word goes."""
+    got = {r["doc_id"]: r["text"] or "" for r in line_dedup.dedup_lines(spark.read.parquet(f"{SF}/documents.parquet")).collect()}
+    must = shared_windows(texts)
+    assert must and not shared_windows(got)
+    for d, t in texts.items():
+        words, left = WORD.findall(t), WORD.findall(got[d])
+        runs = sum((d, i) in must and (d, i - 1) not in must for i in range(len(words)))
+        own = [w for i, w in enumerate(words) if (d, i) not in must]
+        assert len(own) <= len(left) <= len(own) + 2 * runs * (line_dedup.STRAY - 1)
+
+
 def test_patience_is_a_common_subsequence():
     rng = np.random.default_rng(1)
     for _ in range(200):
