@@ -1,17 +1,16 @@
-"""Benchmark items found in documents: SimHash windows, a multi-index, exact verification.
+"""Benchmark items found in documents: windows bounded by shared shingles, exact verification.
 
 Texts are five-word shingles of lower-cased words (a shorter text is one shingle). A
-window is as many shingles of a document as an item has; only windows that line up
-with an item on a shingle they share are looked at, as any other has nothing in
-common with it there. Windows and items get 64-bit SimHash fingerprints, a shingle
-counting as often as it occurs. Fingerprints are cut into five blocks: two that
-differ in at most 19 bits differ in at most 3 bits of some block, and every item is
-filed under all values of a block within 3 bits of its own, so that equal block
-values find all items within the radius. Candidates are verified by the exact
-weighted similarity of their shingles.
+window is as many shingles of a document as an item has. A window can be similar
+enough only if so many of its shingles are shingles of the item, in whatever order:
+with ``n`` shingles in the item, a similarity of ``percent`` needs ``n * percent /
+100`` in common. So every run of a document that holds this many shared shingles within
+``n`` places gives all starts whose window covers it, and each of these windows is
+verified by the exact weighted similarity of its shingles. No window that could be
+verified is passed over.
 
 Column expressions only. The texts are read once to find shared shingles, and once
-more for the documents that have any.
+more for the documents that hold enough of them.
 """
 
 from __future__ import annotations
@@ -24,8 +23,6 @@ from rollbook.session import land
 
 SHINGLE = 5
 PERCENT = 80
-#: Bits in which fingerprints may differ, and the widths of the blocks (radius // blocks bits may differ in the nearest).
-RADIUS, BLOCKS = 19, (13, 13, 13, 13, 12)
 
 _SPACE = " \\t\\n\\x0B\\f\\r"
 
@@ -40,11 +37,6 @@ def shingles(text: str) -> Column:
     return F.expr(f"if(rlike({text}, '[^{_SPACE}]'), transform(array({hashes}), h -> {rolled})[0], cast(array() as array<bigint>))".replace(f"'[^{_SPACE}]'", f"'[^{_SPACE}]'".replace("\\", "\\\\")))
 
 
-def simhash(elements: str) -> Column:
-    """64-bit SimHash of an array of hashes: each bit is what most elements have there."""
-    return F.expr(f"aggregate(sequence(0, 63), 0L, (f, b) -> f | shiftleft(if(2 * aggregate({elements}, 0, (n, x) -> n + cast(shiftright(x, b) & 1 as int)) > size({elements}), 1L, 0L), b))")
-
-
 def similarity(a: str, b: str) -> Column:
     """Weighted Jaccard similarity of two arrays: a value counts as often as it occurs."""
     plain = f"size(array_intersect({a}, {b}))"
@@ -54,17 +46,7 @@ def similarity(a: str, b: str) -> Column:
     return F.when(total > 0, common / total).otherwise(F.lit(0.0))
 
 
-def _blocks(fingerprint: str) -> Column:
-    """The blocks of a fingerprint: array of (block, value)."""
-    out, at = [], 0
-    for k, width in enumerate(BLOCKS):
-        value = F.shiftrightunsigned(F.col(fingerprint), at).bitwiseAND(F.lit((1 << width) - 1)).cast("int")
-        out.append(F.struct(F.lit(k).alias("block"), value.alias("value")))
-        at += width
-    return F.array(*out)
-
-
-def leaks(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, radius: int = RADIUS) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``doc_id, item_id, similarity, start``: documents with a window at least that similar to an item.
 
     ``docs`` needs ``doc_id`` and ``text``, ``benchmark`` ``item_id`` and ``text``; other
@@ -75,33 +57,28 @@ def leaks(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, radius:
     Repeated rows give no further rows. The function starts jobs.
     """
     items = benchmark.where("item_id is not null").select("item_id", shingles("text").alias("item")).where("size(item) > 0")
-    index = broadcast_if_few(items.select(F.posexplode("item").alias("place", "shingle"), F.size("item").alias("n")))
+    index = broadcast_if_few(items.select("item_id", F.size("item").alias("n"), F.explode(F.array_distinct("item")).alias("shingle")).distinct())
     texts = docs.where("doc_id is not null").select("doc_id", "text")
+    need = f"greatest(1, (n * {percent} + 99) div 100)"
+    runs = f"filter(sequence(0, size(at) - {need}), i -> at[i + {need} - 1] - at[i] < n)"
+    starts = f"array_distinct(flatten(transform({runs}, i -> sequence(at[i + {need} - 1] - n + 1, at[i]))))"
     windows = land(
-        texts.select("doc_id", F.posexplode(shingles("text")).alias("at", "shingle")).join(index, "shingle").select("doc_id", (F.col("at") - F.col("place")).alias("start"), "n").distinct(),
+        texts.select("doc_id", F.posexplode(shingles("text")).alias("at", "shingle"))
+        .join(index, "shingle")
+        .groupBy("doc_id", "item_id", "n")
+        .agg(F.array_sort(F.collect_set("at")).alias("at"))
+        .where(f"size(at) >= {need}")
+        .select("doc_id", "item_id", "n", F.expr(starts).alias("starts"))
+        .where("size(starts) > 0"),
         "windows",
     )
     met = broadcast_if_few(windows.select("doc_id").distinct())
     hit = texts.join(met, "doc_id", "left_semi").select("doc_id", shingles("text").alias("all"))
     first = F.greatest("start", F.lit(0))
     window = F.slice("all", first + 1, F.greatest(F.col("start") + F.col("n") - first, F.lit(0)))
-    cut = windows.join(hit, "doc_id").select("doc_id", "start", "n", window.alias("window")).where("size(window) > 0").withColumn("print", simhash("window"))
-
-    near = radius // len(BLOCKS)
-    filed = items.withColumn("print", simhash("item")).select("item_id", "item", F.size("item").alias("n"), F.col("print").alias("item_print"), F.explode(_blocks("print")).alias("b"))
-    width = F.element_at(F.array(*(F.lit(1 << w) for w in BLOCKS)), F.col("b.block") + 1)
-    masks = F.filter(F.sequence(F.lit(0), width - 1), lambda m: F.bit_count(m) <= near)
-    filed = filed.select("item_id", "n", "item_print", F.col("b.block").alias("block"), F.explode(F.transform(masks, lambda m: m.bitwiseXOR(F.col("b.value")))).alias("value"))
-    asked = land(cut, "cut")
-    found = (
-        asked.select("doc_id", "start", "n", "print", F.explode(_blocks("print")).alias("b"))
-        .select("doc_id", "start", "n", "print", F.col("b.block").alias("block"), F.col("b.value").alias("value"))
-        .join(filed, ["n", "block", "value"])
-        .where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= radius)
-        .select("doc_id", "start", "n", "item_id")
-        .distinct()
-    )
-    pairs = found.join(asked.select("doc_id", "start", "n", "window"), ["doc_id", "start", "n"]).join(items, "item_id").withColumn("similarity", similarity("window", "item"))
+    held = items.withColumn("n", F.size("item"))
+    cut = windows.join(hit, "doc_id").join(held, ["item_id", "n"]).withColumn("start", F.explode("starts"))
+    pairs = cut.select("doc_id", "item_id", "start", "item", window.alias("window")).where("size(window) > 0").withColumn("similarity", similarity("window", "item"))
     close = pairs.where(F.col("similarity") * 100 >= percent)
     best = close.groupBy("doc_id", "item_id").agg(F.max(F.struct("similarity", (-F.col("start")).alias("start"))).alias("best"))
     return best.select("doc_id", "item_id", "best.similarity", F.greatest(-F.col("best.start"), F.lit(0)).alias("start"))

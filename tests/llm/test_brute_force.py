@@ -334,6 +334,35 @@ def test_decontamination(spark, texts):
     assert expected and found == expected
 
 
+def test_reordered_items_are_found(spark):
+    """Items with halves or sentences swapped, repeated or cut, inside other words, against every window."""
+    rng = np.random.default_rng(11)
+    items = {i: [f"i{i}w{k}" for k in range(n)] for i, n in enumerate([60, 90, 150, 44, 30])} | {5: [f"r{k % 11}" for k in range(70)]}
+    docs = {}
+    for i, w in items.items():
+        for parts in ([0.5], [0.2], [0.34, 0.67], [0.1], [0.25, 0.5, 0.75]):
+            cuts = [0, *(int(len(w) * x) for x in parts), len(w)]
+            pieces = [w[a:b] for a, b in zip(cuts, cuts[1:])][::-1]
+            around = [[f"o{x}" for x in rng.integers(0, 500, int(rng.integers(0, 40)))] for _ in range(2)]
+            docs[len(docs)] = around[0] + sum(pieces, []) + around[1]
+            docs[len(docs)] = sum(pieces, [])[int(rng.integers(0, 9)) :] + around[1]
+    grams = lambda w: [tuple(w[i : i + 5]) for i in range(len(w) - 4)]
+    expected = {}
+    for d, words in docs.items():
+        own = grams(words)
+        for i, w in items.items():
+            item = grams(w)
+            for p in range(1 - len(item), len(own)):
+                window = own[max(p, 0) : p + len(item)]
+                common = sum((Counter(window) & Counter(item)).values())
+                if common * 100 >= 80 * (len(window) + len(item) - common):
+                    best = (common / (len(window) + len(item) - common), -p)
+                    expected[d, i] = max(expected.get((d, i), best), best)
+    frames = [spark.createDataFrame([(k, " ".join(w)) for k, w in x.items()], f"{name} long, text string") for x, name in ((docs, "doc_id"), (items, "item_id"))]
+    found = {(r["doc_id"], r["item_id"]): (r["similarity"], r["start"]) for r in decontaminate.leaks(*frames).collect()}
+    assert len(expected) > 15 and found == {k: (s, max(-p, 0)) for k, (s, p) in expected.items()}
+
+
 def test_language_of_held_out_documents(spark):
     truth = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     got = rows(spark, "op9_language_id")
