@@ -4,12 +4,14 @@ Every rule has a feature and a grid of cutoffs; a document fails a rule if its
 feature lies beyond the cutoff of its stratum. Per stratum, cutoffs are used only
 if the labelled documents show, with confidence, that all rules together reject few
 good ones: the exact (Clopper-Pearson) upper bound of that rate must be at most
-``risk``, at an error level shared among all strata and all combinations of
-cutoffs (Bonferroni), so that the choice among them costs nothing. With
-probability ``1 - error`` no stratum loses more than ``risk`` of its good
-documents. A stratum with too few labels gets no cutoff and rejects nothing beyond
-the base rules. Good documents that several rules reject count once per rule,
-which can only make the choice more careful.
+``risk``. The joint settings of all rules are put in one order in advance, loosest
+first, each stricter than the one before, and tested in this order at an error level
+shared among the strata only, up to the first that fails (fixed-sequence testing):
+the first test of a setting that loses too much is the only one that can err, so
+that the number of settings costs nothing. With probability ``1 - error`` no stratum
+loses more than ``risk`` of its good documents. A stratum with too few labels gets no
+cutoff and rejects nothing beyond the base rules; with four strata, 86 good labels
+without a rejection are enough.
 """
 
 from __future__ import annotations
@@ -140,37 +142,48 @@ def base_failed() -> F.Column:
     return (F.col("n_words") < 50) | (F.lit(100) * F.col("n_repeat_words") > F.lit(50) * F.col("n_words"))
 
 
+def settings(rules: tuple[Rule, ...]) -> list[tuple[float | None, ...]]:
+    """The joint settings in the order of their tests: from none, rule after rule one cutoff stricter, round by round."""
+    now: list[float | None] = [None] * len(rules)
+    out = []
+    for back in range(1, max((len(r.cutoffs) for r in rules), default=0) + 1):
+        for i, rule in enumerate(rules):
+            if back <= len(rule.cutoffs):
+                now[i] = rule.cutoffs[-back]
+                out.append(tuple(now))
+    return out
+
+
 def _choose(rules: tuple[Rule, ...], risk: float, error: float):
+    steps = settings(rules)
+
     def run(key, found):
         import pandas as pd
 
         row = found.iloc[0]
         n = int(row["good"])
-        level = error / (int(row["strata"]) * math.prod(len(r.cutoffs) + 1 for r in rules))
-        out, total = {"stratum": row["stratum"]}, 0
-        for i, rule in enumerate(rules):
-            out[f"cutoff{i}"] = None
-            for j, cutoff in enumerate(rule.cutoffs):
-                rejected = int(row[f"r{i}_{j}"])
-                # no rule may use up more than its part of what can be spent
-                if rejected * len(rules) <= n * risk and upper_bound(total + rejected, n, level) <= risk:
-                    out[f"cutoff{i}"] = cutoff
-                    total += rejected
-                    break
+        level = error / int(row["strata"])
+        chosen: tuple[float | None, ...] = (None,) * len(rules)
+        for k, step in enumerate(steps):
+            if upper_bound(int(row[f"s{k}"]), n, level) > risk:
+                break
+            chosen = step
+        out = {"stratum": row["stratum"]} | {f"cutoff{i}": c for i, c in enumerate(chosen)}
         return pd.DataFrame([out]).astype({f"cutoff{i}": "float64" for i in range(len(rules))})
 
     return run
 
 
 def thresholds(measured: DataFrame, labels: DataFrame, rules: tuple[Rule, ...] = RULES, risk: float = RISK, error: float = ERROR) -> DataFrame:
-    """Per stratum, the strictest cutoff of each rule that the labelled good documents allow (null: none).
+    """Per stratum, the last joint setting in the order of ``settings`` that the labelled good documents allow (null: no cutoff).
 
     ``labels (doc_id, quality)``: quality 1 is good; other values and nulls are no
     evidence. Labels repeated for a document count once. Documents that the base
     rules reject are no evidence either, as no cutoff decides on them.
     """
     good = labels.where("quality = 1").select("doc_id").distinct()
-    rates = [F.sum((F.expr(r.feature) > F.lit(c)).cast("long")).alias(f"r{i}_{j}") for i, r in enumerate(rules) for j, c in enumerate(r.cutoffs)]
+    fails = [F.array(*(F.coalesce(F.expr(r.feature) > F.lit(c), F.lit(False)) for r, c in zip(rules, step) if c is not None)) for step in settings(rules)]
+    rates = [F.sum(F.array_contains(f, True).cast("long")).alias(f"s{k}") for k, f in enumerate(fails)]
     seen = measured.where(~base_failed()).join(good, "doc_id", "left_semi")
     counts = seen.groupBy("stratum").agg(F.count("*").alias("good"), *rates)
     counts = land(counts, "rates")

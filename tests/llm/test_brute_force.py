@@ -418,6 +418,25 @@ def test_cutoffs_reject_bad_documents_and_keep_good_ones(spark):
     assert sum(found[d] for d in range(1500)) >= 0.95 * 1500 and not any(found[2000 + i] for i in range(200))
 
 
+def test_few_labels_in_every_language_give_cutoffs(spark):
+    """100 good labels in each of four strata are enough (86 are, without a rejection)."""
+    rows_ = [(1000 * k + i, " ".join(f"word{(i * 7 + j) % 300}" + "###" * (i >= 100) for j in range(80)), lang, "s", 1) for k, lang in enumerate(("en", "fr", "de", "es")) for i in range(120)]
+    docs = spark.createDataFrame(rows_, "doc_id long, text string, lang string, source string, n_chars long")
+    labels = docs.where("doc_id % 1000 < 100").select("doc_id", F.lit(1).alias("quality"))
+    found = {r["doc_id"]: r["kept"] for r in quality_rules.judged(docs, labels).collect()}
+    assert all(kept == (d % 1000 < 100) for d, kept in found.items())
+    few = {r["doc_id"]: r["kept"] for r in quality_rules.judged(docs, labels.where("doc_id % 1000 < 85")).collect()}
+    assert all(few.values())
+
+
+def test_joint_settings_get_stricter_one_rule_at_a_time():
+    steps = quality_rules.settings(quality_rules.RULES)
+    assert len(steps) == sum(len(r.cutoffs) for r in quality_rules.RULES) and steps[-1] == tuple(r.cutoffs[0] for r in quality_rules.RULES)
+    for a, b in zip([(None,) * len(quality_rules.RULES), *steps], steps):
+        changed = [(x, y) for x, y in zip(a, b) if x != y]
+        assert len(changed) == 1 and (changed[0][0] is None or changed[0][1] < changed[0][0])
+
+
 def test_pipeline_against_plain_stages(spark, texts):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     stage = dict(corpus_pipeline.STAGES)
