@@ -11,7 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import chat, decontaminate, html_blocks, jaccard_join, language, line_dedup, packing, pii, quality_rules, secret_scan
+from rollbook.llm import (
+    chat, decontaminate, filter_audit, html_blocks, jaccard_join, language, line_dedup, packing, pii, quality_rules, secret_scan, simhash, whitening,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -146,3 +148,55 @@ reach as (select a, b from steps union select reach.a, steps.b from reach join s
 select sizes.doc_id, n as n_shingles, least(sizes.doc_id, coalesce(min(b), sizes.doc_id)) as component_id
 from sizes left join reach on reach.a = sizes.doc_id group by sizes.doc_id, n
 """
+
+
+@query
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+ORACLES["op11_filter_audit"] = """
+with spoken as (
+ select doc_id, coalesce(source, '') as part, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^ \\t\\n\\x0B\\f\\r]+') as w from documents),
+failed as (
+ select s.doc_id, part, len(w) < 50 as a, 100 * len(list_distinct(w)) < 65 * len(w) as b,
+  100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) as c, regexp_matches(t, '[#$%&*|]') as d,
+  s.doc_id > min(s.doc_id) over (partition by t) as e,
+  coalesce(exists (select 1 from labels l where l.doc_id = s.doc_id and l.quality = 1), false) as good,
+  coalesce(exists (select 1 from labels l where l.doc_id = s.doc_id and l.toxic = 1), false) as toxic
+ from spoken s),
+coded as (select part, good, toxic, [a, b, c, d, e] as fails from failed),
+letters as (select unnest(range(1, 6)) as i),
+orders as (
+ select [p.i, q.i, r.i, s.i, u.i] as o, row_number() over (order by p.i, q.i, r.i, s.i, u.i) as nr
+ from letters p, letters q, letters r, letters s, letters u
+ where p.i <> q.i and p.i <> r.i and p.i <> s.i and p.i <> u.i and q.i <> r.i and q.i <> s.i and q.i <> u.i and r.i <> s.i and r.i <> u.i and s.i <> u.i),
+kinds as (select part, fails, count(*) as n, count(*) filter (where good) as good, count(*) filter (where toxic) as toxic from coded group by part, fails),
+steps as (select nr, o, i as step, o[i] as f from orders, letters),
+seen as (
+ select k.part, t.nr, t.o, t.step, t.f, k.n, k.good, k.toxic, k.fails[t.f] as own,
+  (t.step > 1 and k.fails[t.o[1]]) or (t.step > 2 and k.fails[t.o[2]]) or (t.step > 3 and k.fails[t.o[3]]) or (t.step > 4 and k.fails[t.o[4]]) as gone,
+  len(list_filter(k.fails, lambda x: x)) as number
+ from kinds k, steps t),
+summed as (
+ select part, nr, o, step, f, sum(case when own or gone then 0 else n end) as kept, sum(case when own and not gone then n else 0 end) as removed,
+  sum(case when own and gone then n else 0 end) as redundant, sum(case when own and number = 1 then n else 0 end) as unique_fails,
+  sum(case when own and not gone then good else 0 end) as good_lost, sum(case when own and not gone then toxic else 0 end) as toxic_lost
+ from seen group by part, nr, o, step, f)
+select part, substr('ABCDE', o[1], 1) || substr('ABCDE', o[2], 1) || substr('ABCDE', o[3], 1) || substr('ABCDE', o[4], 1) || substr('ABCDE', o[5], 1) as filter_order,
+ cast(step as integer) as step, cast(kept as bigint) as kept, cast(removed as bigint) as removed, cast(redundant as bigint) as redundant,
+ cast(unique_fails as bigint) as unique_fails, cast(good_lost as bigint) as good_lost, cast(toxic_lost as bigint) as toxic_lost,
+ cast(sum(removed) over (partition by part, f) as bigint) as shapley
+from summed
+"""
+
+
+@query
+def op12_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_classes(read(spark, sf_dir, "documents")).select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return whitening.whitened(vectors, "vec_id", "embedding")
