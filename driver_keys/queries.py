@@ -13,17 +13,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from driver_keys.expected_names import CLEAN_HELD, CLEAN_TITLES, GIVEN_OFFICE, SHORT_BY_NAME, SHORT_BY_SHORT, WHIP_TITLES
 from driver_keys.views import Frames, with_views
 from rollbook.functions import titles
 from rollbook.functions.fixed_rules import MANY_NAMED_TITLES
-from rollbook.functions.names import strip_name_affixes
+from rollbook.functions.names import post_topic, strip_name_affixes
 from rollbook.functions.similarity import indel_ratio
 from rollbook.functions.text import strip_all
-from rollbook.operators import changes, cleaning, quality, review, statements, validity
+from rollbook.operators import blocking, changes, cleaning, gates, quality, review, statements, validity
 from rollbook.operators.fuzzy import fuzzy_merge, nearest_names
 from rollbook.operators.matching import for_export, score_candidates
 from rollbook.plans import appointments, pages, people
-from rollbook.session import new_path
+from rollbook.session import land, new_path
 from rollbook.sources import links, payloads, tables
 
 AS_OF = datetime.date(2001, 12, 31)
@@ -192,6 +193,24 @@ def temporal_left_join(f: Frames) -> DataFrame:
     )
 
 
+@key(
+    "temporal_left_join_unique",
+    """
+select d.appointment_id, d.person_id, d.person_name, seat.mp_peer, f.post_name, f.organisation_short_name, f.post_rank,
+ s.cabinet_status, s.is_on_leave, s.is_acting, s.leave_reason, cast(s.start_date as date) as start_date, cast(s.end_date as date) as end_date
+from {v_name_that_day} d
+ join {v_spell} s using (appointment_id)
+ join (select id as appointment_id, post_id from {v_appt}) held using (appointment_id)
+ join {v_office} f using (post_id)
+ left join {v_seat_that_day} seat using (appointment_id)
+where s.start_date > date '1998-12-31'""",
+)
+def temporal_left_join_unique(f: Frames) -> DataFrame:
+    """Spells of a seat that do not overlap: the check finds that, and their join is left out of the plan."""
+    once = f.v_repr.select(F.col("id").alias("representation_id"), "start_date", "end_date")
+    return appointments.core_appointments(f.v_appt, f.v_spell, f.v_person, f.v_repr, f.v_post, f.v_org, MIN_START, once)
+
+
 @key(
     "interval_containment_join",
     """
@@ -307,6 +326,59 @@ def indel_ratio_key(f: Frames) -> DataFrame:
     return rounded(named.withColumn("ratio", indel_ratio(F.col("a"), F.col("b"))), "ratio")
 
 
+@key(
+    "indel_ratio_long",
+    f"""
+with pairs as (select distinct a, b from {{v_long_titles}}),
+{RATIOS}
+select id, n.a, n.b, round(ratio, 6) as ratio from {{v_long_titles}} n inner join ratios r on n.a = r.a and n.b = r.b""",
+    recursive=True,
+)
+def indel_ratio_long(f: Frames) -> DataFrame:
+    return rounded(f.v_long_titles.withColumn("ratio", indel_ratio(F.col("a"), F.col("b"))), "ratio")
+
+
+@key(
+    "fuzzy_blocked",
+    FUZZY
+    + """
+select distinct left_name, right_name, round(ratio, 6) as score from placed where n = 1
+union all select 'recall of blocking at least 0.9', 'true', null""",
+    recursive=True,
+)
+def fuzzy_blocked(f: Frames) -> DataFrame:
+    """What blocking finds, the exact match for the names it has missed, and whether these are few enough."""
+    exact = nearest_names(f.v_seekers, f.v_listing, "name", "name")
+    found = land(blocking.blocked_names(f.v_seekers, f.v_listing, "name", "name"), "blocked")
+    ours = found.select("left_name", F.col("right_name").alias("_name"), F.col("score").alias("_score"))
+    good = F.coalesce(F.col("_score") >= F.col("score") - 1e-9, F.lit(False))
+    rows = exact.join(ours, "left_name", "left").select(
+        "left_name", F.when(good, F.col("_name")).otherwise(F.col("right_name")).alias("right_name"), F.when(good, F.col("_score")).otherwise(F.col("score")).alias("score")
+    )
+    recall = blocking.blocking_recall(f.v_seekers, f.v_listing, "name", "name", share=1.0, blocked=found)
+    row = recall.select(F.lit("recall of blocking at least 0.9").alias("left_name"), (F.col("recall") >= 0.9).cast("string").alias("right_name"), F.lit(None).cast("double").alias("score"))
+    return rounded(rows, "score").unionByName(row)
+
+
+@key(
+    "ranked_names",
+    FUZZY.replace("{v_seekers}", "{v_many_named}").replace("partition by left_id order", "partition by left_id, left_name order")
+    + """
+select left_id as df_left_id, right_id as df_right_id, left_name as name_df_left, right_name as name_df_right, round(ratio, 6) as match_score,
+ cast(row_number() over (partition by left_id order by round(ratio, 9) desc, left_name, right_id) as int) as duplicate_flag_df_left
+from placed where n = 1""",
+    recursive=True,
+)
+def ranked_names(f: Frames) -> DataFrame:
+    """People who go by several names: their suggestions ranked over all of these."""
+    return rounded(people.match_people(f.v_many_named, f.v_listing).drop("slug"), "match_score")
+
+
+@key("post_topics", "select id, exp_topic as topic from {v_topics}")
+def post_topics(f: Frames) -> DataFrame:
+    return f.v_topics.select("id", post_topic(F.col("post_name")).alias("topic"))
+
+
 @key("name_affixes", "select id, exp_name as name from {v_titled_names}")
 def name_affixes(f: Frames) -> DataFrame:
     return f.v_titled_names.select("id", strip_name_affixes(F.col("name")).alias("name"))
@@ -323,6 +395,33 @@ def accepted_matches(f: Frames) -> DataFrame:
     return people.accepted_matches(f.v_reviewed)
 
 
+@key(
+    "sheet_round_trip",
+    """
+with ranked as (select *, cast(row_number() over (order by cast(df_left_id as varchar), slug) as bigint) as line from {v_reviewed})
+select cast(df_left_id as varchar) as id, name_df_left as name, slug, line + 1 as line from ranked where accept = 'Y'
+union all
+select cast(df_left_id as varchar), name_df_left, replacement_slug, line + 1 from ranked where accept = 'N' and replacement_name is not null""",
+)
+def sheet_round_trip(f: Frames) -> DataFrame:
+    """The sheet written blank, decided on, written and read again, and the accepted rows published once and rewritten.
+
+    ``line`` is the row's line in the sheet as it was written.
+    """
+    suggested = f.v_reviewed.select("df_left_id", "df_right_id", "name_df_left", "name_df_right", "slug", F.lit(1).alias("duplicate_flag_df_left"), F.lit(90.0).alias("match_score"))
+    sheet, decided, accepted = (new_path(f.spark, name) for name in ("sheet", "decided-sheet", "accepted"))
+    tables.write_match_sheet(suggested, sheet)
+    lines = tables.read_lines(f.spark, sheet).filter(~F.col("value").startswith("df_left_id,")).select(F.split("value", ",")[0].alias("df_left_id"), "line")
+    review_columns = ["accept", "replacement_name", "replacement_slug"]
+    marks = f.v_reviewed.select(F.col("df_left_id").cast("string").alias("df_left_id"), *review_columns)
+    tables.read_match_sheet(f.spark, sheet).drop(*review_columns).join(marks, "df_left_id").write.csv(decided, header=True)
+    columns = f.spark.read.csv(decided, header=True).columns
+    back = f.spark.read.csv(decided, header=True).select(*columns)
+    tables.write_once(people.accepted_matches(back), accepted)
+    tables.rewrite(tables.read_table(f.spark, accepted).join(lines.withColumnRenamed("df_left_id", "id"), "id"), accepted + "-2", accepted)
+    return tables.read_table(f.spark, accepted + "-2")
+
+
 @key(
     "reference_union",
     """
@@ -486,14 +585,10 @@ def _rule_rows(f: Frames, column: str) -> DataFrame:
 
 @key(
     "rule_post_name",
-    """
-select id, case when post_name = 'Assistant Government Whip' then 'Assistant Whip (HM Treasury)'
- when post_name = 'Government Whip' and person_name = 'Douglas Ross MP' then 'Lord Commissioner (Whip)'
- when post_name = 'Lord in Waiting (Government Whip)' then 'Lord in Waiting'
- when post_name = 'Economic Secretary to the Treasury' then 'Economic Secretary'
- when post_name = 'UK Government Minister for Wales' and person_name = 'Guto Bebb' then 'Parliamentary Under-Secretary of State'
- when post_name = 'Parliamentary Under Secretary of State' then 'Parliamentary Under-Secretary of State'
- else post_name end as post_name_clean from {v_rule_rows}""",
+    f"""
+select r.id, coalesce(h.clean, t.clean, r.post_name) as post_name_clean
+from {{v_rule_rows}} r left join {CLEAN_TITLES} t on t.title = r.post_name
+ left join {CLEAN_HELD} h on h.title = r.post_name and h.person = r.person_name""",
 )
 def rule_post_name(f: Frames) -> DataFrame:
     return _rule_rows(f, "post_name_clean")
@@ -501,14 +596,10 @@ def rule_post_name(f: Frames) -> DataFrame:
 
 @key(
     "rule_org_name",
-    """
-select id, case when post_name in ('Assistant Government Whip', 'Government Whip') then 'Government Whips-House of Commons'
- when post_name = 'Lord in Waiting (Government Whip)' then 'Government Whips-House of Lords'
- when organisation_name is not null then organisation_name
- when post_name = 'Minister of State' and person_name = 'Lord Howell of Guildford' then 'Foreign, Commonwealth & Development Office'
- when post_name = 'Parliamentary Under Secretary of State' and person_name = 'Nick Hurd' then 'Department for International Development'
- when post_name = 'Minister for Women and Equalities' then 'Government Equalities Office' end as organisation_name_clean
-from {v_rule_rows}""",
+    f"""
+select r.id, coalesce(w.name, r.organisation_name, g.name) as organisation_name_clean
+from {{v_rule_rows}} r left join {WHIP_TITLES} w on w.title = r.post_name
+ left join {GIVEN_OFFICE} g on g.title = r.post_name and coalesce(g.person, r.person_name) = r.person_name""",
 )
 def rule_org_name(f: Frames) -> DataFrame:
     return _rule_rows(f, "organisation_name_clean")
@@ -516,16 +607,11 @@ def rule_org_name(f: Frames) -> DataFrame:
 
 @key(
     "rule_org_short",
-    """
-select id, case when organisation_name = 'Cabinet Office' then 'CO' when organisation_name = 'Home Office' then 'HO'
- when organisation_short_name = 'DFID' then 'DfID' when organisation_short_name = 'MOD' then 'MoD'
- when organisation_short_name = 'MOJ' then 'MoJ'
- when post_name in ('Assistant Government Whip', 'Government Whip') then 'Whip Commons'
- when post_name = 'Lord in Waiting (Government Whip)' then 'Whip Lords'
- when organisation_name is null and post_name = 'Minister of State' and person_name = 'Lord Howell of Guildford' then 'FCDO'
- when organisation_name is null and post_name = 'Parliamentary Under Secretary of State' and person_name = 'Nick Hurd' then 'DfID'
- when organisation_name is null and post_name = 'Minister for Women and Equalities' then 'GEO'
- else organisation_short_name end as organisation_short_name_clean from {v_rule_rows}""",
+    f"""
+select r.id, coalesce(n.short, s.short, w.short, g.short, r.organisation_short_name) as organisation_short_name_clean
+from {{v_rule_rows}} r left join {SHORT_BY_NAME} n on n.name = r.organisation_name left join {SHORT_BY_SHORT} s on s.written = r.organisation_short_name
+ left join {WHIP_TITLES} w on w.title = r.post_name
+ left join {GIVEN_OFFICE} g on g.title = r.post_name and coalesce(g.person, r.person_name) = r.person_name and r.organisation_name is null""",
 )
 def rule_org_short(f: Frames) -> DataFrame:
     return _rule_rows(f, "organisation_short_name_clean")
@@ -575,7 +661,8 @@ def norm_equalities(f: Frames) -> DataFrame:
 @key(
     "norm_lords",
     """
-select id, case k when 15 then 'Parliamentary Under Secretary of State' when 16 then concat('Minister for ', topic)
+select id, case when k = 15 then 'Parliamentary Under Secretary of State' when k in (16, 19, 20, 21) then concat('Minister for ', topic)
+ when k = 18 then concat('Minister of State (Minister for ', topic, ')') when k = 22 then concat('Minister for ', topic, ' and Lords Minister')
  else post_name end as post_name from {v_titles}""",
 )
 def norm_lords(f: Frames) -> DataFrame:
@@ -587,7 +674,7 @@ def norm_lords(f: Frames) -> DataFrame:
     """
 select id, case k when 10 then concat('Minister for ', topic, ')') when 12 then concat('Minister for ', topic, ' (maternity cover)')
   when 13 then concat('Minister for ', topic, ' & U – joint with FCDO and Defra') when 15 then 'Minister for the Lords'
-  when 14 then post_name when 16 then post_name else exp_name end as post_name, exp_rank as post_rank
+  when 14 then post_name else case when k = 16 or k > 17 then post_name else exp_name end end as post_name, exp_rank as post_rank
 from {v_titles}""",
 )
 def norm_rank(f: Frames) -> DataFrame:
@@ -679,7 +766,7 @@ def _links(f: Frames, reader: str) -> DataFrame:
 
 @key("page_links", LINKS_SQL)
 def page_links(f: Frames) -> DataFrame:
-    return _links(f, "auto")
+    return _links(f, "expression")
 
 
 @key("page_links_parser", LINKS_SQL)
@@ -687,6 +774,79 @@ def page_links_parser(f: Frames) -> DataFrame:
     return _links(f, "parser")
 
 
+@key(
+    "observed_measures",
+    """
+select 'links.rows' as measure, count(*) as observed from ({links}) l
+union all select 'links.off_prefix', count(*) filter (where not starts_with(href, '/')) from ({links}) l
+union all select 'links.longest_name', max(length(name)) from ({links}) l
+union all select 'run.rows', count(*) from ({links}) l
+union all select 'matches.rows', count(*) from {v_reviewed}
+union all select 'matches.unnamed', count(*) filter (where slug is null) from {v_reviewed}
+union all select 'run.repeated_df_left_id', 0
+union all select 'published', (select count(*) from ({links}) l) + (select count(*) from {v_reviewed})""".replace("{links}", LINKS_SQL),
+)
+def observed_measures(f: Frames) -> DataFrame:
+    """Measures taken while two runs are written, and the rows that got past their gates."""
+    path = new_path(f.spark, "published")
+    first, second = gates.Measures(), gates.Measures()
+    links_found = first.watch("links", _links(f, "expression").drop("next_url"), off_prefix=gates.lacking_prefix("href", "/"), longest_name=gates.longest("name"))
+    one = gates.publish(links_found, f"{path}-links", "run-1", gates.Gate({"links found": lambda m: m["links.rows"] > 0}), first)
+    matches = second.watch("matches", f.v_reviewed, unnamed=F.count_if(F.col("slug").isNull()))
+    two = gates.publish(matches, f"{path}-matches", "run-1", gates.Gate(unique=("df_left_id",)), second)
+    two.pop("run.rows")
+    published = sum(tables.read_snapshot(f.spark, f"{path}-{name}", "run-1").count() for name in ("links", "matches"))
+    return f.spark.createDataFrame([*one.items(), *two.items(), ("published", published)], "measure string, observed long")
+
+
+def _damaged_pages(f: Frames) -> DataFrame:
+    """Some pages cut off, some with an object that became text, some with a renamed field."""
+    turn = F.col("id")
+    damaged = (
+        F.when(turn % 7 == 3, F.left("payload", F.lit(20)))
+        .when(turn % 11 == 4, F.regexp_replace("payload", r'"details":\{[^}]*\}', '"details":"none"'))
+        .when(turn % 13 == 5, F.replace("payload", F.lit('"links":'), F.lit('"link":')))
+    )
+    return _nested_pages(f).withColumn("payload", F.coalesce(damaged, "payload"))
+
+
+@key(
+    "damaged_pages",
+    """
+with pages_ as (
+ select o_orderkey as id, o_orderkey % 7 = 3 as broken, o_orderkey % 7 <> 3 and o_orderkey % 11 = 4 as drifted,
+  o_orderkey % 7 <> 3 and o_orderkey % 11 <> 4 and o_orderkey % 13 = 5 as renamed, o_orderkey % 10 as turn,
+  exists (select 1 from lineitem where l_orderkey = o_orderkey) as filled from orders),
+fine as (select *, not renamed and turn > 0 and filled as listed from pages_ where not broken)
+select 'aside' as kind, 'broken' as name, true as asked, count(*) as n from pages_ where broken
+union all select 'aside', 'drifted', true, count(*) from pages_ where drifted
+union all select 'read', 'pages', true, count(*) from pages_ where not broken and not drifted
+union all select 'field', 'content_id', true, count(*) from fine
+union all select 'field', 'details', true, count(*) from fine
+union all select 'field', 'details.full_name', true, count(*) filter (where not drifted) from fine
+union all select 'field', 'links', true, count(*) filter (where not renamed) from fine
+union all select 'field', 'link', false, count(*) filter (where renamed) from fine
+union all select 'field', 'links.available_translations', true, count(*) filter (where not renamed) from fine
+union all select 'field', 'links.available_translations.locale', true, count(*) filter (where not renamed) from fine
+union all select 'field', 'links.role_appointments', true, count(*) filter (where listed) from fine
+union all select 'field', 'links.role_appointments.content_id', true, count(*) filter (where listed and turn > 1) from fine
+union all select 'field', 'links.role_appointments.part', true, count(*) filter (where listed and turn > 1) from fine
+union all select 'field', 'links.unused', true, count(*) filter (where not renamed) from fine""",
+)
+def damaged_pages(f: Frames) -> DataFrame:
+    """Pages set aside by reason, pages read, and the fields asked for and seen."""
+    schema = T.StructType.fromDDL(NESTED)
+    raw = payloads.land_payloads(_damaged_pages(f), new_path(f.spark, "raw-pages"))
+    n, yes = F.count(F.lit(1)).alias("n"), F.lit(True).alias("asked")
+    aside = payloads.unreadable(raw, schema).groupBy(F.col("reason").alias("name")).agg(n)
+    fields = payloads.schema_drift(raw, schema)
+    return (
+        aside.select(F.lit("aside").alias("kind"), "name", yes, "n")
+        .unionByName(payloads.parse_payload(raw, schema).agg(n).select(F.lit("read").alias("kind"), F.lit("pages").alias("name"), yes, "n"))
+        .unionByName(fields.select(F.lit("field").alias("kind"), F.col("path").alias("name"), "asked", F.col("pages").alias("n")))
+    )
+
+
 # --------------------------------------------------------------------------
 # Review and changes
 
@@ -936,3 +1096,121 @@ select concat('insert into core.post (id, organisation_id, name, rank_equivalenc
 def render_statements(f: Frames) -> DataFrame:
     quoted = posts_to_add(f).withColumn("post_name", F.concat("post_name", F.lit("'s")))
     return statements.insert_posts(quoted).select("statement")
+
+
+@key("bucketed_post_update", ORACLES["apply_post_update"])
+def bucketed_post_update(f: Frames) -> DataFrame:
+    """The appointments as a bucketed table, of which only the buckets of moved appointments are written again."""
+    path = new_path(f.spark, "appointments")
+    good, _, appointment = _resolved_edits(f)
+    tables.write_buckets(appointment, path, "id", 64)
+    good = land(good, "resolved")
+    keys = good.select(F.col("target_appointment_id").alias("id")).distinct()
+    tables.rewrite_buckets(f.spark, path, "id", 64, keys, lambda rows: changes.apply_edits(rows, good)[0])
+    moved = tables.read_buckets(f.spark, path)
+    return moved.withColumn("post_id", F.when(F.length("post_id") == 64, "new").otherwise(F.col("post_id")))
+
+
+FROZEN = datetime.date(2001, 7, 15)
+
+
+@key(
+    "edits_with_frozen_end",
+    f"with {RENAMED} select * replace (case when end_date = date '{FROZEN}' then date '9999-12-31' else end_date end as end_date) from renamed",
+)
+def edits_with_frozen_end(f: Frames) -> DataFrame:
+    return changes.appointments_to_edit(f.landed("v_workflow"), FROZEN)
+
+
+def _sql_text(value: str) -> str:
+    return f"case when {value} is null then 'NULL' else concat('''', replace(cast({value} as varchar), '''', ''''''), '''') end"
+
+
+def _sql_equals(name: str, value: str) -> str:
+    return f"case when {value} is null then '{name} is null' else concat('{name} = ', {_sql_text(value)}) end"
+
+
+OFFICE_TEXT = ", ' and ', ".join(
+    _sql_equals(f"o.{own}", value)
+    for own, value in (("short_name", "organisation_short_name"), ("start_date", "organisation_start_date"), ("end_date", "organisation_end_date"))
+)
+
+
+@key(
+    "insert_statements",
+    f"""
+with {LACKING_LINK},
+lacking as (select wanted.* from wanted anti join {{v_office}} using (post_name, post_rank, organisation_short_name)),
+texts as (
+ select 1 as part, concat('insert into core.post (id, organisation_id, name, rank_equivalence) select newid(), o.id, ', {_sql_text("post_name")}, ', ',
+  {_sql_text("post_rank")}, ' from core.organisation o where ', {OFFICE_TEXT}, ';') as statement from lacking
+ union all
+ select 2, concat('insert into core.post_relationship (id, post_id, group_name, group_seniority) select newid(), t.id, ', {_sql_text("group_name")}, ', ',
+  {_sql_text("(case when post_rank in ('MoS', 'PUSS') then 'MoS/PUSS' else post_rank end)")},
+  ' from core.post t inner join core.organisation o on t.organisation_id = o.id where ',
+  {_sql_equals("t.name", "post_name")}, ' and ', {_sql_equals("t.rank_equivalence", "post_rank")}, ' and ', {OFFICE_TEXT}, ';') from unlinked
+ union all
+ select 0, 'set noexec on')
+select row_number() over (order by part, statement) as line, statement from texts""",
+)
+def insert_statements(f: Frames) -> DataFrame:
+    """New posts and relationships as one script, written in order and read back line by line."""
+    path = new_path(f.spark, "script")
+    parts = [statements.insert_posts(posts_to_add(f)), statements.insert_relationships(relationships_to_add(f))]
+    first, second = (df.select(F.lit(number).alias("part"), "statement") for number, df in enumerate(parts, 1))
+    tables.write_script(first.unionByName(second), path, statements.PROLOGUE, ["part", "statement"])
+    return tables.read_lines(f.spark, path).select("line", F.col("value").alias("statement"))
+
+
+@key(
+    "update_statements",
+    f"with {FOUND}"
+    + """,
+texts as (
+ select 1 as part, concat('update core.appointment set post_id = ''', new_id, ''' where id = ''', cast(a_id as varchar), ''';') as statement
+ from counted where n_targets = 1
+ union all select 0, 'set noexec on')
+select row_number() over (order by part, statement) as line, statement from texts""",
+)
+def update_statements(f: Frames) -> DataFrame:
+    """The resolved edits as a script, written in order and read back line by line; ids of new posts only say that they are new."""
+    path = new_path(f.spark, "script")
+    good, _, _ = _resolved_edits(f)
+    masked = good.withColumn("new_post_id", F.when(F.length("new_post_id") == 64, "new").otherwise(F.col("new_post_id")))
+    tables.write_script(statements.update_appointments(masked).select("statement"), path, statements.PROLOGUE, ["statement"])
+    return tables.read_lines(f.spark, path).select("line", F.col("value").alias("statement"))
+
+
+@key(
+    "written_orders",
+    f"""with {RENAMED}
+select 'notes' as listing, concat_ws('|', person_name_core, appointment_id_core, appointment_id_ext) as item,
+ row_number() over (order by person_name_core nulls first, appointment_id_core nulls first, appointment_id_ext, start_date_core nulls first, mp_peer nulls first) as line
+from {{v_workflow}} where notes > '' and reviewed
+union all
+select 'edits', concat_ws('|', person_name, post_name_old, post_name_new, appointment_id),
+ row_number() over (order by person_name nulls first, post_name_old nulls first, post_name_new nulls first, appointment_id, start_date nulls first, end_date nulls first) from renamed
+union all
+select 'scores', concat_ws('|', person_name_core, appointment_id_core, appointment_id_ext),
+ row_number() over (order by person_name_core nulls last, appointment_id_core nulls last, match_score desc nulls last, appointment_id_ext, start_date_core nulls first, mp_peer nulls first)
+from (select *, case when appointment_id_core % 4 <> 0 then cast(substring(appointment_id_ext, 2, 20) as bigint) % 3 end as match_score from {{v_workflow}}) w""",
+)
+def written_orders(f: Frames) -> DataFrame:
+    """Listings written in their orders, with the line that every row came to stand on."""
+
+    def lines(listing: str, ordered: DataFrame, *columns: str) -> DataFrame:
+        path = new_path(f.spark, listing)
+        ordered.select(F.concat_ws("|", *columns).alias("value")).write.text(path)
+        return tables.read_lines(f.spark, path).select(F.lit(listing).alias("listing"), F.col("value").alias("item"), "line")
+
+    candidate, last = ("person_name_core", "appointment_id_core", "appointment_id_ext"), ("appointment_id_ext", "start_date_core", "mp_peer")
+    workflow = f.landed("v_workflow")
+    notes = workflow.filter("reviewed and notes is not null")
+    scored = workflow.withColumn("match_score", F.expr("case when appointment_id_core % 4 <> 0 then cast(substring(appointment_id_ext, 2, 20) as bigint) % 3 end"))
+    edit = ("person_name", "post_name_old", "post_name_new", "appointment_id")
+    edits = changes.in_change_order(changes.appointments_to_edit(workflow), *edit, "start_date", "end_date")
+    return (
+        lines("notes", review.in_review_order(notes, *last), *candidate)
+        .unionByName(lines("edits", edits, *edit))
+        .unionByName(lines("scores", for_export(scored, last=last), *candidate))
+    )

@@ -10,6 +10,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from driver_keys.expected_names import all_organisations, all_people, all_titles, rows_of
 from rollbook.session import land
 
 VIEWS: dict[str, str] = {}
@@ -132,7 +133,9 @@ VIEWS["v_source_base"] = """
 select a.person_id, concat('p', a.person_id) as content_id, c.c_name as full_name, concat('g', a.id) as role_appointment_id,
  case when a.id % 11 = 0 then 'board_member_role' else 'ministerial_role' end as document_type,
  case when a.id % 29 = 0 then null when a.id % 23 = 0 then 'First Lord of the Treasury' else t.name end as title,
- o.n_name as org_title, case a.id % 4 when 0 then null when 1 then 'D12' when 2 then 'd34' else 'EA9' end as analytics_identifier,
+ case a.id % 43 when 1 then 'Deputy Prime Minister''s Office' when 2 then 'Government Equalities Office'
+  when 3 then 'Prime Minister''s Office, 10 Downing Street' when 4 then 'UK Export Finance' when 5 then 'UK Trade & Investment'
+  when 6 then 'Government Equalities Office (old)' else o.n_name end as org_title, case a.id % 4 when 0 then null when 1 then 'D12' when 2 then 'd34' else 'EA9' end as analytics_identifier,
  a.start_date as started_on, a.end_date as ended_on
 from {v_appt} a inner join {customer} c on a.person_id = c.c_custkey inner join {v_post} t on a.post_id = t.id
  left join {nation} o on t.organisation_id = o.n_nationkey and a.id % 31 <> 0"""
@@ -143,8 +146,8 @@ union all select *, 'cy' from {v_source_base}
 union all select *, 'en' from {v_source_base}"""
 
 VIEWS["v_titles"] = """
-select p_partkey as id, p_partkey % 18 as k, p_name as topic,
- case p_partkey % 18
+select p_partkey as id, p_partkey % 23 as k, p_name as topic,
+ case p_partkey % 23
   when 0 then concat('Minister for ', p_name)
   when 1 then concat('Minister of State (', p_name, ')')
   when 2 then concat('Minister of State (Minister for ', p_name, ')')
@@ -162,38 +165,32 @@ select p_partkey as id, p_partkey % 18 as k, p_name as topic,
   when 14 then concat('Minister for ', p_name, ', and Minister for Equalities')
   when 15 then 'Parliamentary Under Secretary of State (Minister for the Lords)'
   when 16 then concat('Minister for ', p_name, ', and Lords Minister')
+  when 18 then concat('Minister of State (Lords Minister for ', p_name, ')')
+  when 19 then concat('Minister for ', p_name, ' (Lords Minister)')
+  when 20 then concat('Minister for ', p_name, ' and DCMS Lords Minister')
+  when 21 then concat('Minister for ', p_name, ' and Lords Minister')
+  when 22 then concat('Minister for ', p_name, ' (Lords Minister) and Lords Minister')
   else concat('Minister on Leave ', p_name) end as post_name,
- case p_partkey % 18
+ case p_partkey % 23
   when 7 then concat('Minister for Minister for ', p_name)
   when 13 then concat('Minister for ', p_name, ' and U')
   when 15 then 'Parliamentary Under-Secretary of State'
   when 17 then concat('Minister on Leave ', p_name)
+  when 22 then concat('Minister for ', p_name, ' and Lords Minister')
   else concat('Minister for ', p_name) end as exp_name,
- case when p_partkey % 18 in (1, 2, 3, 4, 10, 11, 13) then 'MoS'
-  when p_partkey % 18 in (5, 6, 7, 8, 9, 12, 15) then 'PUSS' end as exp_rank,
- p_partkey % 18 in (10, 17) as exp_is_on_leave,
- p_partkey % 18 in (11, 12) as exp_is_acting,
- case when p_partkey % 18 in (10, 17) then 'Maternity leave' end as exp_leave_reason
+ case when p_partkey % 23 in (1, 2, 3, 4, 10, 11, 13, 18) then 'MoS'
+  when p_partkey % 23 in (5, 6, 7, 8, 9, 12, 15) then 'PUSS' end as exp_rank,
+ p_partkey % 23 in (10, 17) as exp_is_on_leave,
+ p_partkey % 23 in (11, 12) as exp_is_acting,
+ case when p_partkey % 23 in (10, 17) then 'Maternity leave' end as exp_leave_reason
 from {part}"""
 
-VIEWS["v_rule_rows"] = """
-select p_partkey as id,
- case p_partkey % 9
-  when 0 then 'Assistant Government Whip'
-  when 1 then 'Government Whip'
-  when 2 then 'Lord in Waiting (Government Whip)'
-  when 3 then 'Minister for Women and Equalities'
-  when 4 then 'Economic Secretary to the Treasury'
-  when 5 then 'UK Government Minister for Wales'
-  when 6 then 'Minister of State'
-  when 7 then 'Parliamentary Under Secretary of State'
-  else concat('Minister for ', p_name) end as post_name,
- case p_partkey % 5 when 0 then 'Douglas Ross MP' when 1 then 'Guto Bebb' when 2 then 'Lord Howell of Guildford'
-  when 3 then 'Nick Hurd' else 'Other Person' end as person_name,
- case p_partkey % 7 when 0 then 'Cabinet Office' when 1 then 'Home Office' when 2 then 'Ministry of Defence'
-  when 3 then 'Office' when 4 then 'Ministry of Justice' end as organisation_name,
- case p_partkey % 7 when 2 then 'MOD' when 3 then 'DFID' when 4 then 'MOJ' end as organisation_short_name
-from {part}"""
+# every title that a rule names, held by everybody and for every organisation that a rule names
+VIEWS["v_rule_rows"] = f"""
+select p.p_partkey * 1000 + t.n as id, t.title as post_name, w.person as person_name, o.name as organisation_name, o.short as organisation_short_name
+from {{part}} p cross join {rows_of([(t,) for t in all_titles()], "title")} t
+ join {rows_of([(x,) for x in all_people()], "person")} w on w.n = p.p_partkey % {len(all_people())}
+ join {rows_of(all_organisations(), "name", "short")} o on o.n = (p.p_partkey - p.p_partkey % {len(all_people())}) / {len(all_people())} % {len(all_organisations())}"""
 
 VIEWS["v_titled_names"] = """
 select c_custkey as id, case when c_custkey % 2 = 0 then concat('The Rt Hon ', c_name, ' MP') else concat('Baroness ', c_name) end as name,
@@ -205,6 +202,9 @@ VIEWS["v_seekers"] = """
 select c.c_custkey as id, concat(p.p_name, ' ', c.c_custkey) as name
 from {customer} c inner join {part} p on p.p_partkey = c.c_custkey"""
 
+# the same under several names a person: three names of neighbouring customers belong to one id
+VIEWS["v_many_named"] = "select id - id % 3 as id, name from {v_seekers}"
+
 # some names are held by two listed people
 VIEWS["v_listing"] = """
 select s.s_suppkey as id, concat(p.p_name, ' ', s.s_suppkey) as name, concat('s-', s.s_suppkey) as slug
@@ -230,6 +230,26 @@ select page_id, url, case page_id % 4
  when 2 then replace(html, '<ul>', '<ul><!-- <li><a href="/no">no</a></li> -->')
  else html end as html, concat('/crawl?page=', page_id + 1) as next_href from {pages}"""
 
+# titles with one topic or two, and with reserved phrases in brackets, next to the topic they are about
+VIEWS["v_topics"] = """
+select p_partkey as id, case p_partkey % 7
+  when 0 then concat('Minister for ', p_name) when 1 then concat('Minister of State for ', p_name, ' (Yorkshire and the Humber)')
+  when 2 then concat('Minister for ', p_name, ' and Minister for Trade')
+  when 3 then concat('Minister for ', p_name, ' (Safe and Legal Migration, Violence Against Women and Girls)')
+  when 4 then concat('Secretary of State for ', p_name, ', Minister for Women (joint)')
+  when 5 then concat('Minister for Safe and Legal Migration and Minister of State for ', p_name) else concat('  Minister of ', p_name, ' (', p_brand, ') ') end as post_name,
+ case p_partkey % 7 when 1 then 'Yorkshire and the Humber' when 2 then concat(p_name, ' and Trade')
+  when 3 then 'Violence Against Women and Girls and Safe and Legal Migration' when 4 then concat(p_name, ', Women')
+  when 5 then concat('Safe and Legal Migration and ', p_name) else p_name end as exp_topic
+from {part}"""
+
+# titles of 65 to 500 characters and edited copies of them
+VIEWS["v_long_titles"] = """
+select id, a, case id % 5 when 0 then replace(a, ' ', '  ') when 1 then substring(a, 3, 400) when 2 then concat(substring(a, 40, 500), substring(a, 1, 39))
+  when 3 then concat(a, ' of ', a) else replace(replace(a, '1', '#'), 'e', 'é') end as b
+from (select s_suppkey as id, substring(repeat(concat(s_name, ' of ', n_name, ', ', s_suppkey * 7919, ' '), 14), 1, cast(65 + s_suppkey * 37 % 186 as int)) as a
+ from {supplier} inner join {nation} on n_nationkey = s_nationkey) t"""
+
 _NAME = re.compile(r"\{(\w+)\}")
 
 

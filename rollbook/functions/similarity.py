@@ -3,119 +3,115 @@
 ``100 * 2 * LCS(a, b) / (len(a) + len(b))``, and 100 for two empty strings.
 Spark has no built-in for it (``levenshtein`` also substitutes), so this is the
 library's one Arrow UDF. Pairs are scored column-wise: the bit-parallel LCS
-recurrence of Hyyro (2004) runs on one uint64 lane per pair.
+recurrence of Hyyro (2004) runs on lanes of 64-bit words, one lane per pair, with
+as many words as its shorter string needs; carries go from word to word.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_LANE_BITS = 64
+_WORD = 64
 _LANES = 4096  # pairs advanced together; their mask table stays in cache
-_TABLE_CELLS = 1 << 22  # largest mask table, in uint64 cells
-
-
-def _codes(strings: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All characters of the strings in one row, where each string starts, and its length."""
-    lengths = np.fromiter(map(len, strings), dtype=np.int64, count=len(strings))
-    codes = np.frombuffer("".join(strings).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    return codes, np.cumsum(lengths) - lengths, lengths
-
-
-def _lcs_wide(a: str, b: str) -> int:
-    """The same recurrence on Python integers, for strings over one lane."""
-    masks: dict[str, int] = {}
-    for position, char in enumerate(a):
-        masks[char] = masks.get(char, 0) | (1 << position)
-    full = (1 << len(a)) - 1
-    row = full
-    for char in b:
-        hit = row & masks.get(char, 0)
-        row = ((row + hit) | (row - hit)) & full
-    return len(a) - row.bit_count()
-
-
-def _by_length(starts: np.ndarray, lengths: np.ndarray):
-    """(character position, lanes still running), longest lanes first in ``order``."""
-    order = np.argsort(-lengths, kind="stable")
-    falling = -lengths[order]
-    longest = int(-falling[0]) if len(falling) else 0
-    live = np.searchsorted(falling, -np.arange(longest), side="left")
-    return order, starts[order], live
-
-
-def _lcs_lanes(patterns: list[str], texts: list[str]) -> np.ndarray:
-    """LCS of each pattern (1..64 characters) with the text beside it."""
-    p_codes, p_start, p_len = _codes(patterns)
-    t_codes, t_start, t_len = _codes(texts)
-    # characters no pattern has share the last column, which stays empty
-    top = int(max(p_codes.max(), t_codes.max())) + 1
-    present = np.zeros(top, dtype=bool)
-    present[p_codes] = True
-    width = int(present.sum()) + 1
-    index = np.where(present, np.cumsum(present) - 1, width - 1).astype(np.int32)
-    p_index, t_index = index[p_codes], index[t_codes]
-
+_TABLE_CELLS = 1 << 22  # largest mask table, in 64-bit words
+
+
+class _Strings:
+    """Distinct strings as one row of characters, coded by the alphabet they use."""
+
+    def __init__(self, strings: list[str]):
+        self.lengths = np.fromiter(map(len, strings), dtype=np.int64, count=len(strings))
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        codes = np.frombuffer("".join(strings).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        alphabet, self.codes = np.unique(codes, return_inverse=True)
+        self.width = max(1, len(alphabet))
+
+    def by_length(self, chosen: np.ndarray):
+        """Lanes longest first, where each lane's string starts, and per character position the lanes still running."""
+        lengths = self.lengths[chosen]
+        order = np.argsort(-lengths, kind="stable")
+        falling = -lengths[order]
+        longest = int(-falling[0]) if len(falling) else 0
+        return order, self.starts[chosen][order], np.searchsorted(falling, -np.arange(longest), side="left")
+
+
+def _add(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Sum of numbers of several words (lowest first) in every row; the last carry is dropped."""
+    total = a + b
+    if total.ndim == 1:
+        return total
+    carry = (total < a)[:, :-1]
+    while carry.any():
+        upper = total[:, 1:] + carry
+        full = carry & (upper == 0)
+        total[:, 1:] = upper
+        carry = np.zeros_like(full)
+        carry[:, 1:] = full[:, :-1]
+    return total
+
+
+def _lcs_lanes(strings: _Strings, patterns: np.ndarray, texts: np.ndarray, words: int) -> np.ndarray:
+    """LCS of each pattern, of at most ``words`` words and more than one word less, with the text beside it."""
     out = np.zeros(len(patterns), dtype=np.int64)
-    step = max(1, min(_LANES, _TABLE_CELLS // width))
+    step = max(1, min(_LANES // words, _TABLE_CELLS // (strings.width * words)))
     for lo in range(0, len(patterns), step):
-        span = slice(lo, lo + step)
-        lanes = len(p_len[span])
-        masks = np.zeros((lanes, width), dtype=np.uint64)
-        order, starts, live = _by_length(p_start[span], p_len[span])
+        pattern, text = patterns[lo : lo + step], texts[lo : lo + step]
+        lanes = len(pattern)
+        masks = np.zeros((lanes * strings.width, words), dtype=np.uint64)
+        order, starts, live = strings.by_length(pattern)
         for position, count in enumerate(live):
-            masks[order[:count], p_index[starts[:count] + position]] |= np.uint64(1 << position)
-
-        order, starts, live = _by_length(t_start[span], t_len[span])
-        base = order * width
-        flat = masks.ravel()
-        row = np.full(lanes, ~np.uint64(0), dtype=np.uint64)
+            rows = order[:count] * strings.width + strings.codes[starts[:count] + position]
+            masks[rows, position // _WORD] |= np.uint64(1 << position % _WORD)
+        # one word: plain vectors, no carries
+        masks = masks[:, 0].copy() if words == 1 else masks
+
+        order, starts, live = strings.by_length(text)
+        base = order * strings.width
+        row = np.full(lanes if words == 1 else (lanes, words), ~np.uint64(0), dtype=np.uint64)
         for position, count in enumerate(live):
             current = row[:count]
-            hit = current & flat[base[:count] + t_index[starts[:count] + position]]
-            row[:count] = (current + hit) | (current - hit)
-        unused = (_LANE_BITS - p_len[span][order]).astype(np.uint64)
-        out[lo + order] = np.bitwise_count(np.left_shift(~row, unused))
+            hit = current & masks[base[:count] + strings.codes[starts[:count] + position]]
+            row[:count] = _add(current, hit) | (current - hit)
+        zeros = ~row.reshape(lanes, words)
+        unused = words * _WORD - strings.lengths[pattern[order]]
+        zeros[:, -1] <<= unused.astype(np.uint64)
+        out[lo + order] = np.bitwise_count(zeros).sum(axis=1)
     return out
 
 
-def indel_ratios(left: pd.Series, right: pd.Series) -> np.ndarray:
-    """Ratio of each pair of two aligned string series; NaN where either is null."""
-    # a pair repeated within the batch is scored once
-    left_id, left_names = pd.factorize(left.to_numpy(dtype=object))
-    right_id, right_names = pd.factorize(right.to_numpy(dtype=object))
+def indel_ratios(left: pa.Array, right: pa.Array) -> np.ndarray:
+    """Ratio of each pair of two aligned string arrays; NaN where either is null. A pair repeated is scored once."""
+    both = pa.concat_arrays([left.cast(pa.large_string()), right.cast(pa.large_string())]).dictionary_encode()
+    ids = both.indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+    first, second = ids[: len(left)], ids[len(left) :]
     ratios = np.full(len(left), np.nan)
-    present = (left_id >= 0) & (right_id >= 0)
+    present = (first >= 0) & (second >= 0)
     if not present.any():
         return ratios
-    inverse, pairs = pd.factorize(left_id[present] * len(right_names) + right_id[present])
-    a = left_names[pairs // len(right_names)].tolist()
-    b = right_names[pairs % len(right_names)].tolist()
-    size_a = np.fromiter(map(len, a), dtype=np.int64, count=len(a))
-    size_b = np.fromiter(map(len, b), dtype=np.int64, count=len(b))
-    common = np.zeros(len(a), dtype=np.int64)
-    shorter = np.minimum(size_a, size_b)
-    narrow = np.flatnonzero((shorter > 0) & (shorter <= _LANE_BITS))
-    if narrow.size:
-        patterns = [a[i] if size_a[i] <= size_b[i] else b[i] for i in narrow]
-        texts = [b[i] if size_a[i] <= size_b[i] else a[i] for i in narrow]
-        common[narrow] = _lcs_lanes(patterns, texts)
-    for i in np.flatnonzero(shorter > _LANE_BITS):
-        common[i] = _lcs_wide(a[i], b[i])
-    total = size_a + size_b
+    strings = _Strings(both.dictionary.to_pylist())
+    pairs, inverse = np.unique(first[present] * len(strings.lengths) + second[present], return_inverse=True)
+    a, b = pairs // len(strings.lengths), pairs % len(strings.lengths)
+    swap = strings.lengths[a] > strings.lengths[b]
+    shorter, longer = np.where(swap, b, a), np.where(swap, a, b)
+    words = -(-strings.lengths[shorter] // _WORD)
+    common = np.zeros(len(pairs), dtype=np.int64)
+    for count in np.unique(words[words > 0]):
+        here = np.flatnonzero(words == count)
+        common[here] = _lcs_lanes(strings, shorter[here], longer[here], int(count))
+    total = strings.lengths[a] + strings.lengths[b]
     distance = total - 2 * common
     scored = np.where(total == 0, 1.0, 1.0 - distance / np.maximum(total, 1)) * 100.0
     ratios[present] = scored[inverse]
     return ratios
 
 
-@F.pandas_udf(T.DoubleType())
-def _indel_ratio_batch(left: pd.Series, right: pd.Series) -> pd.Series:
-    return pd.Series(indel_ratios(left, right))  # NaN arrives as null
+@F.arrow_udf(T.DoubleType())
+def _indel_ratio_batch(left: pa.Array, right: pa.Array) -> pa.Array:
+    return pa.array(indel_ratios(left, right), from_pandas=True)  # NaN as null
 
 
 def indel_ratio(left: Column, right: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +27,11 @@ def strip_all(df: DataFrame) -> DataFrame:
     )
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that it names several times and that is worked out once a row."""
+    return F.transform(F.array(value), body)[0]
+
+
 def has(text: Column, part: str) -> Column:
     """Contains, with null as no."""
     return F.coalesce(text.contains(part), F.lit(False))

@@ -72,7 +72,7 @@ def _shared_at_least(s: Column, total: Column, q: Column) -> Column:
     return F.when((q == 1) | (slope > 0), total * slope + (q - 1)).otherwise(0.0)
 
 
-def _best(scored: DataFrame, limit: int) -> DataFrame:
+def best_matches(scored: DataFrame, limit: int) -> DataFrame:
     """Top ``limit`` right names per left name; ties go to the smaller name."""
     if limit == 1:
         best = scored.groupBy("left_name").agg(
@@ -150,7 +150,7 @@ def nearest_names(
     probed = _scored(fan_out(probes, *gram).join(probed_rows, gram).select("left_name", "right_name").distinct())
     floor = F.lit(score_cutoff / 100.0)
     known = (
-        _best(probed, limit)
+        best_matches(probed, limit)
         .groupBy("left_name")
         .agg(F.min("score").alias("weakest"), F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") >= limit)
@@ -210,7 +210,7 @@ def nearest_names(
         if limit > 1:
             padding = padding.join(found, ["left_name", "right_name"], "left_anti")
         found = found.unionByName(_scored(padding))
-    return _best(found, limit)
+    return best_matches(found, limit)
 
 
 def fuzzy_merge(

@@ -88,6 +88,34 @@ def appointments_with_sure_match(core: DataFrame, ext: DataFrame, own: str, othe
     return left.join(right, on, "left_semi").select("appointment_id").distinct()
 
 
+def scored_titles(left: DataFrame, right: DataFrame, own: str, other: str, pair_budget: int = PAIR_BUDGET) -> DataFrame:
+    """Every pair of titles that some person has on both sides, once, with its similarity: ``_own_title, _other_title, _score``.
+
+    Pairs are formed of each person's distinct titles and made distinct over all persons before they are scored.
+    """
+    owned = left.select("person_id", F.col(f"post_name{own}").alias("_own_title")).distinct()
+    offered = right.select("person_id", F.col(f"post_name{other}").alias("_other_title")).distinct()
+    titles = spread_join(owned, offered, ["person_id"], pair_budget).select("_own_title", "_other_title").distinct()
+    a, b = F.col("_own_title"), F.col("_other_title")
+    return titles.select(a, b, title_similarity(a, b, without_the(a), without_the(b)).alias("_score"))
+
+
+def titles_repeat(left: DataFrame, right: DataFrame, own: str, other: str, sizes: tuple[DataFrame, DataFrame]) -> bool:
+    """Whether scoring distinct title pairs saves at least half of the scoring.
+
+    Compares the pairs of rows with two upper bounds on the pairs of titles: those of each person's distinct
+    titles, and all titles of one side with all of the other.
+    """
+    mine, theirs = (side.select("person_id", *(F.col(c).cast("double").alias(f"{c}_{k}") for c in ("rows_per_key", "titles"))) for k, side in enumerate(sizes))
+    work = mine.join(theirs, "person_id").agg(F.sum(F.col("rows_per_key_0") * F.col("rows_per_key_1")).alias("rows"), F.sum(F.col("titles_0") * F.col("titles_1")).alias("titles")).first()
+    if not work["rows"]:
+        return False
+    if 2 * work["titles"] <= work["rows"]:
+        return True
+    kinds = [df.select(F.count_distinct(F.col(f"post_name{suffix}"))).first()[0] for df, suffix in ((left, own), (right, other))]
+    return 2 * kinds[0] * kinds[1] <= work["rows"]
+
+
 def score_candidates(
     core: DataFrame,
     ext: DataFrame,
@@ -100,18 +128,29 @@ def score_candidates(
     ``as_of`` stands in for a missing end while scoring only. All rows of a core
     appointment are marked reviewed when any of its candidates is accepted; that
     set is found before the pairs are formed, so the scored pairs need no further
-    shuffle. Both sides are read three times (sure matches, rows per person,
-    pairs), so they are landed first.
+    shuffle. Both sides are read several times (sure matches, rows per person,
+    titles, pairs), so they are landed first. Where titles repeat, each distinct
+    pair of titles is scored once, and the pairs of appointments look the score up.
     """
     own, other = suffixes
     left = land(_side(core, own, as_of), "match-core")
     right = land(_side(ext, other, as_of), "match-ext")
+    sizes = tuple(
+        land(side.groupBy("person_id").agg(F.count(F.lit(1)).alias("rows_per_key"), F.count_distinct(F.col(f"post_name{suffix}")).alias("titles")), "match-sizes")
+        for side, suffix in ((left, own), (right, other))
+    )
+    once = titles_repeat(left, right, own, other, sizes)
+    titles = land(scored_titles(left, right, own, other, pair_budget), "title-scores") if once else None
     sure = appointments_with_sure_match(left, right, own, other).select(F.col("appointment_id").alias("_sure"))
     left = left.join(sure, F.col(f"appointment_id{own}") == F.col("_sure"), "left").withColumn(
         "reviewed", F.col("_sure").isNotNull()
     ).drop("_sure")
 
-    pairs = spread_join(left, right, ["person_id"], pair_budget)
+    rows = tuple(side.select("person_id", "rows_per_key") for side in sizes)
+    pairs = spread_join(left, right, ["person_id"], pair_budget, *rows)
+    if titles is not None:
+        by_title = (F.col(f"post_name{own}") == F.col("_own_title")) & (F.col(f"post_name{other}") == F.col("_other_title"))
+        pairs = pairs.join(titles, by_title, "left")
 
     def both(name: str) -> tuple[Column, Column]:
         return F.col(f"{name}{own}"), F.col(f"{name}{other}")
@@ -122,7 +161,7 @@ def score_candidates(
             "organisation_short_name_match": F.when(organisation_own == organisation_other, 1.0).otherwise(
                 ORGANISATION_MISS
             ),
-            "post_name_match": title_similarity(*both("post_name"), *both("_short")),
+            "post_name_match": title_similarity(*both("post_name"), *both("_short")) if titles is None else F.col("_score"),
             "start_date_match": proximity(*both("start_date")),
             "end_date_match": proximity(*both("_until")),
         }
@@ -152,10 +191,11 @@ def score_candidates(
     return flagged.select(*columns)
 
 
-def for_export(scored: DataFrame, suffix: str = "_core") -> DataFrame:
-    """Rows in the order a reviewer reads them."""
+def for_export(scored: DataFrame, suffix: str = "_core", last: tuple[str, ...] = ()) -> DataFrame:
+    """Rows in the order a reviewer reads them; ``last`` decides between candidates of the same score."""
     return scored.orderBy(
         F.asc_nulls_last(f"person_name{suffix}"),
         F.asc_nulls_last(f"appointment_id{suffix}"),
         F.desc_nulls_last("match_score"),
+        *last,
     )

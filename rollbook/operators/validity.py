@@ -8,11 +8,15 @@ Three conventions, kept apart:
 
 from __future__ import annotations
 
+from functools import reduce
+from typing import Literal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollbook.functions.dates import or_earliest, or_latest
 from rollbook.operators.skew import PAIR_BUDGET
+from rollbook.session import land
 
 BUCKET_DAYS = 366
 # the calendar that hot keys are cut along; dates outside fall into the end buckets
@@ -24,6 +28,43 @@ def _bucket(date: Column) -> Column:
     return F.floor(F.datediff(inside, F.lit(_FIRST_DAY).cast("date")) / F.lit(BUCKET_DAYS)).cast("int")
 
 
+def key_dates(facts: DataFrame, key: str, at: str) -> DataFrame:
+    """Rows of every key, and the calendar years its dates lie in: ``key, n, first, last``.
+
+    One row a key, so it is small next to the facts. A chain of validity joins takes it once, from the facts
+    before the first join, and hands it on: later steps add columns to the same dates.
+    """
+    return facts.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("n"), _bucket(F.min(at)).alias("first"), _bucket(F.max(at)).alias("last"))
+
+
+def carried_over(dates: DataFrame, links: DataFrame, old_key: str, new_key: str) -> DataFrame:
+    """``key_dates`` by another key: each new key has at most the rows of the old key it belongs to."""
+    return links.select(F.col(old_key).alias("key"), F.col(new_key).alias("_new")).join(dates, "key").select(F.col("_new").alias("key"), "n", "first", "last")
+
+
+def keys_to_cut(steps: list[tuple[DataFrame, DataFrame, str]], pair_budget: int = PAIR_BUDGET) -> list[DataFrame | None]:
+    """For every step ``(key dates, intervals, key of the intervals)`` the keys with too many pairs, or None if there are none.
+
+    All steps are counted by one job, whose result (no more rows than keys over the budget) is landed; so
+    the plan of a chain holds neither the facts nor the intervals a second time.
+    """
+    hot = [
+        dates.join(intervals.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("_m")), "key")
+        .filter(F.col("n").cast("double") * F.col("_m") > F.lit(float(pair_budget)))
+        .groupBy("key").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+        .select(F.lit(number).alias("step"), F.col("key").cast("string").alias("key"), "first", "last")
+        for number, (dates, intervals, key) in enumerate(steps)
+    ]
+    landed = land(reduce(DataFrame.unionByName, hot), "hot-keys")
+    found = {r["step"] for r in landed.select("step").distinct().collect()}
+    types = [intervals.schema[key].dataType for _, intervals, key in steps]
+    return [
+        landed.filter(F.col("step") == number).select(F.col("key").cast(types[number]).alias("_hot_key"), F.col("first").alias("_first"), F.col("last").alias("_last"))
+        if number in found else None
+        for number in range(len(steps))
+    ]
+
+
 def point_in_validity(
     left: DataFrame,
     right: DataFrame,
@@ -35,6 +76,7 @@ def point_in_validity(
     guard_start: bool = True,
     how: str = "inner",
     pair_budget: int = PAIR_BUDGET,
+    cut: DataFrame | None | Literal["count"] = "count",
 ) -> DataFrame:
     """Rows of ``left`` with the rows of ``right`` that were valid on ``at``.
 
@@ -42,22 +84,20 @@ def point_in_validity(
     ``pair_budget`` pairs of a date and an interval is cut along the calendar: its
     intervals go to every year they touch between its first and its last date,
     and each left row looks only into its own year. Other keys have the single
-    bucket 0, so nothing is copied for them.
+    bucket 0, so nothing is copied for them; without a key to cut this is a
+    plain join on the key. ``cut`` is one of the results of ``keys_to_cut``; by
+    default it is counted here, by a job over both sides.
     """
     if how not in {"inner", "left"}:
         raise ValueError("how must be 'inner' or 'left'")
-    dates = left.groupBy(F.col(left_key).alias("_hot_key")).agg(
-        F.count(F.lit(1)).alias("_n_left"), _bucket(F.min(at)).alias("_first"), _bucket(F.max(at)).alias("_last")
-    )
-    intervals = right.groupBy(F.col(right_key).alias("_hot_key")).agg(F.count(F.lit(1)).alias("_n_right"))
-    hot = (
-        dates.join(intervals, "_hot_key")
-        .filter(F.col("_n_left").cast("double") * F.col("_n_right") > F.lit(float(pair_budget)))
-        .select("_hot_key", "_first", "_last")
-    )
-    is_hot = F.col("_hot_key").isNotNull()
+    if isinstance(cut, str):
+        cut = keys_to_cut([(key_dates(left, left_key, at), right, right_key)], pair_budget)[0]
     since, until = or_earliest(F.col(start)) if guard_start else F.col(start), or_latest(F.col(end))
-    points = left.join(hot, F.col(left_key) == F.col("_hot_key"), "left").select(
+    on = (F.col(left_key) == F.col(right_key)) & (F.col(at) >= since) & (F.col(at) < until)
+    if cut is None:
+        return left.join(right, on, how)
+    is_hot = F.col("_hot_key").isNotNull()
+    points = left.join(cut, F.col(left_key) == F.col("_hot_key"), "left").select(
         *left.columns, F.when(is_hot, _bucket(F.col(at))).otherwise(0).alias("_at_bucket")
     )
     first, last = F.greatest(_bucket(since), F.col("_first")), F.least(_bucket(until), F.col("_last"))
@@ -66,16 +106,10 @@ def point_in_validity(
         .when(is_hot, F.array().cast("array<int>"))
         .otherwise(F.array(F.lit(0)))
     )
-    spans = right.join(hot, F.col(right_key) == F.col("_hot_key"), "left").select(
+    spans = right.join(cut, F.col(right_key) == F.col("_hot_key"), "left").select(
         *right.columns, F.explode(years).alias("_in_bucket")
     )
-    on = (
-        (F.col(left_key) == F.col(right_key))
-        & (F.col("_at_bucket") == F.col("_in_bucket"))
-        & (F.col(at) >= since)
-        & (F.col(at) < until)
-    )
-    return points.join(spans, on, how).drop("_at_bucket", "_in_bucket")
+    return points.join(spans, on & (F.col("_at_bucket") == F.col("_in_bucket")), how).drop("_at_bucket", "_in_bucket")
 
 
 def interval_contained(
@@ -117,3 +151,14 @@ def overlaps(df: DataFrame, key: str, row_id: str, start: str, end: str) -> Data
         .filter(F.col("next_start") < or_latest(F.col(end)))
         .select(*df.columns, "next_start")
     )
+
+
+def any_overlap(df: DataFrame, key: str, start: str, end: str) -> bool:
+    """Whether two rows of a key hold on the same day; a row without a start, or that ends by its start, holds on none.
+
+    So a left join on ``point_in_validity(guard_start=False)`` can repeat a left row only if this is true.
+    """
+    held = df.filter(F.col(key).isNotNull() & (F.col(start) < or_latest(F.col(end))))
+    days = held.groupBy(key, start).agg(F.count(F.lit(1)).alias("_n"), F.max(or_latest(F.col(end))).alias("_until"))
+    following = F.lead(start).over(Window.partitionBy(key).orderBy(start))
+    return not days.withColumn("_next", following).filter((F.col("_n") > 1) | (F.col("_next") < F.col("_until"))).isEmpty()

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from rollbook.contracts import by_value
 from rollbook.functions.rules import house_to_kind
 from rollbook.operators.matching import score_candidates
-from rollbook.operators.validity import point_in_validity
+from rollbook.operators.skew import PAIR_BUDGET
+from rollbook.operators.validity import any_overlap, carried_over, key_dates, keys_to_cut, point_in_validity
 
 
 def core_appointments(
@@ -22,14 +23,17 @@ def core_appointments(
     organisation: DataFrame,
     min_start: datetime.date | None = None,
     representation_spell: DataFrame | None = None,
+    pair_budget: int = PAIR_BUDGET,
 ) -> DataFrame:
     """Spells of appointments with person, house, post and organisation as of the start.
 
     The floor on the spell's start goes first, so that it reaches the scan.
     ``representation=None`` leaves the kind of member blank and saves its join.
-    ``representation_spell`` adds no column; it repeats rows where several
-    spells hold, and can be left out once ``overlaps`` finds none. Identifiers
-    that are strings compare without regard to case, and come out in lower case.
+    ``representation_spell`` adds no column; it repeats rows where several of its
+    spells hold, so its join is planned only if a check finds two that overlap.
+    Keys with too many (date, interval) pairs are found by one job before the
+    joins, from the facts as they are then. Identifiers that are strings compare
+    without regard to case, and come out in lower case.
     """
     appointment, spell = by_value(appointment, "id", "person_id", "post_id"), by_value(spell, "appointment_id")
     person, post, organisation = by_value(person, "id"), by_value(post, "id", "organisation_id"), by_value(organisation, "id")
@@ -37,6 +41,8 @@ def core_appointments(
         representation = by_value(representation, "id", "person_id")
     if representation_spell is not None:
         representation_spell = by_value(representation_spell, "representation_id")
+        if not any_overlap(representation_spell, "representation_id", "start_date", "end_date"):
+            representation_spell = None
     if min_start is not None:
         spell = spell.filter(F.col("start_date") >= F.lit(min_start))
     base = appointment.select(
@@ -52,11 +58,27 @@ def core_appointments(
         F.col("id").alias("person_id"), F.col("name").alias("person_name"), F.col("start_date").alias("p_since"),
         F.col("end_date").alias("p_until"),
     )
-    rows = point_in_validity(rows, people, "a_person", "person_id", "a_start", "p_since", "p_until")
+    dates = key_dates(rows, "a_person", "a_start")
+    steps = [(dates, people, "person_id")]
+    if representation is not None:
+        seats = representation.select(
+            F.col("id").alias("r_id"), F.col("person_id").alias("r_person"), "house", F.col("start_date").alias("r_since"),
+            F.col("end_date").alias("r_until"),
+        )
+        steps.append((dates, seats, "r_person"))
+        if representation_spell is not None:
+            seat_spells = representation_spell.select(
+                F.col("representation_id").alias("rc_id"), F.col("start_date").alias("rc_since"), F.col("end_date").alias("rc_until")
+            )
+            steps.append((carried_over(dates, seats, "r_person", "r_id"), seat_spells, "rc_id"))
+    cuts = keys_to_cut(steps, pair_budget)
+    rows = point_in_validity(rows, people, "a_person", "person_id", "a_start", "p_since", "p_until", cut=cuts[0])
     kind = F.lit(None).cast("string")
     if representation is not None:
-        rows = _with_house(rows, representation, representation_spell)
         kind = house_to_kind(F.col("house"))
+        rows = point_in_validity(rows, seats, "a_person", "r_person", "a_start", "r_since", "r_until", False, "left", cut=cuts[1])
+    if len(steps) == 3:
+        rows = point_in_validity(rows, seat_spells, "r_id", "rc_id", "a_start", "rc_since", "rc_until", False, "left", cut=cuts[2])
     posts = post.select(
         F.col("id").alias("t_id"), "organisation_id", F.col("name").alias("post_name"),
         F.col("rank_equivalence").alias("post_rank"),
@@ -73,24 +95,6 @@ def core_appointments(
     )
 
 
-def _with_house(rows: DataFrame, representation: DataFrame, representation_spell: DataFrame | None) -> DataFrame:
-    seats = representation.select(
-        F.col("id").alias("r_id"), F.col("person_id").alias("r_person"), "house", F.col("start_date").alias("r_since"),
-        F.col("end_date").alias("r_until"),
-    )
-    rows = point_in_validity(
-        rows, seats, "a_person", "r_person", "a_start", "r_since", "r_until", guard_start=False, how="left"
-    )
-    if representation_spell is None:
-        return rows
-    seat_spells = representation_spell.select(
-        F.col("representation_id").alias("rc_id"), F.col("start_date").alias("rc_since"), F.col("end_date").alias("rc_until")
-    )
-    return point_in_validity(
-        rows, seat_spells, "r_id", "rc_id", "a_start", "rc_since", "rc_until", guard_start=False, how="left"
-    )
-
-
 def listed_appointments(page_content: DataFrame) -> DataFrame:
     """The cleaned page content as the other side of the match."""
     return by_value(page_content, "person_id").select(

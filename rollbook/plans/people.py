@@ -13,8 +13,10 @@ from rollbook.functions.dates import or_latest
 from rollbook.functions.names import strip_name_affixes
 from rollbook.operators.changes import stable_id
 from rollbook.operators.fuzzy import fuzzy_merge
+from rollbook.operators.gates import Gate, Measures, lacking_prefix, longest, publish
 from rollbook.operators.ranking import rank_within
-from rollbook.sources.links import page_links, person_slug
+from rollbook.session import scratch
+from rollbook.sources.links import PERSON_PREFIX, page_links, person_slug
 
 # Fixed value: appointments that ended by this day are not looked for
 SERVED_AFTER = datetime.date(2010, 5, 11)
@@ -39,6 +41,28 @@ def unmatched_people(
     return person.join(recent, "id", "left_semi").join(known.select("id").distinct(), "id", "left_anti")
 
 
+def publish_listing(pages: DataFrame, path: str, run: str | datetime.date, prefix: str = PERSON_PREFIX, **options) -> dict[str, int]:
+    """Read the people of the listing pages and publish them as a run: distinct ids and links, all under the prefix."""
+    links = page_links(pages, [], **options).select(stable_id(F.col("content_id"), F.col("href")).alias("id"), "name", "href")
+    measures = Measures()
+    watched = measures.watch("links", links, off_prefix=lacking_prefix("href", prefix), longest_name=longest("name"))
+    gate = Gate({"links under the prefix": lambda m: m["links.off_prefix"] == 0}, unique=("id", "href"))
+    return publish(watched.withColumn("slug", person_slug(F.col("href"), prefix)), path, run, gate, measures)
+
+
+def publish_matches(people: DataFrame, listed: DataFrame, path: str, run: str | datetime.date, **options) -> dict[str, int]:
+    """Match the people and publish the suggestions as a run, if every named row got one (unless a cutoff is set)."""
+    wanted = people.filter("name is not null").count() if not options.get("score_cutoff") else 0
+    gate = Gate({
+        "a suggestion for every name": lambda m: m["run.rows"] >= wanted,
+        "scores are ratios": lambda m: not m["run.rows"] or (0 <= m["matches.worst"] and m["matches.best"] <= 100),
+    })
+    measures = Measures()
+    with scratch(people.sparkSession):
+        matches = measures.watch("matches", match_people(people, listed, **options), worst=F.min("match_score"), best=F.max("match_score"))
+        return publish(matches, path, run, gate, measures)
+
+
 def match_people(people: DataFrame, listed: DataFrame, limit: int = 1, score_cutoff: float = 0.0) -> DataFrame:
     """Best listed name of every person row, ranked within the person.
 

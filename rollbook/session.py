@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,31 +55,39 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-_owned: list[list[str]] = []
+# paths made inside the innermost ``scratch`` block of this thread or task
+_owned: ContextVar[list[str] | None] = ContextVar("owned", default=None)
 
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no earlier run has used."""
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    if _owned:
-        _owned[-1].append(path)
+    owned = _owned.get()
+    if owned is not None:
+        owned.append(path)
     return path
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a landed table, in whatever file system it lies."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Owns the tables landed inside the block and deletes them at its end.
 
     Results that read them have to be written or counted before.
     """
-    _owned.append([])
+    made: list[str] = []
+    outer = _owned.set(made)
     try:
         yield
     finally:
-        jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-        for path in _owned.pop():
-            place = jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(conf).delete(place, True)
+        _owned.reset(outer)
+        for path in made:
+            remove(spark, path)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

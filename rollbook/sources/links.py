@@ -1,65 +1,93 @@
 """Person links and next-page links out of landed listing pages.
 
-``jvm`` reads the markup with regular expressions inside codegen and suits
-regular pages; ``parser`` runs the standard library's HTML parser over Arrow
-batches and also copes with nested lists and any entity. The default, ``auto``,
-looks at each page: what the expressions cannot read exactly goes to the parser.
-All see whole pages.
+A page is read in one pass by column expressions: one replacement marks every tag
+and drops comments and the contents of scripts, a split at the marks gives tags
+with the text that follows each, and a fold over them keeps the open lists and
+the entries that still wait for their link as its state. No page goes to Python.
+``parser``, over the standard library's HTML parser, reads the same and is there to
+check the expressions against.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
+from html.entities import html5
 from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rollbook.functions.text import bind
+
 # Where a listing keeps its entries
 LIST_CLASS = "gem-c-document-list"
 CONTENT_ID = "data-ga4-ecommerce-content-id"
 NEXT_CLASS_ENDING = "pagination__next"
 PERSON_PREFIX = "/government/people/"
 
-_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&amp;", "&"))
+# a tag with its attributes, whose quoted values may hold any character; elements whose content is no markup
+_TAG = r"""</?[a-z](?:[^>"']|"[^"]*"|'[^']*')*>"""
+_HIDDEN = ("script", "style", "textarea", "title")
+_UNSHOWN = rf"<!--.*?(?:-->|\z)|<({'|'.join(_HIDDEN)})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\z)|<[!?][^>]*>"
+_MARK = "\u0001"
+_ATTRIBUTE = r"""([^\s"'>/=]+)\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
 
+_COMMON = {"lt": "<", "gt": ">", "quot": '"', "amp": "&", "#39": "'", "#x27": "'"}
+# names that stand without a semicolon too, and what numbers that are no characters stand for
+_LOOSE = sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True)
+_NUMBERED = {str(n): bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(128, 160)} | {"0": "\ufffd", "13": "\r"}
 
-def _tag(name: str, token: str | None) -> str:
-    """Opening tag, of a given class if ``token`` is one."""
-    if token is None:
-        return rf"<{name}(?=[\s>])[^>]*>"
-    return rf"""<{name}\s[^>]*?class\s*=\s*["'](?:[^"']*[\s])?{token}(?:\s[^"']*)?["'][^>]*>"""
 
+def _table(entries: dict[str, str]) -> Column:
+    """A constant map."""
+    return F.from_json(F.lit(json.dumps(entries)), "map<string,string>")
 
-def _attribute(tag: Column, name: str) -> Column:
-    value = F.regexp_extract(tag, rf"""(?is)\s{re.escape(name)}\s*=\s*["']([^"']*)["']""", 1)
-    return F.when(tag.rlike(rf"""(?is)\s{re.escape(name)}\s*=\s*["']"""), unescape(value))
 
+def _numbered(number: Column) -> Column:
+    """The character of a number; the replacement character if there is none."""
+    no_character = (number > 0x10FFFF) | number.between(0xD800, 0xDFFF)
+    char = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+    return F.coalesce(F.try_element_at(_table(_NUMBERED), number.cast("string")), F.when(no_character, "\ufffd").otherwise(char))
 
-def _readable(html: str, list_class: str | None) -> Column:
-    """Whether the expressions read a page exactly.
 
-    Its first list is closed before another one opens, has no comment, unquoted
-    link or entity but those known here, and no list is named in a comment,
-    script or style before it.
-    """
-    token = None if list_class is None else re.escape(list_class)
-    opened = F.regexp_extract(html, rf"(?is){_tag('ul', token)}.*", 0)
-    listing = F.regexp_extract(opened, r"(?is)^<ul[^>]*>(.*?)</ul\s*>", 1)
-    odd = r"""(?is)<ul[\s>]|<!|href\s*=\s*[^\s"']|&(?!(?:lt|gt|quot|amp|#39|#x27);)[#a-z]"""
-    raw = r"(?is)<(script|style|textarea|title)[\s>]"
-    shown = F.regexp_replace(F.regexp_replace(html, r"(?s)<!--.*?-->", ""), raw + r".*?</\1\s*>", "")
-    lists = F.lit(r"(?i)<ul[\s>]")
-    nothing_hidden = (F.regexp_count(html, lists) == F.regexp_count(shown, lists)) & ~shown.contains("<!--") & ~shown.rlike(raw)
-    return F.coalesce((opened == "") | (nothing_hidden & (listing != "") & ~listing.rlike(odd)), F.lit(True))
+def _reference(rest: Column) -> Column:
+    """What follows an ampersand, with the reference it opens replaced; with the ampersand if it opens none."""
+    common = F.lit(None).cast("string")
+    for name, char in _COMMON.items():
+        common = F.when(rest.startswith(f"{name};"), F.concat(F.lit(char), F.substr(rest, F.lit(len(name) + 2)))).otherwise(common)
+    decimal, hexadecimal = F.regexp_extract(rest, "^#([0-9]{1,9});?", 1), F.regexp_extract(rest, "^#[xX]([0-9a-fA-F]{1,7});?", 1)
+    number = F.when(decimal != "", decimal.cast("long")).when(hexadecimal != "", F.conv(hexadecimal, 16, 10).cast("long"))
+    named, loose = F.regexp_extract(rest, "^([A-Za-z0-9]{1,32};)", 1), F.regexp_extract(rest, f"^({'|'.join(_LOOSE)})", 1)
+    character = F.try_element_at(_table(html5), named)
+    return (
+        F.when(common.isNotNull(), common)
+        .when(number.isNotNull(), F.concat(_numbered(number), F.regexp_replace(rest, "^#(?:[0-9]{1,9}|[xX][0-9a-fA-F]{1,7});?", "")))
+        .when(character.isNotNull(), F.concat(character, F.substr(rest, F.length(named) + 1)))
+        .when(loose != "", F.concat(F.try_element_at(_table(html5), loose), F.substr(rest, F.length(loose) + 1)))
+        .otherwise(F.concat(F.lit("&"), rest))
+    )
 
 
 def unescape(text: Column) -> Column:
-    for entity, char in _ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
+    """Character references replaced, all that HTML names and numbers."""
+    parts = lambda p: F.concat(p[0], F.array_join(F.transform(F.slice(p, 2, F.size(p)), _reference), ""))
+    return F.when(~text.contains("&"), text).otherwise(bind(F.split(text, "&"), parts))
+
+
+def _attribute(tag: Column, name: str) -> Column:
+    """Value of a tag's attribute, the last one of that name; null if it has none."""
+    found = F.arrays_zip(F.regexp_extract_all(tag, F.lit(_ATTRIBUTE), F.lit(1)).alias("name"), F.regexp_extract_all(tag, F.lit(_ATTRIBUTE), F.lit(2)).alias("value"))
+    value = F.try_element_at(F.filter(found, lambda a: F.lower(a["name"]) == name.lower()), F.lit(-1))["value"]
+    return unescape(F.regexp_replace(value, r"""^["']|["']$""", ""))
+
+
+def _pieces(html: Column) -> Column:
+    """The page cut before every tag; comments and what is not shown are left out."""
+    marked = F.regexp_replace(F.translate(html, _MARK, ""), rf"(?is)(?:{_UNSHOWN})|({_TAG})", f"{_MARK}$2")
+    return F.split(marked, _MARK)
 
 
 def resolve_url(href: Column, base: str) -> Column:
@@ -74,18 +102,79 @@ def resolve_url(href: Column, base: str) -> Column:
     )
 
 
-def _jvm_links(pages: DataFrame, keep: list[str], html: str, list_class: str | None, content_id: str) -> DataFrame:
-    token = None if list_class is None else re.escape(list_class)
-    listing = F.regexp_extract(html, rf"(?is){_tag('ul', token)}(.*?)</ul\s*>", 1)
-    items = F.regexp_extract_all(listing, F.lit(r"(?is)<li(?=[\s>])[^>]*>(.*?)(?=<li[\s>]|</li\s*>|\z)"), F.lit(1))
-    anchor = r"(?is)(<a\s[^>]*>)(.*?)</a\s*>"
-    rows = pages.select(*keep, F.explode(items).alias("item")).filter(F.col("item").rlike(anchor))
-    tag = F.regexp_extract("item", anchor, 1)
-    text = F.regexp_replace(F.regexp_extract("item", anchor, 2), r"(?s)<[^>]*>", "")
-    return rows.select(
-        *keep, _attribute(tag, content_id).alias("content_id"), unescape(text).alias("name"), _attribute(tag, "href").alias("href")
+def _links_of(pieces: Column, list_class: str | None) -> Column:
+    """Entries of the first list (of the class): ``first`` piece of the link, the ``last`` before it ends, and how many entries share it.
+
+    An entry takes its first link, also one that belongs to an entry within it. The fold writes its findings
+    to a string, which grows by copying bytes and not rows.
+    """
+    name = lambda p: F.lower(F.regexp_extract(p, r"(?i)^<(/?(?:ul|li|a))(?=[\s/>])", 1))
+    wanted = F.lit(True) if list_class is None else None
+
+    def opens(p: Column) -> Column:
+        if wanted is not None:
+            return wanted
+        classes = F.split(F.coalesce(_attribute(F.regexp_extract(p, rf"(?is)^{_TAG}", 0), "class"), F.lit("")), r"\s+")
+        return F.array_contains(classes, list_class)
+
+    tokens = F.transform(pieces, lambda p: bind(name(p), lambda n: F.struct(n.alias("n"), F.when(n == "ul", opens(p)).otherwise(False).alias("opens"))))
+    start = F.struct(
+        F.lit(0).alias("at"), F.lit(0).alias("depth"), F.lit(False).alias("done"), F.array().cast("array<int>").alias("waiting"),
+        F.lit(False).alias("open"), F.lit("").alias("found"),
     )
 
+    def step(s: Column, t: Column) -> Column:
+        n, inside = t["n"], s["depth"] > 0
+        enters = (n == "ul") & ~s["done"] & (inside | t["opens"])
+        leaves = (n == "/ul") & inside
+        depth = s["depth"] + F.when(enters, 1).when(leaves, -1).otherwise(0)
+        outer = F.filter(s["waiting"], lambda level: level < s["depth"])
+        links = (n == "a") & inside & (F.size(s["waiting"]) > 0)
+        waiting = (
+            F.when(inside & (n == "li"), F.concat(outer, F.array(s["depth"])))
+            .when(inside & (n == "/li"), outer)
+            .when(links, F.array().cast("array<int>"))
+            .otherwise(s["waiting"])
+        )
+        closes = s["open"] & (links | (n == "/a"))
+        found = F.concat(
+            s["found"],
+            F.when(closes, F.concat(F.lit(":"), s["at"].cast("string"))).otherwise(""),
+            F.when(links, F.concat(F.lit(","), s["at"].cast("string"), F.lit(":"), F.size(s["waiting"]).cast("string"))).otherwise(""),
+        )
+        return F.struct(
+            (s["at"] + 1).alias("at"), depth.alias("depth"), (s["done"] | (leaves & (s["depth"] == 1))).alias("done"), waiting.alias("waiting"),
+            ((s["open"] & ~closes) | links).alias("open"), found.alias("found"),
+        )
+
+    # nothing in a page is looked at twice: other tags only move the position
+    def moved(s: Column, t: Column) -> Column:
+        plain = (t["n"] == "") | (s["done"] & ~s["open"])
+        return F.when(plain, s.withField("at", s["at"] + 1)).otherwise(step(s, t))
+
+    def parted(s: Column) -> Column:
+        found = F.filter(F.split(F.concat(s["found"], F.when(s["open"], F.concat(F.lit(":"), s["at"].cast("string"))).otherwise("")), ","), lambda x: x != "")
+        numbers = lambda x, i: F.split(x, ":")[i].cast("int")
+        return F.transform(found, lambda x: F.struct(numbers(x, 0).alias("first"), numbers(x, 1).alias("entries"), numbers(x, 2).alias("end")))
+
+    return F.aggregate(tokens, start, moved, parted)
+
+
+def _listed(html: Column, list_class: str | None, content_id: str) -> Column:
+    """Entries of a page: array of (content_id, name, href)."""
+
+    def entries(pieces: Column) -> Column:
+        def entry(link: Column) -> Column:
+            tag = F.regexp_extract(pieces[link["first"]], rf"(?is)^{_TAG}", 0)
+            inside = F.slice(pieces, link["first"] + 1, link["end"] - link["first"])
+            text = F.array_join(F.transform(inside, lambda p: F.regexp_replace(p, rf"(?is)^{_TAG}", "")), "")
+            read = F.struct(_attribute(tag, content_id).alias("content_id"), unescape(text).alias("name"), _attribute(tag, "href").alias("href"))
+            return F.array_repeat(read, link["entries"])
+
+        return F.flatten(F.transform(_links_of(pieces, list_class), entry))
+
+    return bind(_pieces(html), entries)
+
 
 class _ListReader(HTMLParser):
     """First list of the class; the first link of each of its items, nested ones too."""
@@ -93,12 +182,15 @@ class _ListReader(HTMLParser):
     def __init__(self, list_class: str | None, content_id: str):
         super().__init__(convert_charrefs=True)
         self.list_class, self.content_id = list_class, content_id
-        self.depth, self.done = 0, False
+        self.depth, self.done, self.hidden = 0, False, None
         self.items: list[dict] = []
         self.waiting: list[dict] = []  # open items that have no link yet
         self.link: list[dict] = []  # items whose link is open
 
     def handle_starttag(self, tag, attrs):
+        if self.hidden or tag in _HIDDEN:
+            self.hidden = self.hidden or tag
+            return
         values = dict(attrs)
         if tag == "ul" and not self.done:
             classes = (values.get("class") or "").split()
@@ -114,7 +206,9 @@ class _ListReader(HTMLParser):
             self.link, self.waiting = self.waiting, []
 
     def handle_endtag(self, tag):
-        if tag == "a":
+        if self.hidden:
+            self.hidden = None if tag == self.hidden else self.hidden
+        elif tag == "a":
             self.link = []
         elif tag == "li" and self.depth:
             self.waiting = [w for w in self.waiting if w["level"] < self.depth]
@@ -123,7 +217,7 @@ class _ListReader(HTMLParser):
             self.done = self.depth == 0
 
     def handle_data(self, data):
-        for item in self.link:
+        for item in self.link if not self.hidden else ():
             item["name"] += data
 
 
@@ -153,26 +247,24 @@ def page_links(
     html: str = "html",
     list_class: str | None = LIST_CLASS,
     content_id: str = CONTENT_ID,
-    reader: str = "auto",
+    reader: str = "expression",
 ) -> DataFrame:
     """One row per entry of the page's listing: ``keep``, content_id, name, href.
 
-    ``list_class=None`` takes the first list of the page.
+    ``list_class=None`` takes the first list of the page. Contents of scripts, styles, titles and text areas are
+    no text. ``reader="parser"`` reads the pages in Python.
     """
-    if reader not in {"auto", "jvm", "parser"}:
-        raise ValueError("reader must be 'auto', 'jvm' or 'parser'")
-    if reader == "auto":
-        plain = _readable(html, list_class)
-        by_expression = _jvm_links(pages.filter(plain), keep, html, list_class, content_id)
-        return by_expression.unionByName(_parsed_links(pages.filter(~plain), keep, html, list_class, content_id))
-    read = _jvm_links if reader == "jvm" else _parsed_links
-    return read(pages, keep, html, list_class, content_id)
+    if reader not in {"expression", "parser"}:
+        raise ValueError("reader must be 'expression' or 'parser'")
+    if reader == "parser":
+        return _parsed_links(pages, keep, html, list_class, content_id)
+    return pages.select(*keep, F.inline(_listed(F.col(html), list_class, content_id)))
 
 
 def next_page(html: Column, base: str, class_ending: str = NEXT_CLASS_ENDING) -> Column:
     """Absolute link to the following page; null on the last one."""
-    block = F.regexp_extract(html, rf"(?is){_tag('div', r'[^\"' + chr(39) + r'\s]*' + re.escape(class_ending))}(.*)", 1)
-    href = _attribute(F.regexp_extract(block, r"(?is)(<a\s[^>]*>)", 1), "href")
+    opening = rf"""<div\s[^>]*?class\s*=\s*["'](?:[^"']*\s)?[^"'\s]*{re.escape(class_ending)}(?:\s[^"']*)?["'][^>]*>"""
+    href = _attribute(F.regexp_extract(html, rf"(?is){opening}.*?(<a\s[^>]*>)", 1), "href")
     return F.when(F.nullif(href, F.lit("")).isNotNull(), resolve_url(href, base))
 
 

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollbook.contracts import MATCH_SHEET, cast_to_contract
+from rollbook.session import land, scratch
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -46,6 +48,42 @@ def read_snapshot(
     return df if run is None else df.filter(F.col(partition) == F.lit(run)).drop(partition)
 
 
+def _bucket(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
+
+
+def write_buckets(df: DataFrame, path: str, key: str, buckets: int) -> None:
+    """Write a table that must not exist yet, cut by a hash of ``key`` into folders that can be replaced one by one."""
+    cut = df.withColumn("bucket", _bucket(key, buckets)).repartition(buckets, "bucket")
+    cut.write.mode("errorifexists").partitionBy("bucket").parquet(path)
+
+
+def read_buckets(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop("bucket")
+
+
+def rewrite_buckets(
+    spark: SparkSession, path: str, key: str, buckets: int, changed_keys: DataFrame, change: Callable[[DataFrame], DataFrame]
+) -> int:
+    """Replace the buckets that hold one of ``changed_keys`` by ``change`` of their rows; all others keep their files.
+
+    ``changed_keys`` has the column ``key``. ``change`` gets the rows of the touched buckets only and must return
+    the same columns, and keys that it did not have only where they belong to those buckets. The new buckets
+    are landed first, so that nothing is read while it is replaced. Returns the number of buckets replaced.
+    """
+    touched = [r["bucket"] for r in changed_keys.select(_bucket(key, buckets).alias("bucket")).distinct().collect()]
+    if not touched:
+        return 0
+    rows = spark.read.parquet(path).filter(F.col("bucket").isin(touched)).drop("bucket")
+    with scratch(spark):
+        new = land(change(rows).select(*rows.columns), "new-buckets").withColumn("bucket", _bucket(key, buckets))
+        (
+            new.repartition(len(touched), "bucket")
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+        )
+    return len(touched)
+
+
 def write_once(df: DataFrame, path: str, contract: T.StructType | None = None) -> None:
     """Write a table that must not exist yet."""
     out = df if contract is None else cast_to_contract(df, contract)
@@ -81,3 +119,15 @@ def write_script(statements: DataFrame, path: str, prologue: str, order: list[st
     head = statements.sparkSession.range(1).select(F.lit(0).alias("_body"), F.lit(prologue).alias("statement"))
     lines = head.unionByName(statements.withColumn("_body", F.lit(1)), allowMissingColumns=True)
     lines.orderBy("_body", *order).select("statement").write.mode("errorifexists").text(path)
+
+
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(line, value) of a written text, numbered from 1 in the order it was written.
+
+    A writer's files are named in that order; each is one value here, so it has to fit in a task.
+    """
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.split("value", "\n").alias("lines"))
+    files = files.select("file", F.when(F.element_at("lines", -1) == "", F.slice("lines", 1, F.size("lines") - 1)).otherwise(F.col("lines")).alias("lines"))
+    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = files.select("file", F.size("lines").alias("n")).select("file", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    return files.join(sizes, "file").select("before", F.posexplode("lines").alias("at", "value")).select((F.col("before") + F.col("at") + 1).alias("line"), "value")

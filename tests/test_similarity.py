@@ -1,7 +1,7 @@
 import random
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -32,15 +32,26 @@ def test_against_the_textbook_recurrence_over_lane_boundaries():
 
     left = [text(n) for n in (4, 20, 64, 66, 150) for _ in range(60)] + ["a" * 64, "", "x", "a" * 65]
     right = [text(n) for n in (20, 64, 70, 4, 150) for _ in range(60)] + ["a" * 64, "", "", "a" * 64]
-    got = indel_ratios(pd.Series(left), pd.Series(right))
+    got = indel_ratios(pa.array(left), pa.array(right))
     assert np.allclose(got, [ratio(a, b) for a, b in zip(left, right)])
 
 
+def test_long_strings_over_word_boundaries():
+    rnd = random.Random(4)
+    sizes = [63, 64, 65, 127, 128, 129, 191, 192, 193, 320, 500, 700]
+    left = ["".join(rnd.choice("ab é") for _ in range(n)) for n in sizes for _ in range(4)] + ["a" * 300, "a" * 192, "ab" * 200]
+    right = ["".join(rnd.choice("ab é") for _ in range(rnd.choice(sizes))) for _ in left[:-3]] + ["a" * 300, "a" * 193, "ba" * 200]
+    # an edited copy: long carries run through its words
+    left += left[:20]
+    right += [t[:70] + "x" + t[75:] for t in left[:20]]
+    assert np.allclose(indel_ratios(pa.array(left), pa.array(right)), [ratio(a, b) for a, b in zip(left, right)])
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.text(max_size=90), st.text(max_size=90))
 def test_symmetric_bounded_and_100_only_for_equal_strings(a, b):
-    there = indel_ratios(pd.Series([a]), pd.Series([b]))[0]
-    back = indel_ratios(pd.Series([b]), pd.Series([a]))[0]
+    there = indel_ratios(pa.array([a], pa.string()), pa.array([b]))[0]
+    back = indel_ratios(pa.array([b]), pa.array([a], pa.string()))[0]
     assert there == back and 0 <= there <= 100
     assert (there == 100) == (a == b)
     assert abs(there - ratio(a, b)) < 1e-9

@@ -33,13 +33,26 @@ NESTED = """<p><!-- <ul class="gem-c-document-list"><li><a href="/no">no</a></li
 
 
 def test_every_entry_of_odd_pages_is_read(spark):
-    pages = spark.createDataFrame([(1, LISTING), (2, NESTED), (3, None), (4, NESTED.replace("</ul></li><li>", "</ul><li>"))], "page int, html string")
-    auto, parser = (sorted(map(tuple, links.page_links(pages, ["page"], **o).collect())) for o in ({}, {"reader": "parser"}))
-    assert auto == parser
-    assert [(r[2], r[3]) for r in auto if r[0] == 2] == [("A é", "/a"), ("A1", "/a/1"), ("B", "/b")]
+    odd = [
+        LISTING, NESTED, None, NESTED.replace("</ul></li><li>", "</ul><li>"), "", "<ul class='gem-c-document-list'><li><a href='/x'>open",
+        NESTED.replace("<a href=\"/a\">", '<a title="a > b <li>" HREF=\'/a"b\'>'),
+        NESTED.replace("A1", "A<b>&amp;1</b><!-- <a href='/z'>z</a> -->&copy; &copyx &#233;&#xe9;&#128;&nosuch; &lt;b&gt; &#55296;&"),
+        NESTED.replace("<p>", "<script>'<ul class=\"gem-c-document-list\"><li><a href=/s>s</a>'</script><title><ul></title><p>"),
+        NESTED.replace("<li><a href=/b>", "<li>no link</li><li><ul><li><ul><li><a href='/deep?a=1&amp;b=2' data-ga4-ecommerce-content-id='d'>deep</a><a href=/b2>2</a></li></ul>x</li></ul><a href=/b>"),
+        NESTED + NESTED, NESTED.replace("</a>", ""), "<ul><li><a href='/not'>not the class</a></li></ul>" + NESTED,
+        "<UL CLASS='x  gem-c-document-list'>" + "".join(f"<LI><A HREF='/p{i}'>n{i}<br/></A></LI>" for i in range(3000)) + "</UL>",
+    ]
+    pages = spark.createDataFrame(list(enumerate(odd)), "page int, html string")
+    for list_class in (links.LIST_CLASS, None):
+        ours, parser = (sorted((tuple(r) for r in links.page_links(pages, ["page"], list_class=list_class, reader=r).collect()), key=str) for r in ("expression", "parser"))
+        assert ours == parser and len(ours) > 3000
+    plan = links.page_links(pages, ["page"])._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "InPandas" not in plan and plan.count("Scan") == 1
+    got = [tuple(r) for r in links.page_links(pages, ["page"]).collect()]
+    assert [(r[2], r[3]) for r in got if r[0] == 1] == [("A é", "/a"), ("A1", "/a/1"), ("B", "/b")]
 
 
-@pytest.mark.parametrize("reader", ["auto", "jvm", "parser"])
+@pytest.mark.parametrize("reader", ["expression", "parser"])
 def test_links_of_a_listing(spark, reader):
     got = sorted(map(tuple, links.page_links(listing(spark), ["page"], reader=reader).collect()))
     assert got == [(1, "c1", " Ann & Lee", "/government/people/ann-lee"), (1, "c2", "Bob", "/government/people/bob")]
