@@ -347,9 +347,12 @@ union all select 'recall of blocking at least 0.9', 'true', null""",
     recursive=True,
 )
 def fuzzy_blocked(f: Frames) -> DataFrame:
-    """What blocking finds, the exact match for the names it has missed, and whether these are few enough."""
+    """What blocking finds, the exact match for the names it has missed, and whether these are few enough.
+
+    Bands of one hash, as most of these names have no near match: two names in three share less than half their grams.
+    """
     exact = nearest_names(f.v_seekers, f.v_listing, "name", "name")
-    found = land(blocking.blocked_names(f.v_seekers, f.v_listing, "name", "name"), "blocked")
+    found = land(blocking.blocked_names(f.v_seekers, f.v_listing, "name", "name", bands=96, rows=1), "blocked")
     ours = found.select("left_name", F.col("right_name").alias("_name"), F.col("score").alias("_score"))
     good = F.coalesce(F.col("_score") >= F.col("score") - 1e-9, F.lit(False))
     rows = exact.join(ours, "left_name", "left").select(
@@ -757,7 +760,7 @@ from every"""
 def _links(f: Frames, reader: str) -> DataFrame:
     paging = F.concat(F.lit('<div class="x pagination__next"><a href="'), F.col("next_href"), F.lit('">more</a></div>'))
     crawled = f.v_crawled.withColumn("html", F.concat("html", paging))
-    pages = crawled.withColumn("next_url", links.next_page(F.col("html"), BASE_URL))
+    pages = crawled.withColumn("next_url", links.next_page("html", BASE_URL))
     return links.page_links(pages, ["page_id", "next_url"], list_class=None, reader=reader).select(
         "page_id", "href", "name", links.resolve_url(F.col("href"), BASE_URL).alias("address"),
         links.person_slug(F.col("href"), "/").alias("slug"), "content_id", "next_url",

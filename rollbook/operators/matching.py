@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -88,32 +89,51 @@ def appointments_with_sure_match(core: DataFrame, ext: DataFrame, own: str, othe
     return left.join(right, on, "left_semi").select("appointment_id").distinct()
 
 
-def scored_titles(left: DataFrame, right: DataFrame, own: str, other: str, pair_budget: int = PAIR_BUDGET) -> DataFrame:
-    """Every pair of titles that some person has on both sides, once, with its similarity: ``_own_title, _other_title, _score``.
+class _Sizes(NamedTuple):
+    """Rows and distinct titles of every person on both sides, and the pairs of each that they make."""
 
-    Pairs are formed of each person's distinct titles and made distinct over all persons before they are scored.
-    """
-    owned = left.select("person_id", F.col(f"post_name{own}").alias("_own_title")).distinct()
-    offered = right.select("person_id", F.col(f"post_name{other}").alias("_other_title")).distinct()
-    titles = spread_join(owned, offered, ["person_id"], pair_budget).select("_own_title", "_other_title").distinct()
-    a, b = F.col("_own_title"), F.col("_other_title")
-    return titles.select(a, b, title_similarity(a, b, without_the(a), without_the(b)).alias("_score"))
+    table: DataFrame
+    row_pairs: float
+    title_pairs: float
+
+    def side(self, number: int, column: str) -> DataFrame:
+        return self.table.filter(F.col(f"{column}_{number}").isNotNull()).select("person_id", F.col(f"{column}_{number}").alias("rows_per_key"))
+
+
+def person_sizes(left: DataFrame, right: DataFrame, own: str, other: str) -> _Sizes:
+    counted = [
+        side.groupBy("person_id").agg(F.count(F.lit(1)).alias(f"rows_{number}"), F.count_distinct(F.col(f"post_name{suffix}")).alias(f"titles_{number}"))
+        for number, (side, suffix) in enumerate(((left, own), (right, other)))
+    ]
+    table = land(counted[0].join(counted[1], "person_id"), "person-sizes")
+    pairs = [F.coalesce(F.sum(F.col(f"{c}_0").cast("double") * F.col(f"{c}_1")), F.lit(0.0)).alias(c) for c in ("rows", "titles")]
+    return _Sizes(table, *table.agg(*pairs).first())
 
 
-def titles_repeat(left: DataFrame, right: DataFrame, own: str, other: str, sizes: tuple[DataFrame, DataFrame]) -> bool:
+def titles_repeat(left: DataFrame, right: DataFrame, own: str, other: str, sizes: _Sizes) -> bool:
     """Whether scoring distinct title pairs saves at least half of the scoring.
 
     Compares the pairs of rows with two upper bounds on the pairs of titles: those of each person's distinct
     titles, and all titles of one side with all of the other.
     """
-    mine, theirs = (side.select("person_id", *(F.col(c).cast("double").alias(f"{c}_{k}") for c in ("rows_per_key", "titles"))) for k, side in enumerate(sizes))
-    work = mine.join(theirs, "person_id").agg(F.sum(F.col("rows_per_key_0") * F.col("rows_per_key_1")).alias("rows"), F.sum(F.col("titles_0") * F.col("titles_1")).alias("titles")).first()
-    if not work["rows"]:
-        return False
-    if 2 * work["titles"] <= work["rows"]:
-        return True
-    kinds = [df.select(F.count_distinct(F.col(f"post_name{suffix}"))).first()[0] for df, suffix in ((left, own), (right, other))]
-    return 2 * kinds[0] * kinds[1] <= work["rows"]
+    if not sizes.row_pairs or 2 * sizes.title_pairs <= sizes.row_pairs:
+        return bool(sizes.row_pairs)
+    titles = left.select(F.lit(0).alias("side"), F.col(f"post_name{own}").alias("t")).unionByName(right.select(F.lit(1).alias("side"), F.col(f"post_name{other}").alias("t")))
+    kinds = [r["n"] for r in titles.groupBy("side").agg(F.count_distinct("t").alias("n")).collect()]
+    return len(kinds) == 2 and 2 * kinds[0] * kinds[1] <= sizes.row_pairs
+
+
+def scored_titles(left: DataFrame, right: DataFrame, own: str, other: str, sizes: _Sizes, pair_budget: int = PAIR_BUDGET) -> DataFrame:
+    """Every pair of titles that some person has on both sides, once, with its similarity: ``_own_title, _other_title, _score``.
+
+    Pairs are formed of each person's distinct titles and made distinct over all persons before they are scored.
+    """
+    owned = left.select("person_id", F.col(f"post_name{own}").alias("_own_title")).dropna().distinct()
+    offered = right.select("person_id", F.col(f"post_name{other}").alias("_other_title")).dropna().distinct()
+    pairs = spread_join(owned, offered, ["person_id"], pair_budget, sizes.side(0, "titles"), sizes.side(1, "titles"), sizes.title_pairs)
+    titles = pairs.select("_own_title", "_other_title").distinct()
+    a, b = F.col("_own_title"), F.col("_other_title")
+    return titles.select(a, b, title_similarity(a, b, without_the(a), without_the(b)).alias("_score"))
 
 
 def score_candidates(
@@ -135,19 +155,15 @@ def score_candidates(
     own, other = suffixes
     left = land(_side(core, own, as_of), "match-core")
     right = land(_side(ext, other, as_of), "match-ext")
-    sizes = tuple(
-        land(side.groupBy("person_id").agg(F.count(F.lit(1)).alias("rows_per_key"), F.count_distinct(F.col(f"post_name{suffix}")).alias("titles")), "match-sizes")
-        for side, suffix in ((left, own), (right, other))
-    )
+    sizes = person_sizes(left, right, own, other)
     once = titles_repeat(left, right, own, other, sizes)
-    titles = land(scored_titles(left, right, own, other, pair_budget), "title-scores") if once else None
+    titles = land(scored_titles(left, right, own, other, sizes, pair_budget), "title-scores") if once else None
     sure = appointments_with_sure_match(left, right, own, other).select(F.col("appointment_id").alias("_sure"))
     left = left.join(sure, F.col(f"appointment_id{own}") == F.col("_sure"), "left").withColumn(
         "reviewed", F.col("_sure").isNotNull()
     ).drop("_sure")
 
-    rows = tuple(side.select("person_id", "rows_per_key") for side in sizes)
-    pairs = spread_join(left, right, ["person_id"], pair_budget, *rows)
+    pairs = spread_join(left, right, ["person_id"], pair_budget, sizes.side(0, "rows"), sizes.side(1, "rows"), sizes.row_pairs)
     if titles is not None:
         by_title = (F.col(f"post_name{own}") == F.col("_own_title")) & (F.col(f"post_name{other}") == F.col("_other_title"))
         pairs = pairs.join(titles, by_title, "left")

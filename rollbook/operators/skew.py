@@ -35,6 +35,7 @@ def spread_join(
     pair_budget: int = PAIR_BUDGET,
     left_sizes: DataFrame | None = None,
     right_sizes: DataFrame | None = None,
+    work: float | None = None,
 ) -> DataFrame:
     """Inner m:n equi-join; a key over ``pair_budget`` pairs becomes a grid.
 
@@ -47,7 +48,7 @@ def spread_join(
 
     ``left_sizes``/``right_sizes``: rows per key, named ``rows_per_key``; pass
     them where a cheaper count (or an upper bound) than scanning the input is
-    known. Counting the work is a job of its own.
+    known. Counting the work, the number of pairs, is a job of its own unless it is given.
     """
     block = max(1, isqrt(pair_budget))
     n_left = (left_sizes if left_sizes is not None else key_sizes(left, keys)).withColumnRenamed(
@@ -58,7 +59,8 @@ def spread_join(
     )
     met = n_left.join(n_right, keys)
     # partitions by the work to be done: about a budget of pairs each, however many rows there are
-    work = met.agg(F.sum(F.col("_n_left").cast("double") * F.col("_n_right"))).first()[0] or 0.0
+    if work is None:
+        work = met.agg(F.sum(F.col("_n_left").cast("double") * F.col("_n_right"))).first()[0] or 0.0
     partitions = min(ceil(work / pair_budget), MOST_PARTITIONS)
     grids = (
         met.filter(F.col("_n_left").cast("double") * F.col("_n_right") > F.lit(float(pair_budget)))

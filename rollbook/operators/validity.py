@@ -31,38 +31,45 @@ def _bucket(date: Column) -> Column:
 def key_dates(facts: DataFrame, key: str, at: str) -> DataFrame:
     """Rows of every key, and the calendar years its dates lie in: ``key, n, first, last``.
 
-    One row a key, so it is small next to the facts. A chain of validity joins takes it once, from the facts
-    before the first join, and hands it on: later steps add columns to the same dates.
+    One row a key, so it is small next to the facts.
     """
     return facts.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("n"), _bucket(F.min(at)).alias("first"), _bucket(F.max(at)).alias("last"))
 
 
-def carried_over(dates: DataFrame, links: DataFrame, old_key: str, new_key: str) -> DataFrame:
-    """``key_dates`` by another key: each new key has at most the rows of the old key it belongs to."""
-    return links.select(F.col(old_key).alias("key"), F.col(new_key).alias("_new")).join(dates, "key").select(F.col("_new").alias("key"), "n", "first", "last")
+def keys_to_cut(
+    facts: DataFrame, key: str, at: str, steps: list[tuple[DataFrame, str, DataFrame | None]], pair_budget: int = PAIR_BUDGET
+) -> list[DataFrame | None]:
+    """The keys of every step of a chain that have too many (date, interval) pairs, or None if there are none.
 
-
-def keys_to_cut(steps: list[tuple[DataFrame, DataFrame, str]], pair_budget: int = PAIR_BUDGET) -> list[DataFrame | None]:
-    """For every step ``(key dates, intervals, key of the intervals)`` the keys with too many pairs, or None if there are none.
-
-    All steps are counted by one job, whose result (no more rows than keys over the budget) is landed; so
-    the plan of a chain holds neither the facts nor the intervals a second time.
+    A step is (intervals, their key, links): without links its key is ``key`` of the facts; with links, rows (key of
+    the facts, key of the step), each key of the step has at most the rows of the fact's key it belongs to.
+    The facts are counted once, by a job whose result is landed (one row a key); a second job looks for intervals
+    whose key could reach the budget with the most frequent key of the facts, and only if there are any are they
+    joined to the keys they belong to. So the plan of a chain holds neither side a second time.
     """
-    hot = [
-        dates.join(intervals.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("_m")), "key")
-        .filter(F.col("n").cast("double") * F.col("_m") > F.lit(float(pair_budget)))
-        .groupBy("key").agg(F.min("first").alias("first"), F.max("last").alias("last"))
-        .select(F.lit(number).alias("step"), F.col("key").cast("string").alias("key"), "first", "last")
-        for number, (dates, intervals, key) in enumerate(steps)
-    ]
-    landed = land(reduce(DataFrame.unionByName, hot), "hot-keys")
-    found = {r["step"] for r in landed.select("step").distinct().collect()}
-    types = [intervals.schema[key].dataType for _, intervals, key in steps]
-    return [
-        landed.filter(F.col("step") == number).select(F.col("key").cast(types[number]).alias("_hot_key"), F.col("first").alias("_first"), F.col("last").alias("_last"))
-        if number in found else None
-        for number in range(len(steps))
+    dates = land(key_dates(facts, key, at), "key-dates")
+    most = dates.agg(F.max("n")).first()[0] or 0
+    many = [
+        intervals.groupBy(F.col(own).cast("string").alias("key")).agg(F.count(F.lit(1)).alias("m"))
+        .filter(F.col("m").cast("double") * most > F.lit(float(pair_budget))).select(F.lit(number).alias("step"), "key", "m")
+        for number, (intervals, own, _) in enumerate(steps)
     ]
+    many = land(reduce(DataFrame.unionByName, many), "many-intervals")
+    found = {r["step"] for r in many.select("step").distinct().collect()}
+    return [_hot(dates, many.filter(F.col("step") == number), step, pair_budget) if number in found else None for number, step in enumerate(steps)]
+
+
+def _hot(dates: DataFrame, many: DataFrame, step: tuple[DataFrame, str, DataFrame | None], pair_budget: int) -> DataFrame | None:
+    intervals, own, links = step
+    by_key = many.select(F.col("key").cast(intervals.schema[own].dataType).alias("_hot_key"), "m")
+    if links is None:
+        met = by_key.join(dates, F.col("_hot_key") == F.col("key"))
+    else:
+        old, new = links.columns
+        met = by_key.join(links, F.col("_hot_key") == F.col(new)).join(dates, F.col(old) == F.col("key"))
+    over = met.filter(F.col("n").cast("double") * F.col("m") > F.lit(float(pair_budget)))
+    hot = land(over.groupBy("_hot_key").agg(F.min("first").alias("_first"), F.max("last").alias("_last")), "hot-keys")
+    return None if hot.isEmpty() else hot
 
 
 def point_in_validity(
@@ -91,7 +98,7 @@ def point_in_validity(
     if how not in {"inner", "left"}:
         raise ValueError("how must be 'inner' or 'left'")
     if isinstance(cut, str):
-        cut = keys_to_cut([(key_dates(left, left_key, at), right, right_key)], pair_budget)[0]
+        cut = keys_to_cut(left, left_key, at, [(right, right_key, None)], pair_budget)[0]
     since, until = or_earliest(F.col(start)) if guard_start else F.col(start), or_latest(F.col(end))
     on = (F.col(left_key) == F.col(right_key)) & (F.col(at) >= since) & (F.col(at) < until)
     if cut is None:

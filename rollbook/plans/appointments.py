@@ -11,7 +11,7 @@ from rollbook.contracts import by_value
 from rollbook.functions.rules import house_to_kind
 from rollbook.operators.matching import score_candidates
 from rollbook.operators.skew import PAIR_BUDGET
-from rollbook.operators.validity import any_overlap, carried_over, key_dates, keys_to_cut, point_in_validity
+from rollbook.operators.validity import any_overlap, keys_to_cut, point_in_validity
 
 
 def core_appointments(
@@ -58,20 +58,19 @@ def core_appointments(
         F.col("id").alias("person_id"), F.col("name").alias("person_name"), F.col("start_date").alias("p_since"),
         F.col("end_date").alias("p_until"),
     )
-    dates = key_dates(rows, "a_person", "a_start")
-    steps = [(dates, people, "person_id")]
+    steps = [(people, "person_id", None)]
     if representation is not None:
         seats = representation.select(
             F.col("id").alias("r_id"), F.col("person_id").alias("r_person"), "house", F.col("start_date").alias("r_since"),
             F.col("end_date").alias("r_until"),
         )
-        steps.append((dates, seats, "r_person"))
+        steps.append((seats, "r_person", None))
         if representation_spell is not None:
             seat_spells = representation_spell.select(
                 F.col("representation_id").alias("rc_id"), F.col("start_date").alias("rc_since"), F.col("end_date").alias("rc_until")
             )
-            steps.append((carried_over(dates, seats, "r_person", "r_id"), seat_spells, "rc_id"))
-    cuts = keys_to_cut(steps, pair_budget)
+            steps.append((seat_spells, "rc_id", seats.select(F.col("r_person").alias("_old"), F.col("r_id").alias("_new"))))
+    cuts = keys_to_cut(rows, "a_person", "a_start", steps, pair_budget)
     rows = point_in_validity(rows, people, "a_person", "person_id", "a_start", "p_since", "p_until", cut=cuts[0])
     kind = F.lit(None).cast("string")
     if representation is not None:

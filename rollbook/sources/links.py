@@ -10,7 +10,6 @@ check the expressions against.
 
 from __future__ import annotations
 
-import json
 import re
 from collections.abc import Iterator
 from html.entities import html5
@@ -28,66 +27,123 @@ CONTENT_ID = "data-ga4-ecommerce-content-id"
 NEXT_CLASS_ENDING = "pagination__next"
 PERSON_PREFIX = "/government/people/"
 
-# a tag with its attributes, whose quoted values may hold any character; elements whose content is no markup
-_TAG = r"""</?[a-z](?:[^>"']|"[^"]*"|'[^']*')*>"""
+# the rest of a tag behind its name: quoted values may hold any character; elements whose content is no markup
+_REST = r"""[^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+>"""
 _HIDDEN = ("script", "style", "textarea", "title")
-_UNSHOWN = rf"<!--.*?(?:-->|\z)|<({'|'.join(_HIDDEN)})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\z)|<[!?][^>]*>"
-_MARK = "\u0001"
+# comments and what is not shown, or a tag: its "<" as group 2 and what follows that as group 3
+_MARKUP = (
+    rf"(?is)<(?:!--.*?(?:-->|\z)|({'|'.join(_HIDDEN)})(?=[\s/>]){_REST}.*?(?:</\1\s*>|\z)|[!?][^>]*>"
+    rf"|(?<=(<))(/?[a-z]{_REST}))"
+)
+_TAG = rf"(?is)^</?[a-z]{_REST}"
+_MARK, _ROW, _IS = "\u0001", "\u0002", "\u0003"
 _ATTRIBUTE = r"""([^\s"'>/=]+)\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
+_QUOTES = r"""^["']|["']$"""
+_LISTING = r"(?i)^<(/?(?:ul|li|a))(?=[\s/>])"
+_NUMBER = "^#([0-9]{1,9}|[xX][0-9a-fA-F]{1,7});?"
 
-_COMMON = {"lt": "<", "gt": ">", "quot": '"', "amp": "&", "#39": "'", "#x27": "'"}
-# names that stand without a semicolon too, and what numbers that are no characters stand for
-_LOOSE = sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True)
-_NUMBERED = {str(n): bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(128, 160)} | {"0": "\ufffd", "13": "\r"}
 
+def _written(entries: dict[str, str]) -> str:
+    """A table as one text, which plans carry more easily than a map of thousands of entries."""
+    return _ROW + "".join(f"{name}{_IS}{value}{_ROW}" for name, value in entries.items())
 
-def _table(entries: dict[str, str]) -> Column:
-    """A constant map."""
-    return F.from_json(F.lit(json.dumps(entries)), "map<string,string>")
 
+# what names stand for, by their first letter, also those that stand without a semicolon; numbers that are no characters
+_LETTERS = [chr(c) for c in range(ord("A"), ord("z") + 1)]
+_NAMED = [_written({n: v for n, v in html5.items() if n.startswith(letter)}) for letter in _LETTERS]
+_LOOSE = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True))
+_NUMBERED = _written({str(n): bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(128, 160)} | {"0": "�", "13": "\r"})
 
-def _numbered(number: Column) -> Column:
-    """The character of a number; the replacement character if there is none."""
-    no_character = (number > 0x10FFFF) | number.between(0xD800, 0xDFFF)
-    char = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
-    return F.coalesce(F.try_element_at(_table(_NUMBERED), number.cast("string")), F.when(no_character, "\ufffd").otherwise(char))
 
+def _text(value: str) -> str:
+    """A SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-def _reference(rest: Column) -> Column:
-    """What follows an ampersand, with the reference it opens replaced; with the ampersand if it opens none."""
-    common = F.lit(None).cast("string")
-    for name, char in _COMMON.items():
-        common = F.when(rest.startswith(f"{name};"), F.concat(F.lit(char), F.substr(rest, F.lit(len(name) + 2)))).otherwise(common)
-    decimal, hexadecimal = F.regexp_extract(rest, "^#([0-9]{1,9});?", 1), F.regexp_extract(rest, "^#[xX]([0-9a-fA-F]{1,7});?", 1)
-    number = F.when(decimal != "", decimal.cast("long")).when(hexadecimal != "", F.conv(hexadecimal, 16, 10).cast("long"))
-    named, loose = F.regexp_extract(rest, "^([A-Za-z0-9]{1,32};)", 1), F.regexp_extract(rest, f"^({'|'.join(_LOOSE)})", 1)
-    character = F.try_element_at(_table(html5), named)
-    return (
-        F.when(common.isNotNull(), common)
-        .when(number.isNotNull(), F.concat(_numbered(number), F.regexp_replace(rest, "^#(?:[0-9]{1,9}|[xX][0-9a-fA-F]{1,7});?", "")))
-        .when(character.isNotNull(), F.concat(character, F.substr(rest, F.length(named) + 1)))
-        .when(loose != "", F.concat(F.try_element_at(_table(html5), loose), F.substr(rest, F.length(loose) + 1)))
-        .otherwise(F.concat(F.lit("&"), rest))
-    )
+
+# The expressions below are SQL text: as column objects, thousands of calls to the JVM would build them.
+
+
+def _bind(value: str, name: str, body: str) -> str:
+    """``body`` of a value that it names several times and that is worked out once a row."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def _look_up(table: str, name: str) -> str:
+    """The value of a name; null if the table does not have it."""
+    behind = f"substring_index({table}, concat({_text(_ROW)}, {name}, {_text(_IS)}), -1)"
+    return f"nullif(substring_index({behind}, {_text(_ROW)}, 1), '')"
 
 
-def unescape(text: Column) -> Column:
+def _reference(rest: str) -> str:
+    """What follows an ampersand, with the reference it opens replaced; with the ampersand if it opens none."""
+    no_character = "(n > 1114111 or n between 55296 and 57343)"
+    character = f"coalesce({_look_up(_text(_NUMBERED), 'string(n)')}, if({no_character}, '�', decode(unhex(lpad(hex(n), 8, '0')), 'UTF-32')))"
+    digits = f"regexp_extract({rest}, {_text(_NUMBER)}, 1)"
+    number = f"case when {digits} = '' then null when lower({digits}) like 'x%' then bigint(conv(substr({digits}, 2), 16, 10)) else bigint({digits}) end"
+    numbered = _bind(number, "n", f"if(n is null, concat('&', {rest}), concat({character}, regexp_replace({rest}, {_text(_NUMBER)}, '')))")
+    # a name with its semicolon, else the longest one that stands without
+    table = f"get(array({', '.join(map(_text, _NAMED))}), ascii(name) - {ord(_LETTERS[0])})"
+    read = f"concat({_look_up(table, 'name')}, substr({rest}, length(name) + 1))"
+    named, loose = (_bind(f"regexp_extract({rest}, '^({names})', 1)", "name", read) for names in ("[A-Za-z][A-Za-z0-9]{0,31};", _LOOSE))
+    return f"if(startswith({rest}, '#'), {numbered}, coalesce({named}, {loose}, concat('&', {rest})))"
+
+
+def _unescape(text: str) -> str:
     """Character references replaced, all that HTML names and numbers."""
-    parts = lambda p: F.concat(p[0], F.array_join(F.transform(F.slice(p, 2, F.size(p)), _reference), ""))
-    return F.when(~text.contains("&"), text).otherwise(bind(F.split(text, "&"), parts))
+    joined = f"concat(parts[0], array_join(transform(slice(parts, 2, size(parts)), rest -> {_reference('rest')}), ''))"
+    return f"if(contains({text}, '&'), {_bind(f'''split({text}, '&')''', 'parts', joined)}, {text})"
+
 
+def _attributes(tag: str) -> str:
+    """(name, value) of a tag's attributes as they are written."""
+    names, values = (f"regexp_extract_all({tag}, {_text(_ATTRIBUTE)}, {n})" for n in (1, 2))
+    return f"zip_with({names}, {values}, (a, b) -> named_struct('name', lower(a), 'value', b))"
 
-def _attribute(tag: Column, name: str) -> Column:
-    """Value of a tag's attribute, the last one of that name; null if it has none."""
-    found = F.arrays_zip(F.regexp_extract_all(tag, F.lit(_ATTRIBUTE), F.lit(1)).alias("name"), F.regexp_extract_all(tag, F.lit(_ATTRIBUTE), F.lit(2)).alias("value"))
-    value = F.try_element_at(F.filter(found, lambda a: F.lower(a["name"]) == name.lower()), F.lit(-1))["value"]
-    return unescape(F.regexp_replace(value, r"""^["']|["']$""", ""))
 
+def _value(attributes: str, name: str) -> str:
+    """Value of the last attribute of that name; null if there is none."""
+    return f"regexp_replace(try_element_at(filter({attributes}, x -> x.name = {_text(name.lower())}), -1).value, {_text(_QUOTES)}, '')"
 
-def _pieces(html: Column) -> Column:
+
+def _pieces(html: str) -> str:
     """The page cut before every tag; comments and what is not shown are left out."""
-    marked = F.regexp_replace(F.translate(html, _MARK, ""), rf"(?is)(?:{_UNSHOWN})|({_TAG})", f"{_MARK}$2")
-    return F.split(marked, _MARK)
+    return f"split(regexp_replace(replace({html}, {_text(_MARK)}, ''), {_text(_MARKUP)}, {_text(_MARK + '$2$3')}), {_text(_MARK)})"
+
+
+def _links_of(pieces: str, list_class: str | None) -> str:
+    """Entries of the first list (of the class): ``first`` piece of the link, ``end`` behind its last one, and how many ``entries`` share it.
+
+    An entry takes its first link, also one that belongs to an entry within it. The fold writes its findings
+    to a string, which grows by copying bytes and not rows.
+    """
+    classes = _value(_attributes(f"regexp_extract({pieces}[t.at], {_text(_TAG)}, 0)"), "class")
+    opens = "true" if list_class is None else f"array_contains(split(coalesce({classes}, ''), {_text('[ \t\n\r\f]+')}), {_text(list_class)})"
+    named = f"transform({pieces}, (p, i) -> named_struct('at', i, 'n', lower(regexp_extract(p, {_text(_LISTING)}, 1))))"
+    tokens = f"transform(filter({named}, t -> t.n <> ''), t -> named_struct('at', t.at, 'n', t.n, 'opens', t.n = 'ul' and {opens}))"
+    none, links = "cast(array() as array<int>)", "(t.n = 'a' and s.depth > 0 and size(s.waiting) > 0)"
+    closes = f"(s.open and (t.n = '/a' or {links}))"
+    step = f"""named_struct(
+      'depth', s.depth + case when t.n = 'ul' and not s.done and (s.depth > 0 or t.opens) then 1 when t.n = '/ul' and s.depth > 0 then -1 else 0 end,
+      'done', s.done or (t.n = '/ul' and s.depth = 1),
+      'waiting', case when s.depth > 0 and t.n in ('li', '/li') then concat(filter(s.waiting, l -> l < s.depth), if(t.n = 'li', array(s.depth), {none}))
+        when {links} then {none} else s.waiting end,
+      'open', (s.open and not {closes}) or {links},
+      'found', if({closes} or {links}, concat(s.found, if({closes}, concat(':', t.at), ''), if({links}, concat(',', t.at, ':', size(s.waiting)), '')), s.found))"""
+    start = f"named_struct('depth', 0, 'done', false, 'waiting', {none}, 'open', false, 'found', '')"
+    found = f"filter(split(concat(s.found, if(s.open, concat(':', size({pieces})), '')), ','), x -> x <> '')"
+    parted = f"transform({found}, x -> named_struct('first', int(split(x, ':')[0]), 'entries', int(split(x, ':')[1]), 'end', int(split(x, ':')[2])))"
+    # nothing changes once the list is closed and its last link too
+    return f"aggregate({tokens}, {start}, (s, t) -> if(s.done and not s.open, s, {step}), s -> {parted})"
+
+
+def _listed(html: str, list_class: str | None, content_id: str) -> Column:
+    """Entries of a page: array of (content_id, name, href)."""
+    text = f"array_join(transform(slice(pieces, link.first + 1, link.end - link.first), p -> regexp_replace(p, {_text(_TAG)}, '')), '')"
+    held = _attributes(f"regexp_extract(pieces[link.first], {_text(_TAG)}, 0)")
+    written = _bind(held, "held", f"array({_value('held', content_id)}, {text}, {_value('held', 'href')})")
+    read = _bind(f"transform({written}, w -> {_unescape('w')})", "v", "named_struct('content_id', v[0], 'name', v[1], 'href', v[2])")
+    entries = f"flatten(transform({_links_of('pieces', list_class)}, link -> array_repeat({read}, link.entries)))"
+    return F.expr(_bind(_pieces(html), "pieces", entries))
 
 
 def resolve_url(href: Column, base: str) -> Column:
@@ -102,80 +158,6 @@ def resolve_url(href: Column, base: str) -> Column:
     )
 
 
-def _links_of(pieces: Column, list_class: str | None) -> Column:
-    """Entries of the first list (of the class): ``first`` piece of the link, the ``last`` before it ends, and how many entries share it.
-
-    An entry takes its first link, also one that belongs to an entry within it. The fold writes its findings
-    to a string, which grows by copying bytes and not rows.
-    """
-    name = lambda p: F.lower(F.regexp_extract(p, r"(?i)^<(/?(?:ul|li|a))(?=[\s/>])", 1))
-    wanted = F.lit(True) if list_class is None else None
-
-    def opens(p: Column) -> Column:
-        if wanted is not None:
-            return wanted
-        classes = F.split(F.coalesce(_attribute(F.regexp_extract(p, rf"(?is)^{_TAG}", 0), "class"), F.lit("")), r"\s+")
-        return F.array_contains(classes, list_class)
-
-    tokens = F.transform(pieces, lambda p: bind(name(p), lambda n: F.struct(n.alias("n"), F.when(n == "ul", opens(p)).otherwise(False).alias("opens"))))
-    start = F.struct(
-        F.lit(0).alias("at"), F.lit(0).alias("depth"), F.lit(False).alias("done"), F.array().cast("array<int>").alias("waiting"),
-        F.lit(False).alias("open"), F.lit("").alias("found"),
-    )
-
-    def step(s: Column, t: Column) -> Column:
-        n, inside = t["n"], s["depth"] > 0
-        enters = (n == "ul") & ~s["done"] & (inside | t["opens"])
-        leaves = (n == "/ul") & inside
-        depth = s["depth"] + F.when(enters, 1).when(leaves, -1).otherwise(0)
-        outer = F.filter(s["waiting"], lambda level: level < s["depth"])
-        links = (n == "a") & inside & (F.size(s["waiting"]) > 0)
-        waiting = (
-            F.when(inside & (n == "li"), F.concat(outer, F.array(s["depth"])))
-            .when(inside & (n == "/li"), outer)
-            .when(links, F.array().cast("array<int>"))
-            .otherwise(s["waiting"])
-        )
-        closes = s["open"] & (links | (n == "/a"))
-        found = F.concat(
-            s["found"],
-            F.when(closes, F.concat(F.lit(":"), s["at"].cast("string"))).otherwise(""),
-            F.when(links, F.concat(F.lit(","), s["at"].cast("string"), F.lit(":"), F.size(s["waiting"]).cast("string"))).otherwise(""),
-        )
-        return F.struct(
-            (s["at"] + 1).alias("at"), depth.alias("depth"), (s["done"] | (leaves & (s["depth"] == 1))).alias("done"), waiting.alias("waiting"),
-            ((s["open"] & ~closes) | links).alias("open"), found.alias("found"),
-        )
-
-    # nothing in a page is looked at twice: other tags only move the position
-    def moved(s: Column, t: Column) -> Column:
-        plain = (t["n"] == "") | (s["done"] & ~s["open"])
-        return F.when(plain, s.withField("at", s["at"] + 1)).otherwise(step(s, t))
-
-    def parted(s: Column) -> Column:
-        found = F.filter(F.split(F.concat(s["found"], F.when(s["open"], F.concat(F.lit(":"), s["at"].cast("string"))).otherwise("")), ","), lambda x: x != "")
-        numbers = lambda x, i: F.split(x, ":")[i].cast("int")
-        return F.transform(found, lambda x: F.struct(numbers(x, 0).alias("first"), numbers(x, 1).alias("entries"), numbers(x, 2).alias("end")))
-
-    return F.aggregate(tokens, start, moved, parted)
-
-
-def _listed(html: Column, list_class: str | None, content_id: str) -> Column:
-    """Entries of a page: array of (content_id, name, href)."""
-
-    def entries(pieces: Column) -> Column:
-        def entry(link: Column) -> Column:
-            tag = F.regexp_extract(pieces[link["first"]], rf"(?is)^{_TAG}", 0)
-            inside = F.slice(pieces, link["first"] + 1, link["end"] - link["first"])
-            text = F.array_join(F.transform(inside, lambda p: F.regexp_replace(p, rf"(?is)^{_TAG}", "")), "")
-            read = F.struct(_attribute(tag, content_id).alias("content_id"), unescape(text).alias("name"), _attribute(tag, "href").alias("href"))
-            return F.array_repeat(read, link["entries"])
-
-        return F.flatten(F.transform(_links_of(pieces, list_class), entry))
-
-    return bind(_pieces(html), entries)
-
-
 class _ListReader(HTMLParser):
     """First list of the class; the first link of each of its items, nested ones too."""
 
@@ -258,19 +240,21 @@ def page_links(
         raise ValueError("reader must be 'expression' or 'parser'")
     if reader == "parser":
         return _parsed_links(pages, keep, html, list_class, content_id)
-    return pages.select(*keep, F.inline(_listed(F.col(html), list_class, content_id)))
+    return pages.select(*keep, F.inline(_listed(f"`{html}`", list_class, content_id)))
 
 
-def next_page(html: Column, base: str, class_ending: str = NEXT_CLASS_ENDING) -> Column:
-    """Absolute link to the following page; null on the last one."""
-    opening = rf"""<div\s[^>]*?class\s*=\s*["'](?:[^"']*\s)?[^"'\s]*{re.escape(class_ending)}(?:\s[^"']*)?["'][^>]*>"""
-    href = _attribute(F.regexp_extract(html, rf"(?is){opening}.*?(<a\s[^>]*>)", 1), "href")
-    return F.when(F.nullif(href, F.lit("")).isNotNull(), resolve_url(href, base))
+def next_page(html: str, base: str, class_ending: str = NEXT_CLASS_ENDING) -> Column:
+    """Absolute link to the following page, from the column ``html``; null on the last one."""
+    ending = re.escape(class_ending)
+    opening = rf"""<div\s(?=[^>]*{ending})[^>]*?class\s*=\s*["'](?:[^"']*\s)?[^"'\s]*{ending}(?:\s[^"']*)?["'][^>]*>"""
+    anchor = rf"(?is){opening}.*?(<a\s[^>]*>)"
+    href = _bind(_value(_attributes(f"regexp_extract(`{html}`, {_text(anchor)}, 1)"), "href"), "href", _unescape("href"))
+    return bind(F.expr(href), lambda found: F.when(found != "", resolve_url(found, base)))
 
 
 def missing_pages(pages: DataFrame, base: str, url: str = "url", html: str = "html") -> DataFrame:
     """Next-page links whose page was never landed: the crawl is incomplete."""
-    wanted = pages.select(next_page(F.col(html), base).alias("next_url")).filter("next_url is not null").distinct()
+    wanted = pages.select(next_page(html, base).alias("next_url")).filter("next_url is not null").distinct()
     landed = pages.select(F.col(url).alias("next_url"))
     return wanted.join(landed, "next_url", "left_anti")
 

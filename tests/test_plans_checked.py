@@ -13,8 +13,8 @@ from driver_keys.views import Frames
 from rollbook.functions.names import post_topic
 from rollbook.operators import blocking, changes, gates, quality
 from rollbook.operators.fuzzy import nearest_names
-from rollbook.operators.matching import score_candidates, scored_titles, titles_repeat
-from rollbook.operators.validity import any_overlap, carried_over, key_dates, keys_to_cut, point_in_validity
+from rollbook.operators.matching import person_sizes, score_candidates, scored_titles, titles_repeat
+from rollbook.operators.validity import any_overlap, keys_to_cut, point_in_validity
 from rollbook.plans import appointments, pages, people
 from rollbook.session import new_path
 from rollbook.sources import payloads, tables
@@ -57,10 +57,10 @@ def test_hot_key_of_a_chain_is_cut_and_rows_stay(spark):
 def test_keys_to_cut_are_found_by_one_landed_count(spark):
     left = spark.createDataFrame([(1, dt.date(1995, 3, 1))] * 30 + [(2, dt.date(2001, 5, 1))], "k int, at date")
     right = spark.createDataFrame([(1, i, dt.date(1990 + i, 1, 1), dt.date(1991 + i, 1, 1)) for i in range(10)] + [(2, 99, None, None)], "rk int, rid int, s date, e date")
-    dates = key_dates(left, "k", "at")
     links = spark.createDataFrame([(1, 11), (2, 12)], "old int, new int")
     more = spark.createDataFrame([(11, i) for i in range(50)] + [(12, 0)], "x int, y int")
-    first, second, none = keys_to_cut([(dates, right, "rk"), (carried_over(dates, links, "old", "new"), more, "x"), (dates, right.limit(1), "rk")], pair_budget=299)
+    first, second, none, few = keys_to_cut(left, "k", "at", [(right, "rk", None), (more, "x", links), (right.limit(1), "rk", None), (more.filter("x = 12"), "x", links)], pair_budget=299)
+    assert few is None
     assert [r["_hot_key"] for r in first.collect()] == [1] and [r["_hot_key"] for r in second.collect()] == [11] and none is None
     got = point_in_validity(left, right, "k", "rk", "at", "s", "e", cut=first)
     assert rows_of(got) == rows_of(point_in_validity(left, right, "k", "rk", "at", "s", "e", cut=None)) and got.count() == 31
@@ -87,7 +87,7 @@ def test_every_title_pair_is_scored_once(spark):
     core = appointments.core_appointments(f.v_appt, f.v_spell, f.v_person, f.v_repr, f.v_post, f.v_org, MIN_START)
     core = core.withColumnsRenamed({"post_name": "post_name_core"})
     ext = f.v_ext_appt.withColumnsRenamed({"post_name": "post_name_ext"})
-    titles = scored_titles(core, ext, "_core", "_ext")
+    titles = scored_titles(core, ext, "_core", "_ext", person_sizes(core, ext, "_core", "_ext"))
     pairs = core.select("person_id", "post_name_core").join(ext.select("person_id", "post_name_ext"), "person_id")
     plan = titles._jdf.queryExecution().optimizedPlan().toString()
     # what the scorer is handed are the rows of the distinct table under it
@@ -254,7 +254,10 @@ def test_topics(spark):
 def test_titles_repeat_counts_bounds(spark):
     left = spark.createDataFrame([(1, f"t{i % 2}") for i in range(10)], "person_id int, post_name_a string")
     right = spark.createDataFrame([(1, f"t{i}") for i in range(10)], "person_id int, post_name_b string")
-    sizes = [df.groupBy("person_id").agg(F.count(F.lit(1)).alias("rows_per_key"), F.count_distinct(c).alias("titles")) for df, c in ((left, "post_name_a"), (right, "post_name_b"))]
-    assert titles_repeat(left, right, "_a", "_b", sizes) is True
-    assert titles_repeat(right.withColumnRenamed("post_name_b", "post_name_a"), right, "_a", "_b", (sizes[1], sizes[1])) is False
+    sizes = person_sizes(left, right, "_a", "_b")
+    assert (sizes.row_pairs, sizes.title_pairs) == (100.0, 20.0) and titles_repeat(left, right, "_a", "_b", sizes) is True
+    other = right.withColumnRenamed("post_name_b", "post_name_a")
+    assert titles_repeat(other, right, "_a", "_b", person_sizes(other, right, "_a", "_b")) is False
+    none = left.filter("false")
+    assert titles_repeat(none, right, "_a", "_b", person_sizes(none, right, "_a", "_b")) is False
     assert quality.row_counts(a=left, b=right).first().rows_agree

@@ -61,7 +61,7 @@ def test_links_of_a_listing(spark, reader):
 def test_next_pages_and_missing_ones(spark):
     pages = listing(spark)
     base = "https://h.example/"
-    got = {r.page: r.n for r in pages.select("page", links.next_page(F.col("html"), base).alias("n")).collect()}
+    got = {r.page: r.n for r in pages.select("page", links.next_page("html", base).alias("n")).collect()}
     assert got == {1: "https://h.example/government/people?page=2", 2: None, 3: None}
     assert [r.next_url for r in links.missing_pages(pages, base).collect()] == ["https://h.example/government/people?page=2"]
     landed = pages.withColumn("url", F.when(F.col("page") == 2, "https://h.example/government/people?page=2").otherwise(F.col("url")))
