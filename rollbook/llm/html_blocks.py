@@ -30,12 +30,16 @@ _RAW = frozenset("script style textarea title noscript template iframe noframes
 _OUTSIDE = frozenset("nav footer aside form head script style noscript template button fieldset menu dialog iframe select textarea object svg math".split())
 _INSIDE = frozenset("article main".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar toolbar form".split())
-# words of a class or an id that mark what is not content
+# words that mark what is not content, if a class or an id is made of them and of the plain words below
 _MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices alert popup modal overlay "
     "newsletter subscribe subscription sidebar sidebars nav navbar navigation menu menus breadcrumb breadcrumbs footer masthead comment comments reply replies respond "
     "disqus share sharing social related recommended recommendations widget widgets login signup toolbar pagination pager skip".split()
 )
+_PLAIN = frozenset(
+    "area bar block bottom box container content div extra fixed footer global group header inner item items left link links list main outer page panel primary right row "
+    "secondary section sidebar site slot sticky top unit wrap wrapper".split()
+)
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^\"'>]++|\"[^\"]*+\"|'[^']*+')*+)(>?)|<[!?][^>]*>?|</[^>]*>?", re.S)
 _ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
@@ -62,16 +66,23 @@ def _attributes(text: str) -> dict[str, str]:
 
 
 def _not_content(tag: str, attributes: dict[str, str], inside: bool) -> bool:
+    """Whether tag, role or visibility say that an element is not content."""
     if tag in _OUTSIDE or tag == "header" and not inside:
         return True
-    if not attributes:
-        return False
     if "hidden" in attributes or attributes.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", attributes.get("style", ""), re.I):
         return True
-    if attributes.get("role", "").lower() in _ROLES:
-        return True
-    marks = re.split(r"[^A-Za-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", attributes.get("class", "") + " " + attributes.get("id", "")))
-    return tag not in ("html", "body", "article", "main") and not _MARKS.isdisjoint(m.lower() for m in marks)
+    return attributes.get("role", "").lower() in _ROLES
+
+
+def _marked(tag: str, attributes: dict[str, str]) -> bool:
+    """Whether a class or the id, as a whole, names something that is not content: "cookie-notice", but not "has-sidebar"."""
+    if tag in ("html", "body", "article", "main"):
+        return False
+    for name in (*attributes.get("class", "").split(), attributes.get("id", "")):
+        words = {w.lower() for w in re.split(r"[^A-Za-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", name)) if w}
+        if words & _MARKS and words <= _MARKS | _PLAIN:
+            return True
+    return False
 
 
 def blocks(page: str) -> list[Block]:
@@ -79,14 +90,15 @@ def blocks(page: str) -> list[Block]:
     found: list[Block] = []
     parts: list[str] = []
     links: list[str] = []
-    stack: list[tuple[str, bool, bool]] = [("", False, False)]
+    # open elements: tag, inside an article, not content by tag or role, not content by class or id
+    stack: list[tuple[str, bool, bool, bool]] = [("", False, False, False)]
     in_link = 0
 
     def close() -> None:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                found.append(Block(text, len(text.split()), len("".join(links).split()), stack[-1][1], stack[-1][2]))
+                found.append(Block(text, len(text.split()), len("".join(links).split()), stack[-1][1], stack[-1][2] or stack[-1][3]))
             parts.clear()
             links.clear()
 
@@ -149,11 +161,14 @@ def blocks(page: str) -> list[Block]:
         if tag in _VOID or m[3].endswith("/"):
             continue
         attributes = _attributes(m[3])
-        _, inside, outside = stack[-1]
+        _, inside, outside, marked = stack[-1]
         if tag in _BLOCK or attributes:
-            now = (tag, inside or tag in _INSIDE, outside or _not_content(tag, attributes, inside))
-            if tag in _BLOCK and tag not in ("p", "li", "td", "tr", "th", "dd", "dt", "option") or now[2] != outside:
-                if now[2] != outside and tag not in _BLOCK:
+            # an article in a marked wrapper is an article
+            named = tag not in _INSIDE and (marked or _marked(tag, attributes))
+            now = (tag, inside or tag in _INSIDE, outside or _not_content(tag, attributes, inside), named)
+            changed = now[2:] != (outside, marked)
+            if tag in _BLOCK and tag not in ("p", "li", "td", "tr", "th", "dd", "dt", "option") or changed:
+                if changed and tag not in _BLOCK:
                     close()
                 stack.append(now)
     close()

@@ -503,3 +503,17 @@ def test_pipeline_against_plain_stages(spark, texts):
     leaking = {r["doc_id"] for r in decontaminate.leaks(apart, spark.read.parquet(f"{SF}/benchmark.parquet")).collect()}
     assert clean == kept - leaking
     assert {r["doc_id"] for r in corpus_pipeline.run(spark, SF).collect()} == clean
+
+
+def test_wrappers_do_not_hide_articles():
+    tree = html_blocks.trained()
+    body = " ".join(f"word{i}" for i in range(60))
+    page = lambda around, inner="": f"<body><nav><a href=/>home</a></nav>{around}{inner}</body>"
+    for wrapper in ("layout has-sidebar", "no-comments", "widget-area", "page sidebar-left"):
+        assert html_blocks.main_text(page(f"<div class='{wrapper}'><article><p>{body}</p></article></div>"), tree) == body
+    assert html_blocks.main_text(page(f"<div class='no-comments'><main><p>{body}</p></main></div>"), tree) == body
+    related = f"<article><p>{body}</p><p class='related-work'>{body} more</p></article>"
+    assert html_blocks.main_text(page(related), tree) == f"{body}\n\n{body} more"
+    for mark in ("cookie-notice", "ad", "ad-slot", "relatedLinks", "comments", "newsletter_box", "share-bar top"):
+        assert html_blocks.main_text(page(f"<article><p>{body}</p><div class='{mark}'><p>{body}</p></div></article>"), tree) == body
+    assert html_blocks.main_text(page(f"<aside class='x'><article><p>{body}</p></article></aside><article><p>{body} b</p></article>"), tree) == f"{body} b"
