@@ -40,11 +40,13 @@ from pyspark.sql import functions as F
 
 from rollbook.llm.components import components
 from rollbook.llm.sides import broadcast_if_few
-from rollbook.llm.words import as_long, mix, shingles, slices, split_words, spread, texts_of
+from rollbook.llm.words import SMALL_SLICE_BYTES, as_long, mix, shingles, slices, split_words, spread, texts_of
 from rollbook.session import land
 
 TOKENS, SEGMENTS, DELETIONS = 0, 1, 2
 _BANDS = np.uint64(63)
+#: Sets that a task of the index remembers, so as not to write the keys of copies again and again (some megabytes).
+MET = 50_000
 
 
 @dataclass(frozen=True)
@@ -98,7 +100,7 @@ def _measure(allocation: Allocation):
     """Of every text: set size, node, and the units its own band offers without and with deletions."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, most=SMALL_SLICE_BYTES):
             offsets, hashes = shingles(split_words(texts_of(batch), lower=True))
             sizes = np.diff(offsets)
             bands = _band(sizes)
@@ -122,17 +124,19 @@ def _measure(allocation: Allocation):
 
 
 def _index(allocation: Allocation):
-    """(key, node) of every set; a set that the task has met before is left out."""
+    """(key, node) of every set; a set that is among the last ``MET`` ones of the task is left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[int] = set()
-        for batch in slices(batches):
+        for batch in slices(batches, most=SMALL_SLICE_BYTES):
             offsets, hashes = shingles(split_words(texts_of(batch), lower=True))
             nodes = _node_ids(offsets, hashes)
             sizes = np.diff(offsets)
             fresh = np.zeros(len(nodes), bool)
             for i, node in enumerate(nodes.tolist()):
                 if sizes[i] and node not in met:
+                    if len(met) >= MET:
+                        met.clear()
                     met.add(node)
                     fresh[i] = True
             bands = _band(sizes)
@@ -164,7 +168,7 @@ def _index(allocation: Allocation):
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches):
+    for batch in slices(batches, most=SMALL_SLICE_BYTES):
         offsets, hashes = shingles(split_words(texts_of(batch), lower=True))
         values = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), as_long(hashes))
         yield pa.RecordBatch.from_arrays([as_long(_node_ids(offsets, hashes)), values], names=["node", "elements"])

@@ -267,7 +267,7 @@ def _predict(field: Field):
     names = np.array([*field.languages, UNKNOWN], dtype=object)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, most=4 << 20):
+        for batch in slices(batches, most=1 << 20):
             best, share = _labels(field, batch)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(names[best], pa.string()), pa.array(share)], names=["doc_id", "lang_pred", "score"])
 
@@ -276,7 +276,10 @@ def _predict(field: Field):
 
 def _accept(field: Field, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, most=4 << 20):
+        for batch in slices(batches, most=1 << 20):
+            if not field.languages:
+                yield batch.filter(pc.match_substring_regex(texts_of(batch), r"\p{L}"))
+                continue
             best, share = _labels(field, batch)
             yield batch.filter(pa.array((best < len(field.languages)) & (share >= least)))
 
@@ -294,7 +297,10 @@ def identify(docs: DataFrame, field: Field) -> DataFrame:
 
 
 def accepted(docs: DataFrame, field: Field, least: float = LEAST) -> DataFrame:
-    """The rows of which one language has at least that share of the words; all columns stay as they are."""
+    """The rows of which one language has at least that share of the words; all columns stay as they are.
+
+    A field that knows no language rejects only texts without a letter.
+    """
     return docs.mapInArrow(_accept(field, least), docs.schema)
 
 

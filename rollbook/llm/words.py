@@ -17,6 +17,8 @@ import xxhash
 
 #: Bytes of text handled at once inside a task; a longer text is a slice of its own.
 SLICE_BYTES = 8 << 20
+#: The same for operators that hold many numbers a word.
+SMALL_SLICE_BYTES = 2 << 20
 
 _A = np.uint64(0x9E3779B97F4A7C15)
 _B = np.uint64(0xBF58476D1CE4E5B9)

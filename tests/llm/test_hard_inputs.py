@@ -135,6 +135,8 @@ def test_language(docs, none):
     empty = language.field_of(none)
     assert empty.languages == [] and set(by_id(language.identify(docs, empty), "lang_pred")[1]) == {"und"}
     assert language.identify(none, field).count() == 0 and language.accepted(docs, field).columns == docs.columns
+    # nothing learned, nothing to reject but texts without a letter
+    assert sorted(by_id(language.accepted(docs, empty), "text"), key=str) == sorted([1, 2, 6, 7, 9, None], key=str)
 
 
 def test_quality(docs, none, labels):
