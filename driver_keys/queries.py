@@ -477,6 +477,21 @@ def duplicate_rows(f: Frames) -> DataFrame:
     ).select("full_name", "title", "org_title", "role_appointment_id", "started_on", "ended_on")
 
 
+@key(
+    "duplicate_id_rows",
+    """
+select person_id, full_name, title, role_appointment_id, locale, cast(started_on as date) as started_on
+from {v_source_base} b join (select 'en' as locale union all select 'cy' union all select 'en') l on true""",
+)
+def duplicate_id_rows(f: Frames) -> DataFrame:
+    """Rows that share the id of their appointment: here all, as every appointment is listed three times."""
+    once = f.v_source_base.withColumns({"locale": F.lit("single"), "role_appointment_id": F.concat(F.lit("x"), "role_appointment_id")})
+    rows = f.v_source_rows.unionByName(once)
+    return quality.rows_in_duplicate_groups(rows, ["role_appointment_id"], ["role_appointment_id"]).select(
+        "person_id", "full_name", "title", "role_appointment_id", "locale", "started_on"
+    )
+
+
 @key(
     "orphan_org_rows",
     """
@@ -1000,6 +1015,21 @@ def insert_relationships(f: Frames) -> DataFrame:
     return done.unionByName(left_over)
 
 
+@key(
+    "relationship_table",
+    f"""
+select group_name, group_seniority, cast(id as varchar) as id from {{v_post_rel}}
+union all
+select group_name, group_seniority, 'new' from ({ORACLES["insert_relationships"]}) r where n_targets = 1""",
+)
+def relationship_table(f: Frames) -> DataFrame:
+    """The relationships with the new rows, each of which has a hash for its id."""
+    new_posts, _ = changes.resolve_new_posts(posts_to_add(f), f.v_org)
+    rows, _ = changes.resolve_new_relationships(relationships_to_add(f), changes.add_posts(f.v_post, new_posts), f.v_org)
+    table = changes.add_relationships(f.v_post_rel, rows)
+    return table.select("group_name", "group_seniority", F.when(F.length("id") == 64, "new").otherwise(F.col("id")).alias("id"))
+
+
 # the spells that an edit may mean, with the post as it was, and the posts of the new name, both of a term that covers them
 FOUND = f"""{RENAMED},
 lacking as (select wanted.* from (
