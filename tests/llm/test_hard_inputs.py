@@ -1,5 +1,7 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing extra columns, for every operator."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -156,3 +158,15 @@ def test_pipeline_stages_keep_columns(spark, docs, tmp_path):
         assert stage(spark, plain.where("false"), folder).count() == 0
     packed = corpus_pipeline.run(spark, folder)
     assert packed.where("doc_id = 1").count() == 1 and packed.where("doc_id = 2").count() == 0
+
+
+def test_pipeline_removes_what_it_has_read_and_survives_empty_tables(spark, tmp_path, docs):
+    folder, shared = str(tmp_path), spark.conf.get("spark.checkpoint.dir").removeprefix("file://")
+    spark.createDataFrame([(k, PASSAGE + f" {k}", None, "a", 1) for k in range(1, 4)] + [(9, "12 34", None, "a", 1)], SCHEMA).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    before = set(os.listdir(shared))
+    packed = corpus_pipeline.run(spark, folder)
+    # no label, so no language: what has letters stays; the copies but for their last word go in the next stages
+    assert {r["doc_id"] for r in packed.collect()} >= {1} and packed.where("doc_id = 9").count() == 0
+    left = {name.rsplit("-", 1)[0] for name in set(os.listdir(shared)) - before}
+    assert "decontamination" in left and not left & {"language_id", "line_dedup", "ngram_jaccard", "sample-keys", "word-grams", "nodes", "windows"}
