@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rollbook.llm import decontaminate, jaccard_join, language, line_dedup, packing
 from rollbook.llm.queries import read, tokenizer_path
-from rollbook.session import land
+from rollbook.session import new_path, remove, scratch
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -55,8 +55,19 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each but the last is written to the shared folder and read again."""
-    docs = read(spark, sf_dir, "documents")
+    """All stages over ``documents``; each but the last is written to the shared folder and read again.
+
+    What a stage lands on its way is removed when it is written, and the stage itself when the next one is. An
+    empty benchmark drops nothing; without any labelled language, only texts without a letter go in the first stage.
+    """
+    docs, read_from = read(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = land(stage(spark, docs, sf_dir), name)
+        path = new_path(spark, name)
+        with scratch(spark):
+            done = stage(spark, docs, sf_dir)
+            done.write.mode("errorifexists").parquet(path)
+        docs = spark.read.schema(done.schema).parquet(path)
+        if read_from:
+            remove(spark, read_from)
+        read_from = path
     return STAGES[-1][1](spark, docs, sf_dir)
