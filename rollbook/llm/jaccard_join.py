@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from rollbook.llm.components import components
 from rollbook.llm.sides import broadcast_if_few
-from rollbook.llm.words import SMALL_SLICE_BYTES, as_long, mix, shingles, slices, split_words, spread, texts_of
+from rollbook.llm.words import SMALL_SLICE_BYTES, as_long, freeing, mix, shingles, slices, split_words, spread, texts_of
 from rollbook.session import land
 
 TOKENS, SEGMENTS, DELETIONS = 0, 1, 2
@@ -100,7 +100,7 @@ def _measure(allocation: Allocation):
     """Of every text: set size, node, and the units its own band offers without and with deletions."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, most=SMALL_SLICE_BYTES):
+        for batch in slices(freeing(batches), most=SMALL_SLICE_BYTES):
             offsets, hashes = shingles(split_words(texts_of(batch), lower=True))
             sizes = np.diff(offsets)
             bands = _band(sizes)
@@ -128,7 +128,7 @@ def _index(allocation: Allocation):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[int] = set()
-        for batch in slices(batches, most=SMALL_SLICE_BYTES):
+        for batch in slices(freeing(batches), most=SMALL_SLICE_BYTES):
             offsets, hashes = shingles(split_words(texts_of(batch), lower=True))
             nodes = _node_ids(offsets, hashes)
             sizes = np.diff(offsets)
@@ -168,7 +168,7 @@ def _index(allocation: Allocation):
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, most=SMALL_SLICE_BYTES):
+    for batch in slices(freeing(batches), most=SMALL_SLICE_BYTES):
         offsets, hashes = shingles(split_words(texts_of(batch), lower=True))
         values = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), as_long(hashes))
         yield pa.RecordBatch.from_arrays([as_long(_node_ids(offsets, hashes)), values], names=["node", "elements"])

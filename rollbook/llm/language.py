@@ -26,7 +26,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from rollbook.llm.sides import broadcast_if_few
-from rollbook.llm.words import hash_strings, mix, slices, split_words, spread, texts_of
+from rollbook.llm.words import freeing, hash_strings, mix, slices, split_words, spread, texts_of
 from rollbook.session import land
 
 #: Labelled texts per language in the training sample, words of a passage, and sequences made of them.
@@ -267,7 +267,7 @@ def _predict(field: Field):
     names = np.array([*field.languages, UNKNOWN], dtype=object)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, most=1 << 20):
+        for batch in slices(freeing(batches), most=1 << 20):
             best, share = _labels(field, batch)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(names[best], pa.string()), pa.array(share)], names=["doc_id", "lang_pred", "score"])
 
@@ -276,7 +276,7 @@ def _predict(field: Field):
 
 def _accept(field: Field, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, most=1 << 20):
+        for batch in slices(freeing(batches), most=1 << 20):
             if not field.languages:
                 yield batch.filter(pc.match_substring_regex(texts_of(batch), r"\p{L}"))
                 continue

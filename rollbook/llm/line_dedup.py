@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.llm.sides import broadcast_if_few
-from rollbook.llm.words import SMALL_SLICE_BYTES, as_long, hash_strings, mix, slices, split_words, texts_of
+from rollbook.llm.words import SMALL_SLICE_BYTES, as_long, freeing, hash_strings, mix, slices, split_words, texts_of
 from rollbook.session import land
 
 MIN_WORDS = 50
@@ -88,7 +88,7 @@ def window_keys(hashes: np.ndarray, words: np.ndarray, min_words: int) -> tuple[
 
 def _keys_of(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, most=SMALL_SLICE_BYTES):
+        for batch in slices(freeing(batches), most=SMALL_SLICE_BYTES):
             offsets, _, hashes, words = _lines(texts_of(batch))
             found = [np.unique(window_keys(hashes[a:b], words[a:b], min_words)[2]) for a, b in zip(offsets[:-1], offsets[1:])]
             rows = np.repeat(np.arange(len(found)), [len(k) for k in found])
@@ -98,7 +98,7 @@ def _keys_of(min_words: int):
 
 
 def _line_arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, most=SMALL_SLICE_BYTES):
+    for batch in slices(freeing(batches), most=SMALL_SLICE_BYTES):
         offsets, number, hashes, words = _lines(texts_of(batch))
         at = pa.array(offsets.astype(np.int32))
         arrays = [pa.ListArray.from_arrays(at, v) for v in (pa.array(number.astype(np.int32)), as_long(hashes), pa.array(words.astype(np.int32)))]
@@ -239,7 +239,7 @@ def word_windows(texts: pa.Array, min_words: int) -> tuple[list[tuple[int, int]]
 
 def _least_grams_of(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, most=SMALL_SLICE_BYTES):
+        for batch in slices(freeing(batches), most=SMALL_SLICE_BYTES):
             texts = texts_of(batch)
             ranges, least, _ = word_windows(texts, min_words)
             found = []
@@ -259,7 +259,7 @@ def _least_grams_of(min_words: int):
 
 def _windows_of(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, most=SMALL_SLICE_BYTES):
+        for batch in slices(freeing(batches), most=SMALL_SLICE_BYTES):
             ranges, least, keys = word_windows(texts_of(batch), min_words)
             at, shared = [], batch.column("grams")
             for i, (a, b) in enumerate(ranges):

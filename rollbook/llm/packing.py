@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rollbook.llm.words import slices, split_words, texts_of
+from rollbook.llm.words import freeing, slices, split_words, texts_of
 from rollbook.session import land
 
 CAPACITY = 2048
@@ -106,7 +106,7 @@ class Encoder:
 def _pieces(path: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(path)
-        for batch in slices(batches):
+        for batch in slices(freeing(batches)):
             offsets, ids = encoder.texts(texts_of(batch))
             ids = ids.astype("<u4", copy=False)
             row, piece, start, length, crc = [], [], [], [], []

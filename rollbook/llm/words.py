@@ -48,6 +48,15 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
             start = stop
 
 
+def freeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches, with memory that Arrow keeps for later given back after each; a worker lives on for other stages."""
+    pool = pa.default_memory_pool()
+    for batch in batches:
+        yield batch
+        del batch
+        pool.release_unused()
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> pa.Array:
     """The text column as plain strings, null as the empty text."""
     return pc.fill_null(batch.column(column).cast(pa.string()), "")
