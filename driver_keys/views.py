@@ -185,12 +185,15 @@ select p_partkey as id, p_partkey % 23 as k, p_name as topic,
  case when p_partkey % 23 in (10, 17) then 'Maternity leave' end as exp_leave_reason
 from {part}"""
 
-# every title that a rule names, held by everybody and for every organisation that a rule names
+# titles, people and organisations that the rules name, in all their combinations: 52 x 14 x 16 of them, in turn
+_TITLES, _PEOPLE, _OFFICES = all_titles(), all_people(), all_organisations()
+_TURN = "((l.l_orderkey * 8 + l.l_linenumber) - (l.l_orderkey * 8 + l.l_linenumber) % {0}) / {0} % {1}"
 VIEWS["v_rule_rows"] = f"""
-select p.p_partkey * 1000 + t.n as id, t.title as post_name, w.person as person_name, o.name as organisation_name, o.short as organisation_short_name
-from {{part}} p cross join {rows_of([(t,) for t in all_titles()], "title")} t
- join {rows_of([(x,) for x in all_people()], "person")} w on w.n = p.p_partkey % {len(all_people())}
- join {rows_of(all_organisations(), "name", "short")} o on o.n = (p.p_partkey - p.p_partkey % {len(all_people())}) / {len(all_people())} % {len(all_organisations())}"""
+select l.l_orderkey * 8 + l.l_linenumber as id, t.title as post_name, w.person as person_name, o.name as organisation_name, o.short as organisation_short_name
+from {{lineitem}} l
+ join {rows_of([(t,) for t in _TITLES], "title")} t on t.n = (l.l_orderkey * 8 + l.l_linenumber) % {len(_TITLES)}
+ join {rows_of([(x,) for x in _PEOPLE], "person")} w on w.n = {_TURN.format(len(_TITLES), len(_PEOPLE))}
+ join {rows_of(_OFFICES, "name", "short")} o on o.n = {_TURN.format(len(_TITLES) * len(_PEOPLE), len(_OFFICES))}"""
 
 VIEWS["v_titled_names"] = """
 select c_custkey as id, case when c_custkey % 2 = 0 then concat('The Rt Hon ', c_name, ' MP') else concat('Baroness ', c_name) end as name,
