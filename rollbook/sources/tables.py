@@ -124,10 +124,16 @@ def write_script(statements: DataFrame, path: str, prologue: str, order: list[st
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """(line, value) of a written text, numbered from 1 in the order it was written.
 
-    A writer's files are named in that order; each is one value here, so it has to fit in a task.
+    A writer's files are named in that order; a large one is read in several pieces. Within a task ``_at`` rises by one a
+    line and a piece is read in one go, so a line's number is its place in its piece plus the lines of all pieces before. The lines are
+    landed, which fixes the pieces.
     """
-    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.split("value", "\n").alias("lines"))
-    files = files.select("file", F.when(F.element_at("lines", -1) == "", F.slice("lines", 1, F.size("lines") - 1)).otherwise(F.col("lines")).alias("lines"))
-    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = files.select("file", F.size("lines").alias("n")).select("file", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    return files.join(sizes, "file").select("before", F.posexplode("lines").alias("at", "value")).select((F.col("before") + F.col("at") + 1).alias("line"), "value")
+    lines = spark.read.text(path, lineSep="\n").select(
+        F.col("_metadata.file_name").alias("_file"), F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_at"), "value"
+    )
+    lines = land(lines, "lines-read")
+    piece = ["_file", "_start"]
+    earlier = Window.orderBy(*piece).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = lines.groupBy(*piece).agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    sizes = sizes.select(*piece, "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    return lines.join(sizes, piece).select((F.col("_before") + F.col("_at") - F.col("_first") + 1).alias("line"), "value")

@@ -181,6 +181,26 @@ def test_script_has_prologue_first(spark):
     assert [r.value for r in spark.read.text(path).coalesce(1).collect()] == ["set noexec on", "one;", "two;"]
 
 
+def test_lines_are_numbered_without_a_file_in_one_value(spark, monkeypatch):
+    held = []
+    monkeypatch.setattr(tables, "land", lambda df, name: held.append(df) or land(df, name), raising=False)
+    path = new_path(spark, "lines")
+    wanted = [f"line {i}\r{'x' * (i % 7)}" if i % 5 else "" for i in range(3000)]
+    frame = spark.createDataFrame(list(enumerate(wanted)), "i int, value string")
+    frame.repartitionByRange(3, "i").sortWithinPartitions("i").select("value").write.text(path)
+    small = {"spark.sql.files.maxPartitionBytes": "2048", "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        got = tables.read_lines(spark, path).orderBy("line").collect()
+        assert [tuple(r) for r in got] == list(enumerate(wanted, 1))
+        assert held and held[0].rdd.getNumPartitions() > 3 and held[0].agg(F.max(F.length("value"))).first()[0] == max(map(len, wanted))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_contracts(spark):
     df = spark.createDataFrame([("AB-C", 1, "s", "extra")], "id string, name int, slug string, other string")
     assert tuple(cast_to_contract(lower_ids(df, "id"), PEOPLE_STRINGS).first()) == ("ab-c", "1", "s")
