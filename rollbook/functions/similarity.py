@@ -20,7 +20,7 @@ _LANES = 4096  # pairs advanced together; their mask table stays in cache
 _TABLE_CELLS = 1 << 22  # largest mask table, in 64-bit words
 
 
-class _Strings:
+class Strings:
     """Distinct strings as one row of characters, coded by the alphabet they use."""
 
     def __init__(self, strings: list[str]):
@@ -54,7 +54,7 @@ def _add(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return total
 
 
-def _lcs_lanes(strings: _Strings, patterns: np.ndarray, texts: np.ndarray, words: int) -> np.ndarray:
+def _lcs_lanes(strings: Strings, patterns: np.ndarray, texts: np.ndarray, words: int) -> np.ndarray:
     """LCS of each pattern, of at most ``words`` words and more than one word less, with the text beside it."""
     out = np.zeros(len(patterns), dtype=np.int64)
     step = max(1, min(_LANES // words, _TABLE_CELLS // (strings.width * words)))
@@ -83,6 +83,20 @@ def _lcs_lanes(strings: _Strings, patterns: np.ndarray, texts: np.ndarray, words
     return out
 
 
+def pair_ratios(strings: Strings, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Ratio 0..100 of the strings numbered ``a`` and ``b``, pair by pair."""
+    swap = strings.lengths[a] > strings.lengths[b]
+    shorter, longer = np.where(swap, b, a), np.where(swap, a, b)
+    words = -(-strings.lengths[shorter] // _WORD)
+    common = np.zeros(len(a), dtype=np.int64)
+    for count in np.unique(words[words > 0]):
+        here = np.flatnonzero(words == count)
+        common[here] = _lcs_lanes(strings, shorter[here], longer[here], int(count))
+    total = strings.lengths[a] + strings.lengths[b]
+    distance = total - 2 * common
+    return np.where(total == 0, 1.0, 1.0 - distance / np.maximum(total, 1)) * 100.0
+
+
 def indel_ratios(left: pa.Array, right: pa.Array) -> np.ndarray:
     """Ratio of each pair of two aligned string arrays; NaN where either is null. A pair repeated is scored once."""
     both = pa.concat_arrays([left.cast(pa.large_string()), right.cast(pa.large_string())]).dictionary_encode()
@@ -92,19 +106,10 @@ def indel_ratios(left: pa.Array, right: pa.Array) -> np.ndarray:
     present = (first >= 0) & (second >= 0)
     if not present.any():
         return ratios
-    strings = _Strings(both.dictionary.to_pylist())
+    strings = Strings(both.dictionary.to_pylist())
     pairs, inverse = np.unique(first[present] * len(strings.lengths) + second[present], return_inverse=True)
     a, b = pairs // len(strings.lengths), pairs % len(strings.lengths)
-    swap = strings.lengths[a] > strings.lengths[b]
-    shorter, longer = np.where(swap, b, a), np.where(swap, a, b)
-    words = -(-strings.lengths[shorter] // _WORD)
-    common = np.zeros(len(pairs), dtype=np.int64)
-    for count in np.unique(words[words > 0]):
-        here = np.flatnonzero(words == count)
-        common[here] = _lcs_lanes(strings, shorter[here], longer[here], int(count))
-    total = strings.lengths[a] + strings.lengths[b]
-    distance = total - 2 * common
-    scored = np.where(total == 0, 1.0, 1.0 - distance / np.maximum(total, 1)) * 100.0
+    scored = pair_ratios(strings, a, b)
     ratios[present] = scored[inverse]
     return ratios
 

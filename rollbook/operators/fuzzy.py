@@ -17,6 +17,11 @@ al. 2006, Xiao et al. 2008).
 Long grams are selective but need a high s; single characters work for any s.
 Each left name uses the length with the fewest index rows to visit. A name with
 no near match gets a long prefix and pays for it; nothing is capped.
+
+The index pays where grams are rare. Where many names share their grams it visits
+a good part of all pairs, and an index row visited costs far more than a bound on
+one pair in a block of names (``grid``). So up to ``GRID_PAIRS`` pairs all blocks
+are met with all; the result is the same.
 """
 
 from __future__ import annotations
@@ -25,12 +30,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollbook.functions.similarity import indel_ratio
+from rollbook.operators.grid import LEFT_BLOCK, RIGHT_BLOCK, nearest_by_grid
 from rollbook.operators.skew import PAIR_BUDGET, fan_out, key_sizes, spread_join
 from rollbook.session import land
 
 _START, _END = "\u0001", "\u0002"
 _SLACK = 1e-9
 GRAM_SIZES = (1, 2, 3, 5)
+GRID_PAIRS = 200_000_000_000  # some thousand CPU seconds
 
 
 def _grams(names: DataFrame, name: str) -> DataFrame:
@@ -94,34 +101,8 @@ def _scored(pairs: DataFrame) -> DataFrame:
     )
 
 
-def nearest_names(
-    left: DataFrame,
-    right: DataFrame,
-    left_name: str,
-    right_name: str,
-    limit: int = 1,
-    score_cutoff: float = 0.0,
-    probe_rows: int = 64,
-    pair_budget: int = PAIR_BUDGET,
-) -> DataFrame:
-    """(left_name, right_name, score): the ``limit`` best distinct right names.
-
-    ``score_cutoff`` (0..100) drops weaker matches; at 0 every left name gets
-    ``limit`` of them, as long as there are that many right names.
-    ``probe_rows`` (index rows looked at per name) steers only step 2, never the
-    result.
-    """
-    lefts = left.select(F.col(left_name).alias("left_name")).filter("left_name is not null").distinct()
-    rights = right.select(F.col(right_name).alias("right_name")).filter("right_name is not null").distinct()
-
-    equal = lefts.join(rights, F.col("left_name") == F.col("right_name"), "left_semi").select(
-        "left_name", F.col("left_name").alias("right_name"), F.lit(100.0).alias("score")
-    )
-    if limit == 1:
-        open_names = lefts.join(rights, F.col("left_name") == F.col("right_name"), "left_anti")
-    else:
-        open_names = lefts
-
+def _by_grams(open_names: DataFrame, rights: DataFrame, limit: int, score_cutoff: float, probe_rows: int, pair_budget: int) -> DataFrame:
+    """(left_name, right_name) of all pairs that can be among the ``limit`` best, by prefixes of grams."""
     gram = ["q", "gram", "nth"]
     right_grams = land(_grams(fan_out(rights, "right_name"), "right_name").withColumnRenamed("size", "right_size"), "right-grams")
     frequency = key_sizes(right_grams, gram)
@@ -189,28 +170,68 @@ def nearest_names(
     )
     total = F.col("left_size") + F.col("right_size")
     possible = F.col("seen") + F.col("needed") - 1
-    candidates = shared.filter(
+    return shared.filter(
         possible >= _shared_at_least(F.col("s"), total, F.col("q")) - _SLACK
     )
-    found = _scored(candidates)
+
+
+def nearest_names(
+    left: DataFrame,
+    right: DataFrame,
+    left_name: str,
+    right_name: str,
+    limit: int = 1,
+    score_cutoff: float = 0.0,
+    probe_rows: int = 64,
+    pair_budget: int = PAIR_BUDGET,
+    grid_pairs: int = GRID_PAIRS,
+    blocks: tuple[int, int] = (LEFT_BLOCK, RIGHT_BLOCK),
+) -> DataFrame:
+    """(left_name, right_name, score): the ``limit`` best distinct right names.
+
+    ``score_cutoff`` (0..100) drops weaker matches; at 0 every left name gets
+    ``limit`` of them, as long as there are that many right names. Up to ``grid_pairs``
+    pairs of names blocks (of as many left and right names as ``blocks`` says) are compared as wholes, beyond by an index of grams;
+    ``probe_rows`` (index rows looked at per name) steers only its step 2. None of them changes the
+    result. The function starts jobs.
+    """
+    lefts = land(left.select(F.col(left_name).alias("left_name")).filter("left_name is not null").distinct(), "left-names")
+    rights = land(right.select(F.col(right_name).alias("right_name")).filter("right_name is not null").distinct(), "right-names")
+
+    equal = lefts.join(rights, F.col("left_name") == F.col("right_name"), "left_semi").select(
+        "left_name", F.col("left_name").alias("right_name"), F.lit(100.0).alias("score")
+    )
     if limit == 1:
-        found = found.unionByName(equal)
-    found = found.filter(F.col("score") >= score_cutoff)
-
-    if score_cutoff <= 0:
-        # names sharing no character with enough right names: similarity 0 to
-        # the rest, so the smallest names fill up; at most 2 * limit of them
-        # can be needed
-        filler = (
-            rights.orderBy("right_name").limit(2 * limit).agg(F.collect_list("right_name").alias("fill")).scalar()
-        )
-        filled = found.groupBy("left_name").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= limit)
-        short = lefts.join(filled, "left_name", "left_anti")
-        padding = short.withColumn("fill", filler).select("left_name", F.explode("fill").alias("right_name"))
+        open_names = lefts.join(rights, F.col("left_name") == F.col("right_name"), "left_anti")
+    else:
+        open_names = lefts
+
+    n_lefts, n_rights = lefts.count(), rights.count()
+    if n_lefts * n_rights <= grid_pairs:
+        found = nearest_by_grid(open_names, rights, n_lefts, n_rights, limit, score_cutoff, *blocks)
+    else:
+        found = _scored(_by_grams(open_names, rights, limit, score_cutoff, probe_rows, pair_budget))
         if limit > 1:
-            padding = padding.join(found, ["left_name", "right_name"], "left_anti")
-        found = found.unionByName(_scored(padding))
-    return best_matches(found, limit)
+            # two empty names are equal, but have no gram that says so
+            found = found.filter("left_name <> '' or right_name <> ''").unionByName(equal.filter("left_name = ''"))
+    if limit == 1:
+        found = found.unionByName(equal)
+    best = best_matches(found.filter(F.col("score") >= score_cutoff), limit)
+    if score_cutoff > 0:
+        return best
+    # names sharing no character with enough right names: similarity 0 to
+    # the rest, so the smallest names fill up; at most 2 * limit of them
+    # can be needed
+    best = land(best, "best-names")
+    filler = (
+        rights.orderBy("right_name").limit(2 * limit).agg(F.collect_list("right_name").alias("fill")).scalar()
+    )
+    filled = best.groupBy("left_name").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= limit)
+    short = lefts.join(filled, "left_name", "left_anti")
+    padding = short.withColumn("fill", filler).select("left_name", F.explode("fill").alias("right_name"))
+    if limit > 1:
+        padding = padding.join(best, ["left_name", "right_name"], "left_anti")
+    return best_matches(best.unionByName(_scored(padding)), limit)
 
 
 def fuzzy_merge(

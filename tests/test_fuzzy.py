@@ -1,7 +1,10 @@
 import random
 
+import numpy as np
 import pytest
 
+from rollbook.operators import blocking, fuzzy
+from rollbook.operators.grid import nearest_in_cell
 from rollbook.operators.fuzzy import fuzzy_merge, nearest_names
 from rollbook.operators.ranking import rank_within
 from rollbook.plans.people import match_people
@@ -55,6 +58,48 @@ def test_equals_brute_force(spark, case, limit, cutoff):
     assert got == brute_force(lefts, rights, limit, cutoff)
 
 
+@pytest.mark.parametrize("case,limit,cutoff", [(case, 1, 0.0) for case in CASES] + [("copies", 3, 0.0), ("unicode", 3, 0.0), ("disjoint", 3, 0.0), ("hot grams", 2, 60.0)])
+def test_grid_of_small_blocks_and_gram_index_are_both_exact(spark, case, limit, cutoff):
+    lefts, rights = CASES[case](random.Random(6))
+    left, right = frames(spark, lefts, rights)
+    wanted = brute_force(lefts, rights, limit, cutoff)
+    for options in ({"blocks": (7, 11)}, {"grid_pairs": 0, "probe_rows": 5, "pair_budget": 50}):
+        found = nearest_names(left, right, "name", "name", limit, cutoff, **options)
+        assert {(r.left_name, r.right_name, round(r.score, 9)) for r in found.collect()} == wanted
+
+
+@pytest.mark.parametrize("limit,cutoff", [(1, 0.0), (3, 0.0), (2, 55.0)])
+def test_cell_with_and_without_keys(limit, cutoff):
+    rnd = random.Random(8)
+    lefts, rights = (sorted(set(names(rnd, count, "abcé漢 ", 0, 90))) + [""] for count in (50, 70))
+    lefts, rights = list(dict.fromkeys(lefts)), list(dict.fromkeys(rights))
+    keys = tuple(np.array([[rnd.randrange(9) for _ in range(3)] for _ in side]) for side in (lefts, rights))
+    for held in (None, keys):
+        wanted = set()
+        for i, x in enumerate(lefts):
+            scored = sorted((-ratio(x, y), y, j) for j, y in enumerate(rights) if held is None or (keys[0][i] == keys[1][j]).any())
+            wanted |= {(i, j, round(-s, 9)) for s, _, j in scored[:limit] if -s > 0 and -s >= cutoff}
+        a, b, score = nearest_in_cell(lefts, rights, limit, cutoff, held)
+        assert {(i, j, round(s, 9)) for i, j, s in zip(a.tolist(), b.tolist(), score.tolist())} == wanted
+
+
+def test_work_on_names_that_share_grams_is_bounded(spark, monkeypatch):
+    """Names of few words and a number: no join of grams, and no join of wide bands, whose rows outnumber the pairs of names."""
+    monkeypatch.setattr(fuzzy, "_by_grams", None)
+    monkeypatch.setattr(blocking, "spread_join", None)
+    words = [f"{a} {b}" for a in ("old", "cold", "large", "hot") for b in ("ring", "bolt", "gear")]
+    lefts, rights = [f"{words[i % 12]} {i}" for i in range(300)], [f"{words[i * 7 % 12]} {i}" for i in range(0, 90, 3)]
+    left, right = frames(spark, lefts, rights)
+    wanted = brute_force(lefts, rights, 1)
+    assert {(r.left_name, r.right_name, round(r.score, 9)) for r in nearest_names(left, right, "name", "name").collect()} == wanted
+    found = blocking.blocked_names(left, right, "name", "name", bands=96, rows=1).collect()
+    keyed = {"left": lefts, "right": rights}
+    held = {k: {r[0]: r[1] for r in df.select("name", blocking.band_keys(F.col("name"), bands=96, rows=1)).collect()} for k, df in (("left", left), ("right", right))}
+    sharing = {a: [b for b in keyed["right"] if any(x == y for x, y in zip(held["left"][a], held["right"][b]))] for a in keyed["left"]}
+    best = {a: min((-ratio(a, b), b) for b in bs) for a, bs in sharing.items() if bs}
+    assert {(r.left_name, r.right_name, round(r.score, 9)) for r in found} == {(a, b, round(-s, 9)) for a, (s, b) in best.items()}
+
+
 def test_every_left_row_gets_a_match_and_ranks_within_the_person(spark):
     people = spark.createDataFrame([(1, "Ann Lee"), (1, "Ann Leigh"), (2, "Bob"), (3, "Qqq")], "id int, name string")
     listed = spark.createDataFrame(
