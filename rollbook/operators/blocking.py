@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from rollbook.functions.similarity import indel_ratio
 from rollbook.functions.text import bind
 from rollbook.operators.fuzzy import best_matches, nearest_names
-from rollbook.operators.skew import PAIR_BUDGET, spread_join
+from rollbook.operators.grid import nearest_by_grid
+from rollbook.operators.skew import PAIR_BUDGET, key_sizes, spread_join
 from rollbook.session import land
 
 GRAM, BANDS, ROWS = 2, 24, 2
@@ -43,12 +44,19 @@ def blocked_names(
 
     A left name that shares a band with no right name is missing; one whose best match shares none gets a lesser one.
     """
-    def banded(df: DataFrame, name: str, called: str) -> DataFrame:
-        names = df.select(F.col(name).alias(called)).filter(F.col(called).isNotNull()).distinct()
-        return names.select(called, F.explode(band_keys(F.col(called), gram, bands, rows)).alias("_band")).distinct()
-
-    lefts, rights = banded(left, left_name, "left_name"), land(banded(right, right_name, "right_name"), "bands")
-    pairs = spread_join(land(lefts, "bands"), rights, ["_band"], pair_budget).select("left_name", "right_name").distinct()
+    def names(df: DataFrame, name: str, called: str) -> DataFrame:
+        named = df.select(F.col(name).alias(called)).filter(F.col(called).isNotNull()).distinct()
+        return land(named.select(called, band_keys(F.col(called), gram, bands, rows).alias("keys")), "bands")
+
+    lefts, rights = names(left, left_name, "left_name"), names(right, right_name, "right_name")
+    banded = [df.select(called, F.explode("keys").alias("_band")).distinct() for df, called in ((lefts, "left_name"), (rights, "right_name"))]
+    sizes = [key_sizes(df, ["_band"], name) for df, name in zip(banded, ("n", "m"))]
+    work = sizes[0].join(sizes[1], "_band").agg(F.sum(F.col("n").cast("double") * F.col("m"))).first()[0] or 0.0
+    n_lefts, n_rights = lefts.count(), rights.count()
+    if work > n_lefts * n_rights:
+        # bands so wide that their pairs, repeats included, are more than all pairs there are
+        return best_matches(nearest_by_grid(lefts, rights, n_lefts, n_rights, limit, score_cutoff), limit)
+    pairs = spread_join(*banded, ["_band"], pair_budget, work=work).select("left_name", "right_name").distinct()
     scored = pairs.select("left_name", "right_name", indel_ratio(F.col("left_name"), F.col("right_name")).alias("score"))
     return best_matches(scored.filter(F.col("score") >= score_cutoff), limit)
 
