@@ -19,15 +19,16 @@ dearest keys, are left out first. No partner is lost by it.
 
 Groups. Equal sets are one node. Nodes that share a key are first compared with
 the one of them that shares most, then only pairs that these links leave in
-different components; of two that differ from the same node, sizes of what each has
-added and lacks tell most often that they cannot be similar, unless they have added
-the same. So a group of near copies costs comparisons in proportion to its size.
+different components, and of these only pairs whose rarest elements allow a link
+(prefix and positional filter). So a group of near copies costs comparisons in
+proportion to its size, also where no text of the group is like most others.
 Every candidate is verified on the sets themselves. Sets and elements are known
 by 64-bit hashes: of n different sets two fall together with probability n^2/2^65.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -186,6 +187,37 @@ def _linked(percent: int):
     return F.lit(100) * F.col("common") >= F.lit(percent) * (F.col("n_a") + F.col("n_b") - F.col("common"))
 
 
+def _apart_pairs(nodes: DataFrame, elements: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``(a, b)`` of different ``root``, one of them ``outer``, that may be linked; ``nodes`` is ``(node, n, root, outer)``.
+
+    Prefix and positional filter. All elements have one order: those of a single root first, which no pair asked for
+    shares, then by the number of nodes that have them. At the first element that two sets share, what follows must
+    suffice for the overlap a link needs. So the members of a group of near copies, whose own elements come first,
+    do not meet by what the whole group has.
+    """
+    spelled = land(nodes.join(elements, "node").select("node", "n", "root", "outer", F.explode("elements").alias("element")), "spelled")
+    counts = spelled.groupBy("element").agg(F.count("*").alias("holders"), F.min("root").alias("low"), F.max("root").alias("high"), F.max("outer").alias("any")).where("low <> high and any").select("element", "holders")
+    here = W.partitionBy("node")
+    ranked = spelled.join(counts, "element").withColumn("at", F.col("n") - F.count("*").over(here) + F.row_number().over(here.orderBy("holders", "element")))
+    # elements from here on, this one included; the larger set of a pair needs percent of its size, the smaller one more
+    ranked = ranked.withColumn("after", F.col("n") - F.col("at") + 1).where(F.lit(100) * F.col("after") >= F.lit(percent) * F.col("n"))
+    ranked = land(ranked.select("node", "n", "root", "outer", "element", "after"), "prefixes")
+
+    def step(size):
+        return F.floor(F.log(size) / F.lit(math.log(1.1))).cast("int")
+
+    most = F.least("n", F.floor(F.col("after") * (100 + percent) / F.lit(percent)) - F.col("n"))
+    larger = ranked.withColumn("step", F.explode(F.sequence(step(F.ceil(F.col("n") * percent / F.lit(100))), step(most))))
+    smaller = ranked.where(F.col("after") * (100 + percent) >= F.lit(2 * percent) * F.col("n"))
+    smaller = smaller.select("element", step(F.col("n")).alias("step"), F.col("node").alias("other"), F.col("n").alias("m"), F.col("root").alias("root2"), F.col("outer").alias("outer2"), F.col("after").alias("after2"))
+    order = (F.col("m") < F.col("n")) | ((F.col("m") == F.col("n")) & (F.col("other") < F.col("node")))
+    enough = F.least("after", "after2") * (100 + percent) >= F.lit(percent) * (F.col("n") + F.col("m"))
+    may = (F.col("root") != F.col("root2")) & order & enough
+    met = larger.where("outer").join(smaller, ["element", "step"]).where(may)
+    met = met.unionByName(larger.where("not outer").join(smaller.where("outer2"), ["element", "step"]).where(may))
+    return met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+
+
 def shingle_classes(docs: DataFrame, percent: int = 80, spare: float = 2.0) -> DataFrame:
     """Classes of documents linked by shingle similarity, chains included.
 
@@ -251,39 +283,17 @@ def shingle_classes(docs: DataFrame, percent: int = 80, spare: float = 2.0) -> D
 
     # first against the node of the key that shares most with others: the text that the rest of a group was copied from
     close = F.lit(100) * F.least("n", "m") >= F.lit(percent) * F.greatest("n", "m")
-    pair = (F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
-    weights = land(live.groupBy("node").agg(F.sum("freq").alias("weight")), "weights")
+    weights = live.groupBy("node").agg(F.sum("freq").alias("weight"))
     weighted = land(live.join(weights, "node"), "weighted")
     centre = weighted.groupBy("key").agg(F.max(F.struct("weight", "node", "n")).alias("c")).select("key", F.col("c.node").alias("other"), F.col("c.n").alias("m"))
-    star = live.join(centre, "key").where((F.col("node") != F.col("other")) & close).select("node", "other").distinct()
-    met = land(_measured(star.select(F.col("node").alias("a"), F.col("other").alias("b")), elements), "met")
-    first = met.where(_linked(percent)).select("a", "b")
-    # a set's anchor: of the nodes that have half of it, the one that shares most with all; so a group has one anchor
-    half = 2 * F.col("common") >= F.col("n_a")
-    order = F.struct(F.when(half, F.col("weight")).alias("weight"), "common", F.col("b").alias("anchor"), (F.col("n_a") - F.col("common")).alias("added"), (F.col("n_b") - F.col("common")).alias("lacking"))
-    best = met.join(weights.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.max(order).alias("best"))
-    anchors = best.select(F.col("a").alias("node"), "best.anchor", "best.added", "best.lacking")
-
-    # then pairs in different components. Two sets that differ from the same anchor by other added elements differ at
-    # least by all that they have added and by the difference of what they lack, so most need no look at each other
-    roots = components(first)
-    placed = live.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = placed.withColumn("low", F.min("root").over(by_key)).withColumn("high", F.max("root").over(by_key)).where("low <> high")
-    counts = mixed.withColumn("here", F.count("*").over(W.partitionBy("key", "root")))
-    main = counts.withColumn("main", F.max(F.struct("here", "root")).over(by_key)).withColumn("outer", F.col("root") != F.col("main.root"))
-    mixed = land(main.join(anchors, "node", "left").select("key", "node", "n", "looks", "root", "outer", F.coalesce("anchor", "node").alias("anchor"), F.coalesce("added", F.lit(0)).alias("added"), F.coalesce("lacking", F.lit(0)).alias("lacking")), "mixed")
-    every = mixed.select("key", *(F.col(c).alias(f"{c}2") for c in ("looks", "root", "anchor", "added", "lacking")), F.col("node").alias("other"), F.col("n").alias("m"))
-    least_apart = F.col("added") + F.col("added2") + F.abs(F.col("lacking") - F.col("lacking2"))
-    may = (F.col("anchor") != F.col("anchor2")) | (least_apart * (100 + percent) <= (F.col("n") + F.col("m")) * (100 - percent))
-    apart = F.col("root") != F.col("root2")
-    by_keys = mixed.where("outer").join(every, "key").where(apart & (F.col("looks") | F.col("looks2")) & close & may).select(*pair)
-
-    nodes_left = mixed.groupBy("node", "n", "root", "anchor").agg(F.max("outer").alias("outer"))
-    own, base = elements.select("node", "elements"), elements.select(F.col("node").alias("anchor"), F.col("elements").alias("base"))
-    added = land(nodes_left.where("node <> anchor").join(own, "node").join(base, "anchor").select("anchor", "node", "n", "root", "outer", F.explode(F.array_except("elements", "base")).alias("element")), "added")
-    others = added.select("anchor", "element", F.col("root").alias("root2"), F.col("node").alias("other"), F.col("n").alias("m"))
-    by_added = added.where("outer").join(others, ["anchor", "element"]).where(apart & close).select(*pair)
-    rest = _measured(by_keys.unionByName(by_added).distinct(), elements).where(_linked(percent)).select("a", "b")
+    star = live.join(centre, "key").where((F.col("node") != F.col("other")) & close).select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+    first = land(_measured(star, elements).where(_linked(percent)).select("a", "b"), "first-links")
+
+    # then pairs in different components that share a key; one of the two is not in the component that most of the key's nodes are in
+    placed = land(live.join(components(first), "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root")), "placed")
+    main = placed.groupBy("key", "root").agg(F.count("*").alias("here")).groupBy("key").agg(F.max(F.struct("here", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1")
+    mixed = placed.join(main, "key").groupBy("node", "n", "root").agg(F.max(F.col("root") != F.col("main.root")).alias("outer"))
+    rest = _measured(_apart_pairs(land(mixed, "mixed"), elements, percent), elements).where(_linked(percent)).select("a", "b")
     links = land(first.unionByName(rest), "all-links")
 
     classes = components(links)
