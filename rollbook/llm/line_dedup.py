@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.llm.sides import broadcast_if_few
+from rollbook.llm.sides import FEW_ROWS, broadcast_if_few
 from rollbook.llm.words import SMALL_SLICE_BYTES, as_long, freeing, hash_strings, mix, slices, split_words, texts_of
 from rollbook.session import land
 
@@ -219,8 +219,8 @@ def _least(values: np.ndarray, size: int) -> np.ndarray:
     return values
 
 
-def word_windows(texts: pa.Array, min_words: int) -> tuple[list[tuple[int, int]], np.ndarray, np.ndarray]:
-    """Windows of ``min_words`` words: (their range per text, key of their least gram, key of all their words)."""
+def word_windows(texts: pa.Array, min_words: int, whole: bool = True) -> tuple[list[tuple[int, int]], np.ndarray, np.ndarray]:
+    """Windows of ``min_words`` words: (their range per text, key of their least gram, key of all their words; none if not ``whole``)."""
     words = split_words(texts)
     n = len(words.codes)
     ranges = [(int(a), max(int(a), int(b) - min_words + 1)) for a, b in zip(words.offsets[:-1], words.offsets[1:])]
@@ -234,17 +234,21 @@ def word_windows(texts: pa.Array, min_words: int) -> tuple[list[tuple[int, int]]
         return mix((sums[size:] - sums[:-size]) * back[: n - size + 1])
 
     size = (min_words + 1) // 2
-    return ranges, _least(grams(size), min_words - size + 1), grams(min_words)
+    return ranges, _least(grams(size), min_words - size + 1), grams(min_words) if whole else np.zeros(0, np.uint64)
 
 
 def _least_grams_of(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(freeing(batches), most=SMALL_SLICE_BYTES):
             texts = texts_of(batch)
-            ranges, least, _ = word_windows(texts, min_words)
+            ranges, least, _ = word_windows(texts, min_words, whole=False)
+            fresh = np.ones(len(least), bool)
+            fresh[1:] = least[1:] != least[:-1]
+            fresh[[a for a, b in ranges if a < b]] = True
             found = []
             for i, ((a, b), spans) in enumerate(zip(ranges, batch.column("spans"))):
-                asked = np.ones(b - a, bool)
+                # neighbours mostly have the same least gram
+                asked = np.ones(b - a, bool) if spans.is_valid else fresh[a:b]
                 if b > a and spans.is_valid:
                     before = np.cumsum([0, *(len(_WORD.findall(x)) for x in texts[i].as_py().split("\n"))])
                     for s in spans.as_py():
@@ -273,6 +277,12 @@ def _windows_of(min_words: int):
     return run
 
 
+def _few_ids(side: DataFrame, name: str) -> DataFrame | None:
+    """The ids of a side for broadcast, unless they are many: by them, texts without a partner there are not shuffled."""
+    ids = land(side.select("doc_id").distinct(), name)
+    return F.broadcast(ids) if ids.count() <= FEW_ROWS else None
+
+
 def repeated_windows(docs: DataFrame, spans: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``doc_id``, ``print`` and ``starts`` (words, from 0) of the windows of ``min_words`` words that a document of a smaller id has.
 
@@ -283,7 +293,9 @@ def repeated_windows(docs: DataFrame, spans: DataFrame, min_words: int = MIN_WOR
     grams = land(marked.select("doc_id", "text", "spans").mapInArrow(_least_grams_of(min_words), "doc_id long, gram long"), "word-grams")
     shared = land(grams.groupBy("gram").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("gram"), "word-shared")
     asked = land(grams.join(broadcast_if_few(shared), "gram").groupBy("doc_id").agg(F.collect_set("gram").alias("grams")), "word-asked")
-    windows = texts.join(broadcast_if_few(asked, weight="size(grams)"), "doc_id").select("doc_id", "print", "text", "grams")
+    ids = _few_ids(asked, "word-ids")
+    wanted = texts if ids is None else texts.join(ids, "doc_id", "left_semi")
+    windows = wanted.join(asked, "doc_id").select("doc_id", "print", "text", "grams")
     windows = land(windows.mapInArrow(_windows_of(min_words), "doc_id long, print long, start int, key long"), "word-windows")
     firsts = land(windows.groupBy("key").agg(F.min("doc_id").alias("keeper"), F.max("doc_id").alias("last")).where("keeper < last").select("key", "keeper"), "word-firsts")
     found = windows.join(broadcast_if_few(firsts), "key").where("doc_id > keeper")
@@ -359,8 +371,17 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """
     spans = land(deleted_lines(docs, min_words), "line-spans")
     starts = repeated_windows(docs, spans, min_words)
-    cuts = land(spans.join(starts, ["doc_id", "print"], "full"), "line-cuts").withColumnsRenamed({"doc_id": "__id", "print": "__print", "spans": "__spans", "starts": "__starts"})
-    joined = docs.join(broadcast_if_few(cuts, weight="coalesce(size(__spans), 0) + coalesce(size(__starts), 0)"), (F.col("doc_id") == F.col("__id")) & (F.xxhash64("text") == F.col("__print")), "left")
+    cuts = land(spans.join(starts, ["doc_id", "print"], "full"), "line-cuts")
+    ids = _few_ids(cuts, "cut-ids")
+    if ids is None:
+        return _without(docs, cuts, min_words)
+    whole = docs.join(ids, "doc_id", "left_anti").withColumns({"n_lines": F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)), "n_removed": F.lit(0), "n_cut": F.lit(0)})
+    return whole.unionByName(_without(docs.join(ids, "doc_id", "left_semi"), cuts, min_words))
+
+
+def _without(docs: DataFrame, cuts: DataFrame, min_words: int) -> DataFrame:
+    cuts = cuts.withColumnsRenamed({"doc_id": "__id", "print": "__print", "spans": "__spans", "starts": "__starts"})
+    joined = docs.join(cuts, (F.col("doc_id") == F.col("__id")) & (F.xxhash64("text") == F.col("__print")), "left")
     by_words = F.col("__starts").isNotNull()
     joined = joined.withColumn("__cut", _cut(min_words)(F.when(by_words, F.col("text")), F.when(by_words, F.col("__spans")), "__starts"))
     lines = F.split("text", "\n", -1)
