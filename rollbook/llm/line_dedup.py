@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.llm.sides import FEW_ROWS, broadcast_if_few
-from rollbook.llm.words import SMALL_SLICE_BYTES, as_long, freeing, hash_strings, mix, slices, split_words, texts_of
+from rollbook.llm.words import SMALL_SLICE_BYTES, as_long, freeing, hash_strings, mix, slices, split_words, texts_of, tidy
 from rollbook.session import land
 
 MIN_WORDS = 50
@@ -198,14 +198,14 @@ def _align(min_words: int):
 def deleted_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``doc_id``, ``print`` (hash of the text) and ``spans`` of lines to delete (first and last, from 0), only of documents that have any."""
     texts = docs.where("doc_id is not null").select("doc_id", F.xxhash64("text").alias("print"), "text")
-    keys = land(texts.select("doc_id", "text").mapInArrow(_keys_of(min_words), "doc_id long, key long"), "line-keys")
+    keys = land(texts.select("doc_id", "text").mapInArrow(tidy(_keys_of(min_words)), "doc_id long, key long"), "line-keys")
     firsts = keys.groupBy("key").agg(F.min("doc_id").alias("keeper"), F.max("doc_id").alias("last")).where("keeper < last").select("key", "keeper")
     pairs = land(keys.join(firsts, "key").where("doc_id > keeper").select("doc_id", "keeper").distinct(), "line-pairs")
     met = land(pairs.select("doc_id").unionByName(pairs.select(F.col("keeper").alias("doc_id"))).distinct(), "line-docs")
-    lines = land(texts.join(broadcast_if_few(met), "doc_id", "left_semi").mapInArrow(_line_arrays, "doc_id long, print long, number array<int>, hash array<long>, words array<int>"), "lines")
+    lines = land(texts.join(broadcast_if_few(met), "doc_id", "left_semi").mapInArrow(tidy(_line_arrays), "doc_id long, print long, number array<int>, hash array<long>, words array<int>"), "lines")
     kept = lines.select(F.col("doc_id").alias("keeper"), F.col("hash").alias("kept_hash"), F.col("words").alias("kept_words"))
     both = pairs.join(lines, "doc_id").join(kept, "keeper").select("doc_id", "print", "number", "hash", "words", "kept_hash", "kept_words")
-    found = both.mapInArrow(_align(min_words), "doc_id long, print long, first int, last int").distinct()
+    found = both.mapInArrow(tidy(_align(min_words)), "doc_id long, print long, first int, last int").distinct()
     return found.groupBy("doc_id", "print").agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("spans"))
 
 
@@ -290,13 +290,13 @@ def repeated_windows(docs: DataFrame, spans: DataFrame, min_words: int = MIN_WOR
     """
     texts = docs.where("doc_id is not null").select("doc_id", F.xxhash64("text").alias("print"), "text")
     marked = texts.join(broadcast_if_few(spans, weight="size(spans)"), ["doc_id", "print"], "left")
-    grams = land(marked.select("doc_id", "text", "spans").mapInArrow(_least_grams_of(min_words), "doc_id long, gram long"), "word-grams")
+    grams = land(marked.select("doc_id", "text", "spans").mapInArrow(tidy(_least_grams_of(min_words)), "doc_id long, gram long"), "word-grams")
     shared = land(grams.groupBy("gram").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("gram"), "word-shared")
     asked = land(grams.join(broadcast_if_few(shared), "gram").groupBy("doc_id").agg(F.collect_set("gram").alias("grams")), "word-asked")
     ids = _few_ids(asked, "word-ids")
     wanted = texts if ids is None else texts.join(ids, "doc_id", "left_semi")
     windows = wanted.join(asked, "doc_id").select("doc_id", "print", "text", "grams")
-    windows = land(windows.mapInArrow(_windows_of(min_words), "doc_id long, print long, start int, key long"), "word-windows")
+    windows = land(windows.mapInArrow(tidy(_windows_of(min_words)), "doc_id long, print long, start int, key long"), "word-windows")
     firsts = land(windows.groupBy("key").agg(F.min("doc_id").alias("keeper"), F.max("doc_id").alias("last")).where("keeper < last").select("key", "keeper"), "word-firsts")
     found = windows.join(broadcast_if_few(firsts), "key").where("doc_id > keeper")
     return found.groupBy("doc_id", "print").agg(F.array_sort(F.collect_set("start")).alias("starts"))
