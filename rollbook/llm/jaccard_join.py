@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from rollbook.llm.components import components
 from rollbook.llm.sides import broadcast_if_few
-from rollbook.llm.words import SMALL_SLICE_BYTES, as_long, freeing, mix, shingles, slices, split_words, spread, texts_of, tidy
+from rollbook.llm.words import SMALL_SLICE_BYTES, TEXT_ROWS, as_long, freeing, mix, shingles, slices, split_words, spread, texts_of, tidy
 from rollbook.session import land
 
 TOKENS, SEGMENTS, DELETIONS = 0, 1, 2
@@ -234,7 +234,7 @@ def shingle_classes(docs: DataFrame, percent: int = 80, spare: float = 2.0) -> D
     spark = docs.sparkSession
     allocation = Allocation(percent, spare)
     texts = docs.select("doc_id", "text")
-    sets = land(texts.mapInArrow(tidy(_measure(allocation)), "doc_id long, n_shingles long, node long, units long, units_deleted long"), "sets")
+    sets = land(texts.mapInArrow(tidy(_measure(allocation)), "doc_id long, n_shingles long, node long, units long, units_deleted long"), "sets", TEXT_ROWS)
 
     # what each band must offer: at most 63 rows
     size = F.col("n_shingles")
@@ -263,6 +263,7 @@ def shingle_classes(docs: DataFrame, percent: int = 80, spare: float = 2.0) -> D
         .groupBy("key", "node")
         .agg(F.first("freq").alias("freq")),
         "shared",
+        TEXT_ROWS,
     )
     # a set looks for partners by its dearest keys only as far as the keys it shares with nobody do not suffice
     band = F.col("key").bitwiseAND(F.lit(63))
@@ -279,7 +280,7 @@ def shingle_classes(docs: DataFrame, percent: int = 80, spare: float = 2.0) -> D
 
     wanted = land(live.select("node").distinct().join(nodes.select("node", "first_doc"), "node"), "wanted")
     ids = broadcast_if_few(land(wanted.select(F.col("first_doc").alias("doc_id")).distinct(), "wanted-docs"))
-    elements = land(texts.join(ids, "doc_id", "left_semi").mapInArrow(tidy(_sets), "node long, elements array<long>").dropDuplicates(["node"]), "elements")
+    elements = land(texts.join(ids, "doc_id", "left_semi").mapInArrow(tidy(_sets), "node long, elements array<long>").dropDuplicates(["node"]), "elements", TEXT_ROWS)
 
     # first against the node of the key that shares most with others: the text that the rest of a group was copied from
     close = F.lit(100) * F.least("n", "m") >= F.lit(percent) * F.greatest("n", "m")

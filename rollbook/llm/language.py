@@ -26,7 +26,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from rollbook.llm.sides import broadcast_if_few
-from rollbook.llm.words import freeing, hash_strings, mix, slices, split_words, spread, texts_of
+from rollbook.llm.words import freeing, hash_strings, mix, slices, split_words, spread, texts_of, tidy
 from rollbook.session import land
 
 #: Labelled texts per language in the training sample, words of a passage, and sequences made of them.
@@ -293,7 +293,7 @@ def identify(docs: DataFrame, field: Field) -> DataFrame:
     have ``und`` and 0. Only the text is looked at; repeated rows stay. One pass, no
     shuffle.
     """
-    return docs.select("doc_id", "text").mapInArrow(_predict(field), "doc_id long, lang_pred string, score double")
+    return docs.select("doc_id", "text").mapInArrow(tidy(_predict(field)), "doc_id long, lang_pred string, score double")
 
 
 def accepted(docs: DataFrame, field: Field, least: float = LEAST) -> DataFrame:
@@ -301,7 +301,7 @@ def accepted(docs: DataFrame, field: Field, least: float = LEAST) -> DataFrame:
 
     A field that knows no language rejects only texts without a letter.
     """
-    return docs.mapInArrow(_accept(field, least), docs.schema)
+    return docs.mapInArrow(tidy(_accept(field, least)), docs.schema)
 
 
 def held_out(doc_id: Column) -> Column:

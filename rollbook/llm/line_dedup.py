@@ -30,14 +30,13 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.llm.sides import FEW_ROWS, broadcast_if_few
-from rollbook.llm.words import SMALL_SLICE_BYTES, as_long, freeing, hash_strings, mix, slices, split_words, texts_of, tidy
+from rollbook.llm.words import SMALL_SLICE_BYTES, TEXT_ROWS, as_long, freeing, hash_strings, mix, slices, split_words, texts_of, tidy
 from rollbook.session import land
 
 MIN_WORDS = 50
@@ -198,11 +197,11 @@ def _align(min_words: int):
 def deleted_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``doc_id``, ``print`` (hash of the text) and ``spans`` of lines to delete (first and last, from 0), only of documents that have any."""
     texts = docs.where("doc_id is not null").select("doc_id", F.xxhash64("text").alias("print"), "text")
-    keys = land(texts.select("doc_id", "text").mapInArrow(tidy(_keys_of(min_words)), "doc_id long, key long"), "line-keys")
+    keys = land(texts.select("doc_id", "text").mapInArrow(tidy(_keys_of(min_words)), "doc_id long, key long"), "line-keys", TEXT_ROWS)
     firsts = keys.groupBy("key").agg(F.min("doc_id").alias("keeper"), F.max("doc_id").alias("last")).where("keeper < last").select("key", "keeper")
     pairs = land(keys.join(firsts, "key").where("doc_id > keeper").select("doc_id", "keeper").distinct(), "line-pairs")
     met = land(pairs.select("doc_id").unionByName(pairs.select(F.col("keeper").alias("doc_id"))).distinct(), "line-docs")
-    lines = land(texts.join(broadcast_if_few(met), "doc_id", "left_semi").mapInArrow(tidy(_line_arrays), "doc_id long, print long, number array<int>, hash array<long>, words array<int>"), "lines")
+    lines = land(texts.join(broadcast_if_few(met), "doc_id", "left_semi").mapInArrow(tidy(_line_arrays), "doc_id long, print long, number array<int>, hash array<long>, words array<int>"), "lines", TEXT_ROWS)
     kept = lines.select(F.col("doc_id").alias("keeper"), F.col("hash").alias("kept_hash"), F.col("words").alias("kept_words"))
     both = pairs.join(lines, "doc_id").join(kept, "keeper").select("doc_id", "print", "number", "hash", "words", "kept_hash", "kept_words")
     found = both.mapInArrow(tidy(_align(min_words)), "doc_id long, print long, first int, last int").distinct()
@@ -290,13 +289,13 @@ def repeated_windows(docs: DataFrame, spans: DataFrame, min_words: int = MIN_WOR
     """
     texts = docs.where("doc_id is not null").select("doc_id", F.xxhash64("text").alias("print"), "text")
     marked = texts.join(broadcast_if_few(spans, weight="size(spans)"), ["doc_id", "print"], "left")
-    grams = land(marked.select("doc_id", "text", "spans").mapInArrow(tidy(_least_grams_of(min_words)), "doc_id long, gram long"), "word-grams")
+    grams = land(marked.select("doc_id", "text", "spans").mapInArrow(tidy(_least_grams_of(min_words)), "doc_id long, gram long"), "word-grams", TEXT_ROWS)
     shared = land(grams.groupBy("gram").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("gram"), "word-shared")
     asked = land(grams.join(broadcast_if_few(shared), "gram").groupBy("doc_id").agg(F.collect_set("gram").alias("grams")), "word-asked")
     ids = _few_ids(asked, "word-ids")
     wanted = texts if ids is None else texts.join(ids, "doc_id", "left_semi")
     windows = wanted.join(asked, "doc_id").select("doc_id", "print", "text", "grams")
-    windows = land(windows.mapInArrow(tidy(_windows_of(min_words)), "doc_id long, print long, start int, key long"), "word-windows")
+    windows = land(windows.mapInArrow(tidy(_windows_of(min_words)), "doc_id long, print long, start int, key long"), "word-windows", TEXT_ROWS)
     firsts = land(windows.groupBy("key").agg(F.min("doc_id").alias("keeper"), F.max("doc_id").alias("last")).where("keeper < last").select("key", "keeper"), "word-firsts")
     found = windows.join(broadcast_if_few(firsts), "key").where("doc_id > keeper")
     return found.groupBy("doc_id", "print").agg(F.array_sort(F.collect_set("start")).alias("starts"))
@@ -345,13 +344,16 @@ def cut_words(text: str, spans: list[tuple[int, int]], starts: list[int], min_wo
 
 
 def _cut(min_words: int):
-    @F.pandas_udf("text string, n_removed int, n_cut int")
-    def run(texts: pd.Series, spans: pd.Series, starts: pd.Series) -> pd.DataFrame:
-        rows = []
-        for text, lines, at in zip(texts, spans, starts):
-            whole = [] if lines is None else [(s["first"], s["last"]) for s in lines]
-            rows.append((None, 0, 0) if text is None else cut_words(text, whole, list(at), min_words))
-        return pd.DataFrame(rows, columns=["text", "n_removed", "n_cut"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(freeing(batches), most=SMALL_SLICE_BYTES):
+            left: list[tuple[str | None, int, int]] = []
+            for text, spans, starts in zip(*(batch.column(c).to_pylist() for c in ("text", "__spans", "__starts"))):
+                cut = text is not None and (spans or starts)
+                left.append(cut_words(text, [(s["first"], s["last"]) for s in spans or []], starts or [], min_words) if cut else (text, 0, 0))
+            texts, removed, partly = zip(*left)
+            made = {"text": pa.array(texts, pa.string()), "n_removed": pa.array(removed, pa.int32()), "n_cut": pa.array(partly, pa.int32())}
+            names = [c for c in batch.schema.names if c not in ("__spans", "__starts")]
+            yield pa.RecordBatch.from_arrays([made[c] if c in made else batch.column(c) for c in names], names=names)
 
     return run
 
@@ -380,20 +382,12 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 
 def _without(docs: DataFrame, cuts: DataFrame, min_words: int) -> DataFrame:
+    """The documents cut. One Arrow step: of a UDF, a filter on the result would make a second one, with a Python worker of its own."""
     cuts = cuts.withColumnsRenamed({"doc_id": "__id", "print": "__print", "spans": "__spans", "starts": "__starts"})
-    joined = docs.join(cuts, (F.col("doc_id") == F.col("__id")) & (F.xxhash64("text") == F.col("__print")), "left")
-    by_words = F.col("__starts").isNotNull()
-    joined = joined.withColumn("__cut", _cut(min_words)(F.when(by_words, F.col("text")), F.when(by_words, F.col("__spans")), "__starts"))
-    lines = F.split("text", "\n", -1)
-    kept = F.filter(lines, lambda _, i: ~F.exists("__spans", lambda s: (i >= s["first"]) & (i <= s["last"])))
-    left = F.when(by_words, F.col("__cut.text")).when(F.col("__spans").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    return joined.withColumns(
-        {
-            "n_lines": F.coalesce(F.size(lines), F.lit(0)),
-            "n_removed": F.when(by_words, F.col("__cut.n_removed")).when(F.col("__spans").isNull(), F.lit(0)).otherwise(F.size(lines) - F.size(kept)),
-            "n_cut": F.when(by_words, F.col("__cut.n_cut")).otherwise(F.lit(0)),
-        }
-    ).withColumn("text", left).drop("__id", "__print", "__spans", "__starts", "__cut")
+    joined = docs.join(cuts, (F.col("doc_id") == F.col("__id")) & (F.xxhash64("text") == F.col("__print")), "left").drop("__id", "__print")
+    lines = F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0))
+    counted = joined.withColumns({"text": F.col("text"), "n_lines": lines, "n_removed": F.lit(0), "n_cut": F.lit(0)})
+    return counted.mapInArrow(tidy(_cut(min_words)), counted.drop("__spans", "__starts").schema)
 
 
 def remaining(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:

@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from bisect import bisect_left
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rollbook.llm.words import freeing, slices, split_words, texts_of
+from rollbook.llm.words import TEXT_ROWS, freeing, slices, split_words, texts_of, tidy
 from rollbook.session import land
 
 CAPACITY = 2048
@@ -44,8 +45,8 @@ ROUNDS = 40
 RATE = 0.02
 #: Pieces of one length that are numbered in one block, about.
 BLOCK = 10_000
-#: Distinct words whose ids a task remembers.
-REMEMBERED = 400_000
+#: Distinct words whose ids a task remembers, half of them at least the ones met last.
+REMEMBERED = 300_000
 
 # fixed values: bytes that a byte-level vocabulary shows as themselves; the others follow from code point 256 on
 _SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -60,7 +61,8 @@ class Encoder:
 
     A text's ids are those of its words one after the other, as neither the
     normaliser nor the splitter of the vocabulary looks across white space. Plain
-    words go to the model directly, all others through the whole tokenizer.
+    words go to the model directly, all others through the whole tokenizer. Ids are
+    kept as 32-bit numbers in bytes, a third of what lists of them take.
     """
 
     def __init__(self, path: str):
@@ -68,23 +70,27 @@ class Encoder:
 
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _part(self, text: str) -> list[int]:
         return [t.id for t in self.model.tokenize(text.encode().decode("latin-1").translate(_CHAR_MAP))]
 
-    def word(self, word: str) -> list[int]:
-        ids = self.known.get(word)
-        if ids is None:
-            plain = _PLAIN.fullmatch(word)
-            if plain:
-                ids = (self._part(plain[1]) if plain[1] else []) + (self._part(plain[2]) if plain[2] else [])
-            else:
-                ids = self.whole.encode(word, add_special_tokens=False).ids
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            self.known[word] = ids
-        return ids
+    def word(self, word: str) -> bytes:
+        known = self.known.get(word)
+        if known is None:
+            known = self.older.get(word)
+            if known is None:
+                plain = _PLAIN.fullmatch(word)
+                if plain:
+                    ids = (self._part(plain[1]) if plain[1] else []) + (self._part(plain[2]) if plain[2] else [])
+                else:
+                    ids = self.whole.encode(word, add_special_tokens=False).ids
+                known = array("I", ids).tobytes()
+            if len(self.known) >= REMEMBERED // 2:
+                self.older, self.known = self.known, {}
+            self.known[word] = known
+        return known
 
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(offsets, ids) of the texts, the closing id included."""
@@ -92,9 +98,9 @@ class Encoder:
         special = pc.match_substring(texts, "<|")
         words = split_words(pc.if_else(special, texts, pc.ascii_lower(texts)))
         coded = [self.word(w) for w in words.vocabulary.to_pylist()]
-        sizes = np.fromiter(map(len, coded), np.int64, len(coded))
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
         starts = np.concatenate(([0], np.cumsum(sizes)))
-        flat = np.fromiter((i for ids in coded for i in ids), np.uint32, int(starts[-1]))
+        flat = np.frombuffer(b"".join(coded), np.uint32)
         lengths = sizes[words.codes] if len(words.codes) else np.zeros(0, np.int64)
         ends = np.concatenate(([0], np.cumsum(lengths)))
         per_text = ends[words.offsets]
@@ -106,7 +112,7 @@ class Encoder:
 def _pieces(path: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(path)
-        for batch in slices(freeing(batches)):
+        for batch in slices(freeing(batches), most=1 << 20):
             offsets, ids = encoder.texts(texts_of(batch))
             ids = ids.astype("<u4", copy=False)
             row, piece, start, length, crc = [], [], [], [], []
@@ -307,7 +313,7 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, rounds: int
     document before it), ``length, ids_crc32`` (of its ids as little-endian 32-bit
     numbers), ``sequence_id`` and ``offset``. The function starts jobs.
     """
-    pieces = land(docs.select("doc_id", "text").mapInArrow(_pieces(vocabulary, capacity), SCHEMA), "pieces")
+    pieces = land(docs.select("doc_id", "text").mapInArrow(tidy(_pieces(vocabulary, capacity)), SCHEMA), "pieces", TEXT_ROWS)
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most `capacity` rows
     plan = plan_packing(counts, capacity, rounds)
     blocks = max(1, sum(counts.values()) // BLOCK)

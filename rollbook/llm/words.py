@@ -20,6 +20,8 @@ import xxhash
 SLICE_BYTES = 8 << 20
 #: The same for operators that hold many numbers a word.
 SMALL_SLICE_BYTES = 2 << 20
+#: Whole texts that Spark hands to an Arrow step at once; what the executor's JVM takes for a batch, it keeps.
+TEXT_ROWS = 1_000
 
 ArrowStep = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 

@@ -20,6 +20,8 @@ SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 
 def build_session(app: str = "rollbook", master: str | None = None, **extra: str) -> SparkSession:
     """A session with the settings the operators assume.
@@ -99,12 +101,22 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def land(df: DataFrame, name: str) -> DataFrame:
+def land(df: DataFrame, name: str, arrow_rows: int | None = None) -> DataFrame:
     """Write a result that several later steps read, and go on from the written table.
 
     The table lies in the shared folder, so it survives lost executors, and its
-    file sizes let Spark choose later joins by real size.
+    file sizes let Spark choose later joins by real size. While it is written, Arrow
+    steps get at most ``arrow_rows`` rows at once, or what the session says.
     """
-    path = new_path(df.sparkSession, name)
-    df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    before = spark.conf.get(ARROW_ROWS)
+    fewer = arrow_rows and not 0 < int(before) <= arrow_rows
+    if fewer:
+        spark.conf.set(ARROW_ROWS, arrow_rows)
+    try:
+        df.write.mode("errorifexists").parquet(path)
+    finally:
+        if fewer:
+            spark.conf.set(ARROW_ROWS, before)
+    return spark.read.schema(df.schema).parquet(path)
