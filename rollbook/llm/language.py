@@ -276,7 +276,8 @@ def _predict(field: Field):
 
 def _accept(field: Field, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(freeing(batches), most=1 << 20):
+        # small slices: in the pipeline these workers run beside a JVM that other stages have filled
+        for batch in slices(freeing(batches), most=1 << 18):
             if not field.languages:
                 yield batch.filter(pc.match_substring_regex(texts_of(batch), r"\p{L}"))
                 continue
