@@ -92,7 +92,11 @@ def pair_ratios(strings: Strings, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     for count in np.unique(words[words > 0]):
         here = np.flatnonzero(words == count)
         common[here] = _lcs_lanes(strings, shorter[here], longer[here], int(count))
-    total = strings.lengths[a] + strings.lengths[b]
+    return ratio_of(common, strings.lengths[a] + strings.lengths[b])
+
+
+def ratio_of(common: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """Ratio 0..100 of pairs of strings of ``total`` characters, by the length of their longest common subsequence."""
     distance = total - 2 * common
     return np.where(total == 0, 1.0, 1.0 - distance / np.maximum(total, 1)) * 100.0
 

@@ -9,9 +9,15 @@ the names. Nothing uses blocking unless it is asked for.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import partial
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rollbook.functions.bands import band_columns, band_numbers
 from rollbook.functions.similarity import indel_ratio
 from rollbook.functions.text import bind
 from rollbook.operators.fuzzy import best_matches, nearest_names
@@ -36,6 +42,28 @@ def band_keys(name: Column, gram: int = GRAM, bands: int = BANDS, rows: int = RO
     return bind(grams, keys)
 
 
+def _band_sizes(names: DataFrame, called: str, gram: int, bands: int, rows: int, size: str) -> DataFrame:
+    """(_band, size): names of each band, counted by batch before they are shuffled."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for keys in band_columns(batch.column(0).to_pylist(), gram, bands, rows):
+                held, n = np.unique(keys, return_counts=True)
+                yield pa.record_batch({"_band": held, "n": n})
+
+    counted = names.select(called).mapInArrow(count, "_band long, n long")
+    return counted.groupBy("_band").agg(F.sum("n").alias(size))
+
+
+def _banded(names: DataFrame, called: str, gram: int, bands: int, rows: int) -> DataFrame:
+    """(name, _band): every band of every name, once."""
+    def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for keys in band_columns(batch.column(0).to_pylist(), gram, bands, rows):
+                yield pa.record_batch({called: batch.column(0).cast(pa.string()), "_band": keys})
+
+    return land(names.select(called).mapInArrow(rows_of, f"{called} string, _band long"), "bands")
+
+
 def blocked_names(
     left: DataFrame, right: DataFrame, left_name: str, right_name: str, limit: int = 1, score_cutoff: float = 0.0,
     gram: int = GRAM, bands: int = BANDS, rows: int = ROWS, pair_budget: int = PAIR_BUDGET,
@@ -45,17 +73,18 @@ def blocked_names(
     A left name that shares a band with no right name is missing; one whose best match shares none gets a lesser one.
     """
     def names(df: DataFrame, name: str, called: str) -> DataFrame:
-        named = df.select(F.col(name).alias(called)).filter(F.col(called).isNotNull()).distinct()
-        return land(named.select(called, band_keys(F.col(called), gram, bands, rows).alias("keys")), "bands")
+        return land(df.select(F.col(name).alias(called)).filter(F.col(called).isNotNull()).distinct(), "block-names")
 
     lefts, rights = names(left, left_name, "left_name"), names(right, right_name, "right_name")
-    banded = [df.select(called, F.explode("keys").alias("_band")).distinct() for df, called in ((lefts, "left_name"), (rights, "right_name"))]
-    sizes = [key_sizes(df, ["_band"], name) for df, name in zip(banded, ("n", "m"))]
+    sides = ((lefts, "left_name", "n"), (rights, "right_name", "m"))
+    sizes = [_band_sizes(df, called, gram, bands, rows, size) for df, called, size in sides]
     work = sizes[0].join(sizes[1], "_band").agg(F.sum(F.col("n").cast("double") * F.col("m"))).first()[0] or 0.0
     n_lefts, n_rights = lefts.count(), rights.count()
     if work > n_lefts * n_rights:
-        # bands so wide that their pairs, repeats included, are more than all pairs there are
-        return best_matches(nearest_by_grid(lefts, rights, n_lefts, n_rights, limit, score_cutoff), limit)
+        # bands so wide that their pairs, repeats included, are more than all pairs there are; the keys of a cell are worked out in it
+        keyed = partial(band_numbers, gram=gram, bands=bands, rows=rows)
+        return best_matches(nearest_by_grid(lefts, rights, n_lefts, n_rights, limit, score_cutoff, keyed=keyed), limit)
+    banded = [_banded(df, called, gram, bands, rows) for df, called, _ in sides]
     pairs = spread_join(*banded, ["_band"], pair_budget, work=work).select("left_name", "right_name").distinct()
     scored = pairs.select("left_name", "right_name", indel_ratio(F.col("left_name"), F.col("right_name")).alias("score"))
     return best_matches(scored.filter(F.col("score") >= score_cutoff), limit)
@@ -67,11 +96,16 @@ def name_sample(names: DataFrame, name: str, share: float) -> DataFrame:
 
 
 def blocking_recall(
-    left: DataFrame, right: DataFrame, left_name: str, right_name: str, share: float = 0.01, blocked: DataFrame | None = None, **options
+    left: DataFrame, right: DataFrame, left_name: str, right_name: str, share: float = 0.01, blocked: DataFrame | None = None,
+    exact: DataFrame | None = None, **options
 ) -> DataFrame:
-    """One row: ``names`` in the sample, how many ``found`` a match as good as the exact one, and the ``recall``."""
+    """One row: ``names`` in the sample, how many ``found`` a match as good as the exact one, and the ``recall``.
+
+    ``blocked``, ``exact``: what ``blocked_names`` and ``nearest_names`` gave for all the names, where that is at hand.
+    """
     sample = name_sample(left, left_name, share)
-    exact = nearest_names(sample, right, left_name, right_name).select("left_name", F.col("score").alias("best"))
+    exact = name_sample(exact, "left_name", share) if exact is not None else nearest_names(sample, right, left_name, right_name)
+    exact = exact.select("left_name", F.col("score").alias("best"))
     ours = blocked if blocked is not None else blocked_names(sample, right, left_name, right_name, **options)
     ours = ours.groupBy("left_name").agg(F.max("score").alias("reached"))
     good = F.count_if(F.coalesce(F.col("reached") >= F.col("best") - 1e-9, F.lit(False)))
