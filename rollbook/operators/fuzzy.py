@@ -19,9 +19,10 @@ Each left name uses the length with the fewest index rows to visit. A name with
 no near match gets a long prefix and pays for it; nothing is capped.
 
 The index pays where grams are rare. Where many names share their grams it visits
-a good part of all pairs, and an index row visited costs far more than a bound on
-one pair in a block of names (``grid``). So up to ``GRID_PAIRS`` pairs all blocks
-are met with all; the result is the same.
+a good part of all pairs, it takes a row on disk for every gram of every name, and an
+index row visited costs far more than a bound on one pair in a block of names (``grid``),
+where groups of unlike names are ruled out as wholes. So up to ``GRID_PAIRS`` pairs all
+blocks are met with all; the result is the same.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ from rollbook.session import land
 _START, _END = "\u0001", "\u0002"
 _SLACK = 1e-9
 GRAM_SIZES = (1, 2, 3, 5)
-GRID_PAIRS = 200_000_000_000  # some thousand CPU seconds
+GRID_PAIRS = 10_000_000_000_000  # some thousand CPU seconds where names fall into groups of like ones
 
 
 def _grams(names: DataFrame, name: str) -> DataFrame:

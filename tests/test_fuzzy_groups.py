@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rollbook.functions.bands import band_columns, band_numbers, text_hash
-from rollbook.operators import blocking, grid
+from rollbook.operators import blocking, fuzzy, grid
 from rollbook.operators.fuzzy import nearest_names
 from tests.test_fuzzy import brute_force, frames, names
 from tests.test_similarity import ratio
@@ -53,6 +53,11 @@ def test_cell_of_groups_of_any_size(monkeypatch, left_group, right_group, pairs,
         assert {(i, j, round(s, 9)) for i, j, s in zip(*(x.tolist() for x in got))} == wanted
 
 
+def test_names_of_the_largest_tables_meet_in_blocks():
+    """5.4 million names and 360,000 others: a row on disk for every gram is more than the tables."""
+    assert 5_400_000 * 360_000 <= fuzzy.GRID_PAIRS
+
+
 @pytest.mark.parametrize("gram,bands,rows", [(2, 4, 1), (1, 3, 2), (3, 2, 3), (40, 2, 2)])
 def test_band_columns_are_the_band_keys(spark, gram, bands, rows):
     held = ["", "a", "é漢😀 name", "x" * 70, "aaaa", "漢" * 20, "b" * 31, "bolt 12"]
